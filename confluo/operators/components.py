@@ -32,7 +32,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     The nodes may be of any orderable type. Each round is written to the shared folder,
     so neither lineage nor plan grows. The driver sees a count and two sums per round.
     """
-    start = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    whole = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    start = whole.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
     nodes = settle(start.distinct(), "edges")
     now, seen = nodes.where("a <> b"), None
     for _ in range(max_rounds):
