@@ -1,13 +1,16 @@
 """The queries of this folder, by name, and their SQL where it can express them."""
 
-from . import sharding, url_filter, warc
+from . import decontaminate, quality, sharding, url_filter, warc
 
 QUERIES = {
+    "op1_decontaminate": decontaminate.query,
     "op2_warc": warc.query,
     "op7_sharding": sharding.query,
+    "op8_quality": quality.query,
     "op9_url_filter": url_filter.query,
 }
 
 ORACLES = {
+    "op1_decontaminate": decontaminate.ORACLE,
     "op9_url_filter": url_filter.oracle(),
 }
