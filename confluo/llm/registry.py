@@ -1,11 +1,14 @@
 """The queries of this folder, by name, and their SQL where it can express them."""
 
-from . import decontaminate, quality, sharding, simhash, url_filter, warc
+from . import decontaminate, langid, linededup, quality, sentencepiece, sharding, simhash, url_filter, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
     "op2_warc": warc.query,
+    "op3_linededup": linededup.query,
     "op4_simhash": simhash.query,
+    "op5_sentencepiece": sentencepiece.query,
+    "op6_langid": langid.query,
     "op7_sharding": sharding.query,
     "op8_quality": quality.query,
     "op9_url_filter": url_filter.query,
