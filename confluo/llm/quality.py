@@ -209,7 +209,9 @@ def learn(docs: DataFrame, labels: DataFrame, how: Learner = Learner(), id_col:
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # The sample is bounded by its limit; it goes to the documents, not they to it.
     rows = own.join(F.broadcast(drawn), "doc_id").select("doc_id", "bad", _bound(statistics("text"), lambda s: F.struct(base_failed(s).alias("base_failed"), *[feature(s, f).alias(f) for f in FEATURES])).alias("s"))
-    picked = rows.where("not s.base_failed").select("doc_id", "bad", "s.*").orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(how.sample_rows).collect()
+    drawn_rows = rows.select("doc_id", "bad", "s.*").orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(how.sample_rows).collect()
+    # Those that the base rejects are left out here: as a filter it would be moved below the join, to all documents.
+    picked = [r for r in drawn_rows if not r["base_failed"]]
     if not picked:
         return []
     x = np.array([[r[f] for f in FEATURES] for r in picked], float)
