@@ -1,6 +1,6 @@
 """The queries of this folder, by name, and their SQL where it can express them."""
 
-from . import decontaminate, langid, linededup, quality, sentencepiece, sharding, simhash, url_filter, warc
+from . import decontaminate, katz, langid, linededup, quality, sentencepiece, sharding, simhash, url_filter, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_sharding": sharding.query,
     "op8_quality": quality.query,
     "op9_url_filter": url_filter.query,
+    "op10_katz": katz.query,
 }
 
 ORACLES = {
