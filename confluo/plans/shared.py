@@ -43,7 +43,7 @@ def settle(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    writer = df.write
+    writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
