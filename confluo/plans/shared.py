@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -50,6 +51,15 @@ def settle(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver forget finished plans now: their shuffle files go when it does, which by itself may be long after.
+
+    A job of several written steps calls it between them, so that only one step's shuffles lie on disk.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def sweep() -> None:
     """Delete every table that ``settle`` and ``new_path`` made in this process."""
     while _written:
