@@ -35,12 +35,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..plans.shared import settle
+from ..plans.shared import release, settle
 
 #: Counts above this one aren't discounted.
 MOST = 5
 #: Tokens of a block: what one task holds at a time.
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_500_000
 #: Tokens that a partition of pairs is to hold.
 PARTITION_TOKENS = 2_000_000
 #: Two symbols that no word equals, as words have no white space: a text's start and its end.
@@ -280,19 +280,21 @@ class _Coded:
     def of(cls, row: dict, n: int, hot: np.ndarray) -> _Coded:
         words = unpack_sorted(row["words"])
         counts = np.concatenate([unpack(x["counts"], np.int64) for x in row["word_answers"]])
-        tokens, lens, held = unpack(row["tokens"], np.uint32).astype(np.int64), unpack(row["lens"], np.uint32).astype(np.int64), unpack(row["held"], np.uint8).astype(bool)
-        before = np.empty_like(tokens)
+        tokens, lens, held = unpack(row["tokens"], np.uint32).astype(np.int32), unpack(row["lens"], np.uint32).astype(np.int64), unpack(row["held"], np.uint8).astype(bool)
+        before = np.empty(len(tokens), np.int64)
         before[1:] = tokens[:-1]
         before[np.cumsum(lens) - lens] = len(words)
-        pairs, at = np.unique(before * (len(words) + 1) + tokens, return_inverse=True)
+        before *= len(words) + 1
+        before += tokens
+        pairs, at = np.unique(before, return_inverse=True)
         del before
         history, word = pairs // (len(words) + 1), pairs % (len(words) + 1)
         names = np.append(words, START)
         frequent = np.isin(names, hot)
         bucket = np.where(frequent[history], bucket_of(words * _MIX[0], n)[word], bucket_of(names, n)[history])
         order = np.argsort(bucket, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         return cls(words, counts, tokens, lens, held, history[order], word[order], bucket[order], rank[at])
 
 
@@ -406,8 +408,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hold:
     frequent = [r[0] for r in words.where("block is null").select(F.explode("hot")).collect()]
     hot = np.unique(np.array([*frequent, START.view(np.int64)], np.int64).view(np.uint64))
 
-    first = blocks.join(_collected(words, "word_answers", "counts"), "block")
+    release(spark)
+    coded = ("block", "held", "lens", "tokens", "words")
+    first = blocks.select(*coded).join(_collected(words, "word_answers", "counts"), "block")
     pairs = settle(dealt(first.mapInArrow(_ask_pairs(n, hot), ASK_PAIRS)).mapInArrow(_tell_pairs(model, hot), TOLD_PAIRS), "pairs")
+    del first
+    release(spark)
     said = pairs.where("block is null").agg(*[F.sum(F.col("stats")[k]).alias(f"s{k}") for k in range(MOST + 1)]).first()
     d = discounts([x or 0 for x in said])
 
@@ -421,7 +427,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hold:
 
     answers = _collected(words, "word_answers", "counts").join(_collected(pairs, "pair_answers", "counts", "seen", "covered"), "block")
     out = T.StructType([T.StructField("doc_id", ids), T.StructField("held_out", T.BooleanType()), *[T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")], T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
-    return blocks.join(answers, "block").mapInArrow(_scores(n, hot, model, d, hot_seen, hot_covered, arrow), out)
+    return blocks.select("ids", *coded).join(answers, "block").mapInArrow(_scores(n, hot, model, d, hot_seen, hot_covered, arrow), out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
