@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -102,12 +103,12 @@ def _chunks(how: Chunker):
                 text = t.as_py()
                 for start, end, lines, words in how.chunks(text) if text else ():
                     if lines >= 2 and words >= how.least_words:
-                        h = xxhash.xxh3_128_digest(content(text[start:end]).encode("utf-8", "surrogatepass"))
-                        rows.append((k, start, end, h))
+                        h = struct.unpack("<qq", xxhash.xxh3_128_digest(content(text[start:end]).encode("utf-8", "surrogatepass")))
+                        rows.append((k, start, end, *h))
             which = pa.array([r[0] for r in rows], pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [ids.take(which), marks.take(which), *(pa.array([r[c] for r in rows], t) for c, t in ((1, pa.int64()), (2, pa.int64()), (3, pa.binary())))],
-                ["id", "mark", "start", "end", "hash"],
+                [ids.take(which), marks.take(which), *(pa.array([r[c] for r in rows], t) for c, t in ((1, pa.int32()), (2, pa.int32()), (3, pa.int64()), (4, pa.int64())))],
+                ["id", "mark", "start", "end", "h1", "h2"],
             )
 
     return run
@@ -119,7 +120,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for k, (t, listed) in enumerate(zip(b.column("text"), b.column("chunks"), strict=True)):
             text = t.as_py()
-            rows += [(k, c["start"], c["hash"], c["first"], content(text[c["start"] : c["end"]])) for c in listed.as_py()]
+            rows += [(k, c["start"], c["h1"], c["h2"], c["first"], content(text[c["start"] : c["end"]])) for c in listed.as_py()]
             if len(rows) >= 5000:
                 yield _packed(b, rows)
                 rows = []
@@ -128,8 +129,8 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _packed(b: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
     which = pa.array([r[0] for r in rows], pa.int32())
-    types = (pa.int64(), pa.binary(), pa.bool_(), pa.string())
-    return pa.RecordBatch.from_arrays([b.column("id").take(which), b.column("mark").take(which), *(pa.array([r[c + 1] for r in rows], t) for c, t in enumerate(types))], ["id", "mark", "start", "hash", "first", "content"])
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.string())
+    return pa.RecordBatch.from_arrays([b.column("id").take(which), b.column("mark").take(which), *(pa.array([r[c + 1] for r in rows], t) for c, t in enumerate(types))], ["id", "mark", "start", "h1", "h2", "first", "content"])
 
 
 def cut_out(text: str, spans: list[tuple[int, int]]) -> str:
@@ -171,22 +172,27 @@ def dedup_lines(docs: DataFrame, how: Chunker = Chunker(), id_col: str = "doc_id
     spans, mark = f"{p}_chunks", f"{p}_mark"
     text, ids = F.col(f"`{text_col}`"), docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(f"`{id_col}`").alias("id"), _key(text).alias("mark"), text.alias("text"))
-    found = settle(own.mapInArrow(_chunks(how), f"id {ids}, mark long, start long, end long, hash binary"), "chunks")
+    found = settle(own.mapInArrow(_chunks(how), f"id {ids}, mark long, start int, end int, h1 long, h2 long"), "chunks")
 
+    # Which halves of hashes occur twice is told by a count of narrow rows; the places of chunks
+    # are shuffled after that, and only those of repeats meet again. A struct as key has both
+    # sides exchanged for its join alone, so a hot chunk's rows can be split.
+    twice = found.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.struct("h1").alias("k"))
+    again = settle(found.withColumn("k", F.struct("h1")).join(twice, "k", "left_semi").drop("k"), "again")
     place = F.struct("id", "mark", "start")
-    most = found.groupBy("hash").agg(F.min(place).alias("least"), F.max(place).alias("last")).where("not (least <=> last)")
-    # Base64 text is a key of its own: both sides are exchanged for this join alone, and a hot chunk's rows can be split.
-    repeats = found.withColumn("k", F.base64("hash")).join(most.select(F.base64("hash").alias("k"), "least"), "k")
+    least = again.groupBy("h1", "h2").agg(F.min(place).alias("least"), F.max(place).alias("last")).where("not (least <=> last)")
+    least = least.select(F.struct("h1", "h2").alias("k"), "least")
+    repeats = again.withColumn("k", F.struct("h1", "h2")).join(least, "k")
     listed = repeats.withColumn("first", place.eqNullSafe(F.col("least"))).groupBy("id", "mark")
-    listed = listed.agg(F.array_sort(F.collect_set(F.struct("start", "end", "hash", "first"))).alias(spans)).withColumnsRenamed({"id": f"{p}_id", "mark": mark})
+    listed = listed.agg(F.array_sort(F.collect_set(F.struct("start", "end", "h1", "h2", "first"))).alias(spans)).withColumnsRenamed({"id": f"{p}_id", "mark": mark})
     joined = docs.join(listed, F.col(f"`{id_col}`").eqNullSafe(F.col(f"{p}_id")) & (_key(text) == F.col(mark)), "left")
     met = settle(joined.drop(f"{p}_id", mark), "met")
 
     some = met.where(F.col(spans).isNotNull())
     whole = some.select(F.col(f"`{id_col}`").alias("id"), _key(text).alias("mark"), text.alias("text"), F.col(spans).alias("chunks"))
-    contents = whole.mapInArrow(_texts, f"id {ids}, mark long, start long, hash binary, first boolean, content string")
-    firsts = contents.where("first").groupBy(F.base64("hash").alias("k")).agg(F.min("content").alias("said")).select(F.struct("k").alias("kk"), "said")
-    wrong = contents.where("not first").withColumn("kk", F.struct(F.base64("hash").alias("k"))).join(firsts, "kk").where("content <> said")
+    contents = whole.mapInArrow(_texts, f"id {ids}, mark long, start int, h1 long, h2 long, first boolean, content string")
+    firsts = contents.where("first").groupBy("h1", "h2").agg(F.min("content").alias("said")).select(F.struct("h1", "h2").alias("k"), "said")
+    wrong = contents.where("not first").withColumn("k", F.struct("h1", "h2")).join(firsts, "k").where("content <> said")
     wrong = settle(wrong.select("id", "mark", "start").distinct(), "unlike")
     if wrong.limit(1).count():  # equal hashes of unlike chunks: they stay
         kept = wrong.groupBy("id", "mark").agg(F.collect_set("start").alias("starts")).withColumnsRenamed({"id": f"{p}_id", "mark": mark, "starts": f"{p}_starts"})
