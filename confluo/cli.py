@@ -6,6 +6,7 @@ import argparse
 import sys
 from pathlib import Path
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,7 +82,7 @@ def main(argv: list[str] | None = None) -> int:
         if text:
             sys.stdout.write(text)
         return OK
-    except (ProjectionError, PySparkException) as e:
+    except (ProjectionError, PySparkException, Py4JError) as e:
         print(str(e).splitlines()[0], file=sys.stderr)
         return FAILED
 
