@@ -119,6 +119,7 @@ class Transducer:
         self.ids = {p: k for k, (p, kind) in enumerate(zip(model.pieces, model.kinds, strict=True)) if kind == NORMAL}
         self.byte_ids = {int(p[3:5], 16): k for k, (p, kind) in enumerate(zip(model.pieces, model.kinds, strict=True)) if kind == BYTE}
         self.bytes_of = {k: b for b, k in self.byte_ids.items()}
+        self.is_byte = np.array(model.kinds) == BYTE
         self.unknown = next((k for k, kind in enumerate(model.kinds) if kind == UNKNOWN), 0)
         self.longest = max(map(len, self.ids), default=1)
         self.trie: dict = {}
@@ -192,7 +193,7 @@ class Transducer:
         """Whether the second label may follow the first (None: the part's start): weight 0, else infinite."""
         a = "" if key[0] is None else self.text_of(key[0])
         b = self.text_of(key[1])
-        if len(self._stable) >= self.keep:
+        if len(self._stable) >= 300_000:
             self._stable.clear()
         got = self._stable[key] = self.merged(a + b) == ([a, b] if a else [b])
         return got
@@ -282,6 +283,10 @@ class Transducer:
             paths[part] = tuple(chain.from_iterable(map(self.emit, self.shortest(part))))
         return array("i", chain.from_iterable(map(paths.__getitem__, parts)))
 
+    def forget(self) -> None:
+        """Lets the kept paths go: a worker serves other stages too."""
+        self._paths.clear()
+
     def decode(self, ids) -> str:
         """The text of ids: bytes that make no UTF-8 become U+FFFD, control pieces nothing."""
         ids = list(ids)
@@ -320,7 +325,7 @@ def _each_byte(e: UnicodeDecodeError) -> tuple[str, int]:
 codecs.register_error("each_byte", _each_byte)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def compiled(data: bytes) -> Transducer:
     return Transducer(Model(data))
 
@@ -344,6 +349,7 @@ def encode(docs: DataFrame, model: Model, text_col: str = "text", into: str = "i
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 flat = np.concatenate([np.frombuffer(x, np.int32) for x in ids if len(x)] or [np.empty(0, np.int32)])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], [*part.schema.names, into])
+        t.forget()
 
     return own.mapInArrow(run, T.StructType([*own.schema, T.StructField(into, T.ArrayType(T.IntegerType()))]))
 
@@ -371,7 +377,8 @@ def decode(rows: DataFrame, model: Model, ids_col: str = "ids", into: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = compiled(data)
         for b in batches:
-            texts = [None if x is None else t.decode(x) for x in b.column(k).to_pylist()]
+            # One sequence at a time becomes Python numbers; a batch of them would take many times its size.
+            texts = [t.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in b.column(k)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, into])
 
     return own.mapInArrow(run, T.StructType([*own.schema, T.StructField(into, T.StringType())]))
@@ -396,10 +403,11 @@ def digests(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             for x in b.column("text"):
                 text = x.as_py() or ""
                 ids = t.encode(text)
-                of_bytes = int(np.isin(np.frombuffer(ids, np.int32), list(t.bytes_of)).sum()) if len(ids) else 0
+                of_bytes = int(t.is_byte[np.frombuffer(ids, np.int32)].sum()) if len(ids) else 0
                 rows.append((len(ids), of_bytes, hashlib.sha256(ids.tobytes()).hexdigest(), t.decode(ids) == text))
             columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.string(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *columns], ["doc_id", "n_tokens", "n_byte_tokens", "ids_sha256", "round_trip"])
+        t.forget()
 
     return own.mapInArrow(run, f"doc_id {ids_type}, {DIGEST}")
 
