@@ -118,8 +118,8 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame, how: Reputation = Rep
     """(host, n, bad, posterior_mean, lower_bound, verdict) for every host of ``hosts``.
 
     ``outcomes`` has host and bad (0 or 1, null: skipped). The prior of a suffix is the
-    overall rate, of a domain its suffix's posterior mean, of a host its domain's; each
-    level's strength is estimated from that level's groups. With no outcomes at all the
+    overall rate, of a domain the posterior mean of its suffix's other domains, of a host that
+    of its domain's other hosts; each level's strength is estimated from that level's groups. With no outcomes at all the
     overall rate is 0 and everything is allowed.
     """
     counted = outcomes.where("bad is not null").groupBy("host").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("bad").cast("double").alias("bad"))
@@ -128,14 +128,17 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame, how: Reputation = Rep
     whole = counted.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     overall = (whole["bad"] / whole["n"]) if whole["n"] else 0.0
 
+    # What a group shrinks to is what the others above it say: its own outcomes count once, in itself.
+    others = lambda k: (F.col("up_bad") - F.col("bad") + k * F.col("up_m")) / (F.col("up_n") - F.col("n") + k)
     suffixes = level.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("m", F.lit(overall))
     k = _strength(suffixes, how)
-    suffixes = suffixes.select(F.col("suffix").alias("up"), ((F.col("bad") + k * F.col("m")) / (F.col("n") + k)).alias("m"))
+    suffixes = suffixes.select(F.col("suffix").alias("up"), *[F.col(c).alias(f"up_{c}") for c in ("n", "bad", "m")])
     domains = level.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    domains = domains.join(broadcast_if_small(suffixes), domains["suffix"] == suffixes["up"]).drop("up")
+    domains = domains.join(broadcast_if_small(suffixes), domains["suffix"] == suffixes["up"]).withColumn("m", others(k))
+    domains = domains.select("domain", "n", "bad", "m")
     k = _strength(domains, how)
-    domains = domains.select(F.col("domain").alias("up"), ((F.col("bad") + k * F.col("m")) / (F.col("n") + k)).alias("m"))
-    level = level.join(broadcast_if_small(domains), level["domain"] == domains["up"]).drop("up")
+    domains = domains.select(F.col("domain").alias("up"), *[F.col(c).alias(f"up_{c}") for c in ("n", "bad", "m")])
+    level = level.join(broadcast_if_small(domains), level["domain"] == domains["up"]).withColumn("m", others(k)).select("host", "n", "bad", "m")
     k = _strength(level, how)
     a, b = F.col("bad") + k * F.col("m"), F.col("n") - F.col("bad") + k * (1 - F.col("m"))
     mean = a / (a + b)
@@ -215,13 +218,15 @@ with p as (
 ), s0 as (
   select suffix, sum(n) as n, sum(bad) as bad, coalesce((select sum(bad) / sum(n) from c), 0.0) as m from h group by 1
 ), s as (
-  select suffix, (bad + k * m) / (n + k) as m from s0, {strength("s0")}
+  select *, k from s0, {strength("s0")}
 ), d0 as (
-  select domain, suffix, sum(n) as n, sum(bad) as bad, any_value(s.m) as m from h join s using (suffix) group by 1, 2
+  select domain, suffix, sum(h.n) as n, sum(h.bad) as bad, any_value(s.n) as un, any_value(s.bad) as ub, any_value(s.m) as um, any_value(s.k) as k from h join s using (suffix) group by 1, 2
+), d1 as (
+  select domain, n, bad, (ub - bad + k * um) / (un - n + k) as m from d0
 ), d as (
-  select domain, (bad + k * m) / (n + k) as m from d0, {strength("d0")}
+  select *, k from d1, {strength("d1")}
 ), h0 as (
-  select host, n, bad, m from h join d using (domain)
+  select host, h.n, h.bad, (d.bad - h.bad + d.k * d.m) / (d.n - h.n + d.k) as m from h join d using (domain)
 ), h1 as (
   select host, (bad + k * m) / (n + k) as mean, n + k as total from h0, {strength("h0")}
 ), r as (
