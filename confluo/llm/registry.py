@@ -17,5 +17,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_decontaminate": decontaminate.ORACLE,
+    "op2_warc": warc.ORACLE,
     "op9_url_filter": url_filter.oracle(),
 }

@@ -299,3 +299,18 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_warc(pages, new_path(spark, "warc"))
     number = lambda c: F.nullif(F.regexp_replace(c, "^urn:page:", ""), F.lit("")).cast("long")
     return read_warc(manifest).select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+
+
+#: The query in DuckDB's SQL: base32 takes five hex digits (20 bits) to four letters.
+ORACLE = """
+with p as (
+  select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages
+), d as (
+  select page_id, octet_length(encode(html))::bigint as payload_bytes, min(page_id) over (partition by h) as first,
+    list_transform(generate_series(0, 7), lambda i: ('0x' || substr(h, i * 5 + 1, 5))::bigint) as v from p
+)
+select page_id, payload_bytes,
+  array_to_string(list_transform(v, lambda x: array_to_string(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> s) & 31) + 1, 1)), '')), '') as payload_digest,
+  case when first < page_id then 'revisit' else 'response' end as record_type, case when first < page_id then first end as refers_to
+from d
+"""
