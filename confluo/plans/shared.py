@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,8 +57,10 @@ def release(spark: SparkSession) -> None:
 
     A job of several written steps calls it between them, so that only one step's shuffles lie on disk.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what Python let go in the first round is only free for the second
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def sweep() -> None:

@@ -16,6 +16,7 @@ from ..functions.text import as_list, filled, normalize_emails, normalize_name,
 from ..operators.taxonomy import skills_of
 
 CSV_COLUMNS = ("name", "email", "phone", "current_company", "title", "skills")
+CSV_NAMES = "*.[cC][sS][vV]"
 EPOCH = "1970-01-01T00:00:00Z"
 
 
@@ -52,32 +53,36 @@ def record(**given: Column) -> list[Column]:
     return out
 
 
-def _csv_files(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
-    """(path, name) of the folder's CSV files, by name: a listing, one row for each file."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]").load(folder)
-    return sorted(((r[0], r[0].rsplit("/", 1)[-1]) for r in found.select("path").collect()), key=lambda x: x[1])
+def _csv_files(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """The folder's CSV files by their header line: a pass over the lines that sends one row for each file to the driver."""
+    lines = spark.read.option("pathGlobFilter", CSV_NAMES).text(folder).select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"))
+    found: dict[str, list[str]] = {}
+    for r in lines.where(F.length("value") > 0).groupBy("path").agg(F.min_by("value", "at").alias("header")).orderBy("path").toLocalIterator():
+        found.setdefault(r["header"].rstrip("\r"), []).append(r["path"])
+    return found
 
 
 def read_csv(spark: SparkSession, folder: str, source_id: str = "file_row") -> DataFrame:
     """The rows of a folder's CSV files with file, row (from 1 in each file), source and procured_at (the file's time).
 
-    Headers are read per file, so files may differ in their columns; absent ones are null,
-    unknown ones ignored. Byte-order marks, quotes and line ends in quotes are understood,
-    blank lines not counted. ``source_id``: ``file_row`` tells files apart; ``row`` names
-    rows by number alone, and of equal names the last file's counts.
+    Files may differ in their columns; those of one header are read together. Absent columns
+    are null, unknown ones ignored. Byte-order marks, quotes and line ends in quotes are
+    understood, blank lines not counted, unreadable files passed over. ``source_id``:
+    ``file_row`` tells files apart; ``row`` names rows by number alone, and of equal names
+    the last file's counts.
     """
     if source_id not in ("file_row", "row"):
         raise ValueError("source_id must be 'file_row' or 'row'")
     parts = []
-    for path, name in _csv_files(spark, folder):
-        raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-        got = {c.strip().lstrip("﻿"): c for c in raw.columns}
+    for paths in _csv_files(spark, folder).values():
+        raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("ignoreCorruptFiles", True).csv(paths)
+        got = {c.strip().lstrip("\ufeff"): c for c in raw.columns}
         shown = [(F.col(f"`{got[c]}`") if c in got else F.lit(None)).cast("string").alias(c) for c in CSV_COLUMNS]
-        order = W.partitionBy("file").orderBy("at")
-        one = raw.select(*shown, F.lit(name).alias("file"), F.col("_metadata.file_modification_time").alias("time"), F.monotonically_increasing_id().alias("at"))
-        parts.append(one.withColumn("row", F.row_number().over(order)))
+        one = raw.select(*shown, F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_modification_time").alias("time"), F.monotonically_increasing_id().alias("at"))
+        # A file with line ends in quotes is read as one split, so ids within it follow its rows.
+        parts.append(one.withColumn("row", F.row_number().over(W.partitionBy("file").orderBy("at"))))
     if not parts:
-        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in (*CSV_COLUMNS, "file")] + [T.StructField("row", T.IntegerType()), T.StructField("source", T.StringType()), T.StructField("procured_at", T.StringType())]))
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in (*CSV_COLUMNS, "file")) + ", row int, source string, procured_at string")
     rows = functools.reduce(DataFrame.unionByName, parts)
     label = F.concat(F.lit("csv_"), F.col("row")) if source_id == "row" else F.concat(F.lit("csv_"), F.col("file"), F.lit("_"), F.col("row"))
     rows = rows.select(*CSV_COLUMNS, "file", "row", label.alias("source"), iso_seconds(F.col("time")).alias("procured_at"))
