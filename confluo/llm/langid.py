@@ -167,7 +167,8 @@ class Profiles:
         """docs with the language of the closest prototype (of equally close ones the first by name) and its cosine, 0 at least.
 
         A null text, one without a letter, and every text if nothing was learned: ``und``, 0.
-        The text itself isn't kept; all other columns are. Each row is judged for itself.
+        The text itself isn't kept; all other columns are, but those named like the new ones.
+        Each row is judged for itself.
         """
         me = self
 
@@ -185,7 +186,7 @@ class Profiles:
                     lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
                 yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*b.schema.names[1:], *into])
 
-        rest = [c for c in docs.columns if c != text_col]
+        rest = [c for c in docs.columns if c != text_col and c.lower() not in map(str.lower, into)]
         own = docs.select(F.col(f"`{text_col}`"), *[F.col(f"`{c}`") for c in rest])
         schema = T.StructType([*own.drop(text_col).schema, T.StructField(into[0], T.StringType()), T.StructField(into[1], T.DoubleType())])
         return own.mapInArrow(run, schema)
