@@ -40,7 +40,7 @@ from ..plans.shared import release, settle
 #: Counts above this one aren't discounted.
 MOST = 5
 #: Tokens of a block: what one task holds at a time.
-BLOCK_TOKENS = 1_500_000
+BLOCK_TOKENS = 2_500_000
 #: Tokens that a partition of pairs is to hold.
 PARTITION_TOKENS = 2_000_000
 #: Two symbols that no word equals, as words have no white space: a text's start and its end.
@@ -258,7 +258,7 @@ def _collected(told: DataFrame, name: str, *columns: str) -> DataFrame:
 
 # --- pairs
 
-ASK_PAIRS = _schema("bucket int, block long, histories binary, sizes binary, words binary, places binary, word_counts binary, counts binary")
+ASK_PAIRS = _schema("bucket int, block long, histories binary, sizes binary, scored binary, words binary, places binary, word_counts binary, counts binary")
 TOLD_PAIRS = _schema("bucket int, block long, counts binary, seen binary, covered binary, stats longs, hot longs")
 
 
@@ -304,12 +304,16 @@ def _ask_pairs(n: int, hot: np.ndarray):
             for k in range(b.num_rows):
                 row = b.slice(k, 1).to_pylist()[0]
                 c = _Coded.of(row, n, hot)
-                own = np.bincount(c.at[np.repeat(~c.held, c.lens)], minlength=len(c.word)).astype(np.uint32)
+                trained = np.repeat(~c.held, c.lens)
+                own = np.bincount(c.at[trained], minlength=len(c.word)).astype(np.uint32)
+                # Only held-out texts have unseen pairs, and so need what their histories' seen words cover.
+                scored = np.zeros(len(c.words) + 1, np.uint8)
+                scored[c.history[c.at[~trained]]] = 1
                 names, out = np.append(c.words, START), []
                 for bucket, s, e in _slices(c.bucket):
                     histories, sizes = np.unique(c.history[s:e], return_counts=True)
                     words, places = np.unique(c.word[s:e], return_inverse=True)
-                    out.append((bucket, row["block"], pack_sorted(names[histories]), pack(sizes.astype(np.uint32)), pack_sorted(c.words[words]), pack(places.astype(np.uint32)), pack(c.counts[words]), pack(own[s:e])))
+                    out.append((bucket, row["block"], pack_sorted(names[histories]), pack(sizes.astype(np.uint32)), pack(scored[histories]), pack_sorted(c.words[words]), pack(places.astype(np.uint32)), pack(c.counts[words]), pack(own[s:e])))
                 yield _rows(ASK_PAIRS, out)
 
     return run
@@ -339,7 +343,7 @@ def _tell_pairs(model: Words, hot: np.ndarray):
                 start, end = end, end + len(p)
                 k = np.searchsorted(known, h)
                 k = np.where(known[np.minimum(k, len(known) - 1)] == h, k, len(known)) if len(known) else np.zeros(len(h), np.int64)
-                out.append((r["bucket"], r["block"], pack(total[at[start:end]]), pack(seen[:, k].ravel()), pack(covered[k]), None, None))
+                out.append((r["bucket"], r["block"], pack(total[at[start:end]]), pack(seen[:, k].ravel()), pack(covered[k] * unpack(r["scored"], np.uint8)), None, None))
             frequent = np.flatnonzero(np.isin(known, hot))
             hots = [x for k in frequent for x in (int(known[k].view(np.int64)), *seen[:, k].tolist(), int(covered[k : k + 1].view(np.int64)[0]))]
             out.append((rows[0]["bucket"], None, None, None, None, stats, hots))
