@@ -17,7 +17,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: A benchmark of at most so many distinct n-grams is sent to all tasks; a larger one is joined by shuffle.
-MOST_INLINE = 200_000
+MOST_INLINE = 100_000
 
 
 def words_of(text: Column) -> Column:
@@ -37,13 +37,13 @@ def benchmark_windows(benchmark: DataFrame, n: int = 8, id_col: str = "item_id",
     return grams.groupBy("len", "gram").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
-def _scan_sql(w: str, grams: dict[int, list[str]]) -> str:
-    """SQL for an array of (s, e, gram), ordered: the windows of the word array ``w`` that are in ``grams`` (by length)."""
+def _scan_sql(w: str, grams: dict[int, list[tuple[str, int]]]) -> str:
+    """SQL for an array of (s, e, gram), ordered: the windows of the word array ``w`` that are in ``grams`` (texts and their hashes, by length)."""
     quote = lambda g: "'" + g.replace("\\", "\\\\").replace("'", "\\'") + "'"
     parts = []
     for n, texts in sorted(grams.items()):
-        hashed = ", ".join(f"xxhash64(split({quote(g)}, ' '))" for g in texts)
-        listed = ", ".join(map(quote, texts))
+        hashed = ", ".join(f"{h}L" if h > -(1 << 63) else f"{h + 1}L - 1L" for _, h in texts)
+        listed = ", ".join(quote(g) for g, _ in texts)
         found = f"filter(if(size({w}) >= {n}, sequence(1, size({w}) - {n} + 1), cast(array() as array<int>)), i -> xxhash64(slice({w}, i, {n})) IN ({hashed}) AND array_join(slice({w}, i, {n}), ' ') IN ({listed}))"
         parts.append(f"transform({found}, i -> struct(i - 1 AS s, i - 1 + {n} AS e, array_join(slice({w}, i, {n}), ' ') AS gram))")
     if not parts:
@@ -69,12 +69,12 @@ def _merged_sql(h: str) -> str:
 def _scanned(docs: DataFrame, windows: DataFrame, text_col: str, got: str, most_inline: int) -> DataFrame:
     """docs with a struct column ``got``: n_words, n_hit, spans (merged, in words), grams (distinct, those found)."""
     text = f"`{text_col}`"
-    few = windows.select("len", "gram").limit(most_inline + 1).collect()  # proven small: the limit is one more than the bound
+    few = windows.select("len", "gram", F.xxhash64(F.split("gram", " ")).alias("hash")).limit(most_inline + 1).collect()  # proven small: the limit is one more than the bound
     finish = f"struct(cast(x.n AS long) AS n_words, {_covered_sql('x.h')} AS n_hit, {_merged_sql('x.h')} AS spans, array_distinct(x.h.gram) AS grams)"
     if len(few) <= most_inline:
-        grams: dict[int, list[str]] = {}
+        grams: dict[int, list[tuple[str, int]]] = {}
         for r in few:
-            grams.setdefault(r["len"], []).append(r["gram"])
+            grams.setdefault(r["len"], []).append((r["gram"], r["hash"]))
         with_words = docs.withColumn(got, words_of(F.col(text)))
         found = f"transform(array({got}), w -> struct(size(w) AS n, {_scan_sql('w', grams)} AS h))"
         return with_words.withColumn(got, F.expr(f"transform({found}, x -> {finish})[0]"))
