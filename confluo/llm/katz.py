@@ -40,7 +40,7 @@ from ..plans.shared import release, settle
 #: Counts above this one aren't discounted.
 MOST = 5
 #: Tokens of a block: what one task holds at a time.
-BLOCK_TOKENS = 2_500_000
+BLOCK_TOKENS = 2_000_000
 #: Tokens that a partition of pairs is to hold.
 PARTITION_TOKENS = 2_000_000
 #: Two symbols that no word equals, as words have no white space: a text's start and its end.
@@ -286,8 +286,14 @@ class _Coded:
         before[np.cumsum(lens) - lens] = len(words)
         before *= len(words) + 1
         before += tokens
-        pairs, at = np.unique(before, return_inverse=True)
+        # Like unique with its inverse, in less memory: a block's arrays are what a worker holds at most.
+        by = np.argsort(before)
+        before = before[by]
+        new = np.diff(before, prepend=-1) != 0
+        pairs, at = before[new], np.empty(len(before), np.int32)
         del before
+        at[by] = np.cumsum(new, dtype=np.int32) - 1
+        del by, new
         history, word = pairs // (len(words) + 1), pairs % (len(words) + 1)
         names = np.append(words, START)
         frequent = np.isin(names, hot)
