@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.shared import settle
 from ..plans.sizing import broadcast_if_small
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -125,7 +126,8 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame, how: Reputation = Rep
     counted = outcomes.where("bad is not null").groupBy("host").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("bad").cast("double").alias("bad"))
     every = hosts.select("host").distinct().join(counted, "host", "full_outer").fillna(0.0, ["n", "bad"])
     level = every.withColumn("suffix", suffix_of(F.col("host"), how.long_suffixes)).withColumn("domain", domain_of(F.col("host"), F.col("suffix")))
-    whole = counted.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
+    level = settle(level, "hosts")  # the pages are read once for it; all that follows reads a row for each host
+    whole = level.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     overall = (whole["bad"] / whole["n"]) if whole["n"] else 0.0
 
     # What a group shrinks to is what the others above it say: its own outcomes count once, in itself.
