@@ -34,19 +34,27 @@ def normalize_date(c: Column) -> Column:
     makes DD-MM-YYYY, YYYY-MM-DD or DD-YYYY-MM; of two, the year has four digits and the
     month two at most. A day is never checked.
     """
-    s = strip(c)
-    ongoing = F.regexp_replace(F.lower(s), f"{WS}+", "").isin(*ONGOING)
-    words = F.regexp_extract_all(F.lower(s), F.lit("([a-z]+)"), 1)
-    month = F.get(F.filter(F.transform(words, _month_number), lambda m: m.isNotNull()), F.lit(0))
-    four = filled(F.regexp_extract(s, r"(\p{Nd}{4})", 1))
-    parts = F.filter(F.transform(F.split(s, "[-/]"), strip), lambda p: p != "")
-    part = lambda k: F.get(parts, F.lit(k))
-    width = lambda k: F.length(part(k))
-    numeric = (F.size(parts) > 0) & F.forall(parts, lambda p: p.rlike(r"^\p{Nd}+\z"))
-    three = F.when(width(2) == 4, _year_month(part(2), part(1))).when(width(0) == 4, _year_month(part(0), part(1))).when(width(1) == 4, _year_month(part(1), part(2)))
-    two = F.when((width(1) == 4) & (width(0) <= 2), _year_month(part(1), part(0))).when((width(0) == 4) & (width(1) <= 2), _year_month(part(0), part(1)))
-    by_number = F.when(F.size(parts) == 3, three).when(F.size(parts) == 2, two)
-    return F.when(ongoing, None).when(month.isNotNull() & four.isNotNull(), _year_month(four, month)).when(numeric, by_number)
+
+    def of_parts(parts: Column) -> Column:
+        part = lambda k: F.get(parts, F.lit(k))
+        width = lambda k: F.length(part(k))
+        three = F.when(width(2) == 4, _year_month(part(2), part(1))).when(width(0) == 4, _year_month(part(0), part(1))).when(width(1) == 4, _year_month(part(1), part(2)))
+        two = F.when((width(1) == 4) & (width(0) <= 2), _year_month(part(1), part(0))).when((width(0) == 4) & (width(1) <= 2), _year_month(part(0), part(1)))
+        numeric = F.forall(parts, lambda p: p.rlike(r"^\p{Nd}+\z"))
+        return F.when(numeric, F.when(F.size(parts) == 3, three).when(F.size(parts) == 2, two))
+
+    def of_text(s: Column) -> Column:
+        ongoing = F.regexp_replace(F.lower(s), f"{WS}+", "").isin(*ONGOING)
+        words = F.regexp_extract_all(F.lower(s), F.lit("([a-z]+)"), 1)
+        month = F.get(F.filter(F.transform(words, _month_number), lambda m: m.isNotNull()), F.lit(0))
+        four = filled(F.regexp_extract(s, r"(\p{Nd}{4})", 1))
+        named = F.transform(F.array(F.when(four.isNotNull(), month)), lambda m: F.struct(m.isNotNull().alias("any"), _year_month(four, m).alias("value")))[0]
+        parts = F.filter(F.transform(F.split(s, "[-/]"), strip), lambda p: p != "")
+        by_number = F.transform(F.array(parts), of_parts)[0]
+        return F.when(ongoing, None).otherwise(F.transform(F.array(named), lambda n: F.when(n["any"], n["value"]).otherwise(by_number))[0])
+
+    # Arrays of one element name a value, so that it is computed once.
+    return F.transform(F.array(strip(c)), of_text)[0]
 
 
 def year_from_date(c: Column) -> Column:
