@@ -16,6 +16,8 @@ from ..functions.text import as_list, filled, normalize_emails, normalize_name,
 from ..operators.taxonomy import skills_of
 
 CSV_COLUMNS = ("name", "email", "phone", "current_company", "title", "skills")
+#: How records of either kind name the way they were made.
+CSV_METHOD, RESUME_METHOD = "normalization", "openresume+normalization"
 CSV_NAMES = "*.[cC][sS][vV]"
 EPOCH = "1970-01-01T00:00:00Z"
 
@@ -99,7 +101,7 @@ def csv_records(rows: DataFrame, skills: dict[str, str]) -> DataFrame:
     return rows.select(
         *record(
             source=F.col("source"),
-            method=F.lit("normalization"),
+            method=F.lit(CSV_METHOD),
             procured_at=F.col("procured_at"),
             full_name=normalize_name(F.col("name")),
             emails=normalize_emails(as_list(F.col("email"))),
@@ -127,7 +129,7 @@ def resume_records(spark: SparkSession, raw: DataFrame, skills: dict[str, str])
     return raw.select(
         *record(
             source=source,
-            method=F.lit("openresume+normalization"),
+            method=F.lit(RESUME_METHOD),
             procured_at=F.coalesce("procured_at", F.lit(EPOCH)),
             full_name=normalize_name(F.get(lines, F.lit(0))),
             emails=resume.extract_emails(F.col("raw_text"), F.col("links")),
