@@ -349,7 +349,7 @@ def encode(docs: DataFrame, model: Model, text_col: str = "text", into: str = "i
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 flat = np.concatenate([np.frombuffer(x, np.int32) for x in ids if len(x)] or [np.empty(0, np.int32)])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], [*part.schema.names, into])
-        t.forget()
+        compiled.cache_clear()  # a worker serves other stages too, which need its memory
 
     return own.mapInArrow(run, T.StructType([*own.schema, T.StructField(into, T.ArrayType(T.IntegerType()))]))
 
@@ -380,6 +380,7 @@ def decode(rows: DataFrame, model: Model, ids_col: str = "ids", into: str = "tex
             # One sequence at a time becomes Python numbers; a batch of them would take many times its size.
             texts = [t.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in b.column(k)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, into])
+        compiled.cache_clear()
 
     return own.mapInArrow(run, T.StructType([*own.schema, T.StructField(into, T.StringType())]))
 
