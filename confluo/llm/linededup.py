@@ -1,9 +1,10 @@
-"""Removal of multi-line passages that repeat anywhere in a corpus, by content-defined line chunks."""
+"""Removal of multi-line passages that repeat anywhere in a corpus, by content-defined chunks of lines and sentences."""
 
 from __future__ import annotations
 
 import re
 import struct
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,81 +15,111 @@ from pyspark.sql import functions as F
 
 from ..plans.shared import columns_but, settle
 
-_M64 = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15  # odd, so that multiplying keeps all bits
-_SENTENCE = re.compile(r"(?<=[.!?…。！？])[ \t]+")
+#: Ends of lines and of sentences, with the blanks after them; wide full stops need none.
+_ENDS = re.compile(r"\n|[.!?…][\"'”’»)\]]*[ \t]+|[。！？][”’」』）]*[ \t]*")
+_WIDE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"  # scripts without blanks between words
+_PLAIN = re.compile(r"\S+")
+_WIDES, _TOKEN = re.compile(f"[{_WIDE}]"), re.compile(rf"[{_WIDE}]|[^\s{_WIDE}]+")
+
+
+def words_in(text: str) -> int:
+    """Words between blanks; in scripts without blanks two letters count as one."""
+    if text.isascii():
+        return len(text.split())
+    wide = len(_WIDES.findall(text))
+    return len(_TOKEN.findall(text)) - wide + (wide + 1) // 2 if wide else len(text.split())
 
 
 @dataclass(frozen=True)
 class Chunker:
-    """Cuts texts into chunks of lines at places that the lines around them alone decide.
-
-    A line of over ``long_line`` characters counts as several, cut after its sentences, so
-    that a passage in one line is of several lines too. A chunk ends after a line where the
-    rolling hash of the last ``window`` line hashes is 0 modulo ``spread``, if the chunk has
-    at least two lines and ``least_words`` words; before and after an uncut line of at least
-    ``paragraph_words`` words; and after ``most_lines`` lines. Blank lines belong to the line
-    before them and aren't hashed.
+    """Cuts texts into chunks at places that the words at the cut alone decide.
+
+    Pieces are lines, cut after their sentences; one of over ``long_words`` words is cut
+    further, after a word whose hash with the word before it is 0 modulo ``spread``, and after
+    ``long_words`` words. A piece of ``least_words`` words is a chunk. A run of shorter
+    ones is a chunk, ended where it has twice that many words and the last one's hash is even,
+    and after ``most_lines``. A line of at least ``paragraph_words`` words opens and closes a chunk.
     """
 
-    window: int = 2
-    spread: int = 2
-    least_words: int = 8
+    spread: int = 8
+    least_words: int = 4
+    long_words: int = 32
     paragraph_words: int = 40
-    long_line: int = 200
     most_lines: int = 64
+    #: A repeated passage of one line or sentence is cut from so many words on; of several, from least_passage.
+    single_words: int = 40
+    least_passage: int = 8
 
     def lines(self, text: str) -> Iterator[tuple[int, int, int, bool, bool]]:
-        """(start, end, words, opens, closes) of each counted line; they cover the text from the first on.
+        """(start, end, words, opens, closes) of each piece; they cover the text.
 
         opens, closes: it starts or ends a line of at least ``paragraph_words`` words.
         """
-        at = 0
-        for line in text.split("\n"):
-            stop = min(at + len(line) + 1, len(text))
-            words = len(line.split())
-            large = words >= self.paragraph_words
-            if len(line) > self.long_line:
-                cuts = [at + m.end() for m in _SENTENCE.finditer(line)]
-                cuts = [c for c in cuts if c < at + len(line)]
-                edges = [at, *cuts, stop]
-                for k in range(len(edges) - 1):
-                    yield edges[k], edges[k + 1], len(text[edges[k] : edges[k + 1]].split()), large and k == 0, large and k == len(edges) - 2
-            elif stop > at:
-                yield at, stop, words, large, large
-            at = stop
+        held, total, at = [], 0, 0
+        for stop in [*(m.end() for m in _ENDS.finditer(text)), len(text)]:
+            if stop > at:
+                n = words_in(text[at:stop])
+                held += self._parts(text, at, stop) if n > self.long_words else [(at, stop, n)]
+                total, at = total + n, stop
+            if held and (stop == len(text) or text[stop - 1] == "\n"):
+                large, last = total >= self.paragraph_words, len(held) - 1
+                for k, x in enumerate(held):
+                    yield *x, large and k == 0, large and k == last
+                held, total = [], 0
+
+    def _parts(self, text: str, start: int, stop: int) -> list[tuple[int, int, int]]:
+        found, at, since, pair, last = [], start, 0, 1, 0
+        plain = text[start:stop].isascii()
+        for k, m in enumerate((_PLAIN if plain else _TOKEN).finditer(text, start, stop)):
+            if k - since >= self.long_words or ((pair >> 7) % self.spread == 0 and k > since + 1):
+                here = m.start()
+                found.append((at, here, k - since if plain else words_in(text[at:here])))
+                at, since = here, k
+            now = zlib.crc32(m[0].encode("utf-8", "surrogatepass"))
+            pair, last = now ^ last * 5, now
+        return [*found, (at, stop, words_in(text[at:stop]))]
 
     def chunks(self, text: str) -> list[tuple[int, int, int, int]]:
-        """(start, end, lines, words) of each chunk."""
-        found, roll, recent, top = [], 0, [], pow(_BASE, self.window, 1 << 64)
-        start = end = 0
-        lines = words = 0
-
-        def close() -> None:
-            nonlocal start, lines, words
-            if end > start:
+        """(start, end, lines, words) of each chunk; a piece of ``least_words`` words counts as two lines."""
+        found = []
+        start = end = lines = words = 0
+        for at, stop, n, opens, closes in self.lines(text):
+            small = n < self.least_words
+            if lines and (opens or (n and not small)):
                 found.append((start, end, lines, words))
-            start, lines, words = end, 0, 0
-
-        for _, stop, n, opens, closes in self.lines(text):
+                start, lines, words = end, 0, 0
+            end = stop
             if not n:
-                end = stop
                 continue
-            if opens and lines:
-                close()
-            h = xxhash.xxh3_64_intdigest(text[end:stop].strip().encode("utf-8", "surrogatepass"))
-            end = stop
-            recent.append(h)
-            roll = (roll * _BASE + h) & _M64
-            if len(recent) > self.window:
-                roll = (roll - recent.pop(0) * top) & _M64
-            lines, words = lines + 1, words + n
-            chosen = len(recent) == self.window and (((roll ^ roll >> 29) * _BASE & _M64) >> 40) % self.spread == 0
-            if closes or lines >= self.most_lines or (chosen and lines >= 2 and words >= self.least_words):
-                close()
-        close()
+            lines, words = lines + (2 if n >= self.least_words else 1), words + n
+            if not small or closes or lines >= self.most_lines or (words >= 2 * self.least_words and not zlib.crc32(text[at:stop].strip().encode("utf-8", "surrogatepass")) & 1):
+                found.append((start, end, lines, words))
+                start, lines, words = end, 0, 0
+        if end > start:
+            found.append((start, end, lines, words))
         return found
 
+    def passages(self, text: str, listed: list[dict]) -> list[tuple[int, int]]:
+        """The spans to cut: runs of repeated chunks that follow each other where they come first, too."""
+        runs: list[list] = []
+        for c in listed:
+            if c["first"]:
+                continue
+            gap = text[runs[-1][1] : c["start"]] if runs and c["start"] - runs[-1][1] < 200 else None
+            after, before = (runs[-1][2] & 2, c["near"] & 1) if runs else (0, 0)
+            # Words too few for a chunk to be listed go if they stand between the same chunks at the first place.
+            if gap is not None and ((not gap and (after or before)) or (after and before and words_in(gap) < self.least_words)):
+                runs[-1][1:] = [c["end"], c["near"]]
+            else:
+                runs.append([c["start"], c["end"], c["near"]])
+        out = []
+        for start, end, _ in runs:
+            said = text[start:end]
+            words = words_in(said)
+            if words >= self.single_words or (words >= self.least_passage and _ENDS.search(said.strip())):
+                out.append((start, end))
+        return out
+
 
 def content(text: str) -> str:
     """What chunks are compared by: the lines stripped of white space at their ends, without blank ones."""
@@ -101,14 +132,18 @@ def _chunks(how: Chunker):
             ids, marks, rows = b.column("id"), b.column("mark"), []
             for k, t in enumerate(b.column("text")):
                 text = t.as_py()
-                for start, end, lines, words in how.chunks(text) if text else ():
+                own = how.chunks(text) if text else []
+                hashes = [struct.unpack("<qII", xxhash.xxh3_128_digest(content(text[start:end]).encode("utf-8", "surrogatepass"))) for start, end, _, _ in own]
+                last = len(own) - 1
+                for j, (start, end, lines, words) in enumerate(own):
                     if lines >= 2 and words >= how.least_words:
-                        h = struct.unpack("<qq", xxhash.xxh3_128_digest(content(text[start:end]).encode("utf-8", "surrogatepass")))
-                        rows.append((k, start, end, *h))
+                        before, after = hashes[j - 1][1] >> 1 | 1 if j else 0, hashes[j + 1][1] >> 1 | 1 if j < last else 0
+                        rows.append((k, start, end, hashes[j][0], before, after))
             which = pa.array([r[0] for r in rows], pa.int32())
+            types = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [ids.take(which), marks.take(which), *(pa.array([r[c] for r in rows], t) for c, t in ((1, pa.int32()), (2, pa.int32()), (3, pa.int64()), (4, pa.int64())))],
-                ["id", "mark", "start", "end", "h1", "h2"],
+                [ids.take(which), marks.take(which), *(pa.array([r[c + 1] for r in rows], t) for c, t in enumerate(types))],
+                ["id", "mark", "start", "end", "h", "before", "after"],
             )
 
     return run
@@ -120,7 +155,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for k, (t, listed) in enumerate(zip(b.column("text"), b.column("chunks"), strict=True)):
             text = t.as_py()
-            rows += [(k, c["start"], c["h1"], c["h2"], c["first"], content(text[c["start"] : c["end"]])) for c in listed.as_py()]
+            rows += [(k, c["start"], c["h"], c["first"], content(text[c["start"] : c["end"]])) for c in listed.as_py()]
             if len(rows) >= 5000:
                 yield _packed(b, rows)
                 rows = []
@@ -129,8 +164,8 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _packed(b: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
     which = pa.array([r[0] for r in rows], pa.int32())
-    types = (pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.string())
-    return pa.RecordBatch.from_arrays([b.column("id").take(which), b.column("mark").take(which), *(pa.array([r[c + 1] for r in rows], t) for c, t in enumerate(types))], ["id", "mark", "start", "h1", "h2", "first", "content"])
+    types = (pa.int32(), pa.int64(), pa.bool_(), pa.string())
+    return pa.RecordBatch.from_arrays([b.column("id").take(which), b.column("mark").take(which), *(pa.array([r[c + 1] for r in rows], t) for c, t in enumerate(types))], ["id", "mark", "start", "h", "first", "content"])
 
 
 def cut_out(text: str, spans: list[tuple[int, int]]) -> str:
@@ -141,12 +176,18 @@ def cut_out(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*kept, text[at:]])
 
 
-def _cut(text_col: str, chunks: str):
+def _cut(how: Chunker, text_col: str, chunks: str, removed: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             k = b.schema.get_field_index(text_col)
-            texts = [cut_out(t.as_py(), [(c["start"], c["end"]) for c in listed.as_py() if not c["first"]]) for t, listed in zip(b.column(k), b.column(chunks), strict=True)]
-            yield b.set_column(k, text_col, pa.array(texts, pa.string()))
+            texts, gone = [], []
+            for t, listed in zip(b.column(k), b.column(chunks), strict=True):
+                text = t.as_py()
+                spans = how.passages(text, listed.as_py())
+                texts.append(cut_out(text, spans) if spans else text)
+                gone.append([{"start": s, "end": e} for s, e in spans])
+            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+            yield b.set_column(k, text_col, pa.array(texts, pa.string())).append_column(removed, pa.array(gone, kind))
 
     return run
 
@@ -156,11 +197,13 @@ def _key(text: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame, how: Chunker = Chunker(), id_col: str = "doc_id", text_col: str = "text", removed: str | None = None) -> DataFrame:
-    """docs with every repeat of a multi-line chunk cut from its text; the first one (by id, then place) stays.
+    """docs with every repeat of a passage cut from its text; the first one (by id, then place) stays.
 
+    A passage is a run of repeated chunks, of which each follows the one before it at the
+    first place of one of the two as well. It is cut if it has several lines or sentences
+    and ``least_passage`` words, or ``single_words`` words; a lone repeated line stays.
     ``removed`` names a column for the spans cut, (start, end) in characters of the old text;
-    without it the columns are those of docs. Chunks of one line, or of fewer than
-    ``least_words`` words, are left alone. Candidates meet by a 128-bit hash of their
+    without it the columns are those of docs. Candidates meet by a 64-bit hash of their
     content; each is compared with the first one's content before it is cut. Rows equal in
     id and text are one document, which repeats nothing by that: they come out alike. Null
     and empty texts stay as they are; a null id is the smallest. An empty table gives no rows.
@@ -172,27 +215,29 @@ def dedup_lines(docs: DataFrame, how: Chunker = Chunker(), id_col: str = "doc_id
     spans, mark = f"{p}_chunks", f"{p}_mark"
     text, ids = F.col(f"`{text_col}`"), docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(f"`{id_col}`").alias("id"), _key(text).alias("mark"), text.alias("text"))
-    found = settle(own.mapInArrow(_chunks(how), f"id {ids}, mark long, start int, end int, h1 long, h2 long"), "chunks")
+    found = settle(own.mapInArrow(_chunks(how), f"id {ids}, mark long, start int, end int, h long, before int, after int"), "chunks")
 
-    # Which halves of hashes occur twice is told by a count of narrow rows; the places of chunks
-    # are shuffled after that, and only those of repeats meet again. A struct as key has both
+    # Which hashes occur twice is told by a count of narrow rows; the places of chunks are
+    # shuffled after that, and only those of repeats meet again. A struct as key has both
     # sides exchanged for its join alone, so a hot chunk's rows can be split.
-    twice = found.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.struct("h1").alias("k"))
-    again = settle(found.withColumn("k", F.struct("h1")).join(twice, "k", "left_semi").drop("k"), "again")
+    twice = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.struct("h").alias("k"))
+    again = settle(found.withColumn("k", F.struct("h")).join(twice, "k", "left_semi").drop("k"), "again")
     place = F.struct("id", "mark", "start")
-    least = again.groupBy("h1", "h2").agg(F.min(place).alias("least"), F.max(place).alias("last")).where("not (least <=> last)")
-    least = least.select(F.struct("h1", "h2").alias("k"), "least")
-    repeats = again.withColumn("k", F.struct("h1", "h2")).join(least, "k")
-    listed = repeats.withColumn("first", place.eqNullSafe(F.col("least"))).groupBy("id", "mark")
-    listed = listed.agg(F.array_sort(F.collect_set(F.struct("start", "end", "h1", "h2", "first"))).alias(spans)).withColumnsRenamed({"id": f"{p}_id", "mark": mark})
+    whole_place = F.struct("id", "mark", "start", "before", "after")
+    least = again.groupBy("h").agg(F.min(whole_place).alias("least"), F.max(place).alias("last")).where("not (struct(least.id, least.mark, least.start) <=> last)")
+    least = least.select(F.struct("h").alias("k"), "least")
+    repeats = again.withColumn("k", F.struct("h")).join(least, "k")
+    near = F.expr("if(before = least.before AND before <> 0, 1, 0) + if(after = least.after AND after <> 0, 2, 0)")
+    listed = repeats.withColumn("first", place.eqNullSafe(F.expr("struct(least.id, least.mark, least.start)"))).withColumn("near", near).groupBy("id", "mark")
+    listed = listed.agg(F.array_sort(F.collect_set(F.struct("start", "end", "h", "first", "near"))).alias(spans)).withColumnsRenamed({"id": f"{p}_id", "mark": mark})
     joined = docs.join(listed, F.col(f"`{id_col}`").eqNullSafe(F.col(f"{p}_id")) & (_key(text) == F.col(mark)), "left")
     met = settle(joined.drop(f"{p}_id", mark), "met")
 
     some = met.where(F.col(spans).isNotNull())
     whole = some.select(F.col(f"`{id_col}`").alias("id"), _key(text).alias("mark"), text.alias("text"), F.col(spans).alias("chunks"))
-    contents = whole.mapInArrow(_texts, f"id {ids}, mark long, start int, h1 long, h2 long, first boolean, content string")
-    firsts = contents.where("first").groupBy("h1", "h2").agg(F.min("content").alias("said")).select(F.struct("h1", "h2").alias("k"), "said")
-    wrong = contents.where("not first").withColumn("k", F.struct("h1", "h2")).join(firsts, "k").where("content <> said")
+    contents = whole.mapInArrow(_texts, f"id {ids}, mark long, start int, h long, first boolean, content string")
+    firsts = contents.where("first").groupBy("h").agg(F.min("content").alias("said")).select(F.struct("h").alias("k"), "said")
+    wrong = contents.where("not first").withColumn("k", F.struct("h")).join(firsts, "k").where("content <> said")
     wrong = settle(wrong.select("id", "mark", "start").distinct(), "unlike")
     if wrong.limit(1).count():  # equal hashes of unlike chunks: they stay
         kept = wrong.groupBy("id", "mark").agg(F.collect_set("start").alias("starts")).withColumnsRenamed({"id": f"{p}_id", "mark": mark, "starts": f"{p}_starts"})
@@ -200,13 +245,12 @@ def dedup_lines(docs: DataFrame, how: Chunker = Chunker(), id_col: str = "doc_id
         met = met.withColumn(spans, F.expr(f"filter({spans}, c -> NOT coalesce(array_contains({p}_starts, c.start), false))")).drop(f"{p}_id", mark, f"{p}_starts")
 
     cut = F.exists(F.col(spans), lambda c: ~c["first"])
+    gone, kind = removed or f"{p}_removed", "array<struct<start:int,end:int>>"
     touched = met.where(cut)
-    edited = touched.mapInArrow(_cut(text_col, spans), touched.schema)
-    all_rows = met.where(~F.coalesce(cut, F.lit(False))).unionByName(edited)
-    if removed:
-        gone = F.expr(f"transform(filter(coalesce({spans}, array()), c -> NOT c.first), c -> struct(c.start AS start, c.end AS end))")
-        all_rows = all_rows.withColumn(removed, gone)
-    return all_rows.drop(spans)
+    schema = touched.withColumn(gone, F.lit(None).cast(kind)).schema
+    edited = touched.mapInArrow(_cut(how, text_col, spans, gone), schema)
+    all_rows = met.where(~F.coalesce(cut, F.lit(False))).withColumn(gone, F.expr(f"cast(array() as {kind})")).unionByName(edited)
+    return all_rows.drop(spans) if removed else all_rows.drop(spans, gone)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -195,6 +195,42 @@ def test_spans_and_nothing(spark):
     assert linededup.dedup_lines(docs(spark, [(1, None), (2, "")])).count() == 2
 
 
+def planted(layout, n=30):
+    """Texts with one passage of 52 to 90 words in two of them each, and the passages."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    own = lambda k: [" ".join(word() for _ in range(rng.randrange(3, 16))) + "." for _ in range(k)]
+    texts, said = [], []
+    for k in range(2 * n):
+        if k % 2 == 0:
+            if layout in ("sentence", "wide"):
+                p = [", ".join(word() for _ in range(60))] if layout == "sentence" else ["".join(chr(rng.randrange(0x4E00, 0x9000)) + "，" * (j % 9 == 8) for j in range(130))]
+            else:
+                p = []
+                while sum(len(x.split()) for x in p) < 52:
+                    p += own(1)
+            said.append(p)
+        gap = " " if layout == "paragraph" else "\n"
+        texts.append((k, gap.join([*own(5), *said[-1], *own(5)])))
+    return texts, said
+
+
+@pytest.mark.parametrize("layout", ["lines", "paragraph"])
+def test_planted_passages_go(spark, layout):
+    texts, said = planted(layout)
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs(spark, texts)).collect()}
+    assert all(got[i] == t for i, t in texts if i % 2 == 0)
+    whole = sum(len("".join(p)) for p in said)
+    gone = sum(len(t) - len(got[i]) for i, t in texts if i % 2)
+    assert 0.9 * whole <= gone <= 1.1 * whole
+
+
+def test_a_lone_repeated_line_stays(spark):
+    line = "All rights reserved by the owners of this page and of its parts."
+    texts = [(k, f"Text number {k} has words of its own.\n{line}\nIts end is its own too, as number {k}.") for k in range(6)]
+    assert {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs(spark, texts)).collect()} == dict(texts)
+
+
 # --- language ID
 
 
