@@ -36,7 +36,7 @@ class Chunker:
 
     Pieces are lines, cut after their sentences; one of over ``long_words`` words is cut
     further, after a word whose hash with the word before it is 0 modulo ``spread``, and after
-    ``long_words`` words. A piece of ``least_words`` words is a chunk. A run of shorter
+    ``long_words`` words, into pieces of ``least_words`` words at least. A piece of ``least_words`` words is a chunk. A run of shorter
     ones is a chunk, ended where it has twice that many words and the last one's hash is even,
     and after ``most_lines``. A line of at least ``paragraph_words`` words opens and closes a chunk.
     """
@@ -69,14 +69,17 @@ class Chunker:
 
     def _parts(self, text: str, start: int, stop: int) -> list[tuple[int, int, int]]:
         found, at, since, pair, last = [], start, 0, 1, 0
-        plain = text[start:stop].isascii()
+        plain = not _WIDES.search(text, start, stop)
+        fewest, k = self.least_words * (1 if plain else 2), -1
         for k, m in enumerate((_PLAIN if plain else _TOKEN).finditer(text, start, stop)):
-            if k - since >= self.long_words or ((pair >> 7) % self.spread == 0 and k > since + 1):
+            if k - since >= self.long_words or ((pair >> 7) % self.spread == 0 and k - since >= fewest):
                 here = m.start()
                 found.append((at, here, k - since if plain else words_in(text[at:here])))
                 at, since = here, k
             now = zlib.crc32(m[0].encode("utf-8", "surrogatepass"))
             pair, last = now ^ last * 5, now
+        if found and k + 1 - since < fewest:  # too few for a piece of their own
+            at = found.pop()[0]
         return [*found, (at, stop, words_in(text[at:stop]))]
 
     def chunks(self, text: str) -> list[tuple[int, int, int, int]]:

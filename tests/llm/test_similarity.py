@@ -215,7 +215,7 @@ def planted(layout, n=30):
     return texts, said
 
 
-@pytest.mark.parametrize("layout", ["lines", "paragraph"])
+@pytest.mark.parametrize("layout", ["lines", "paragraph", "sentence", "wide"])
 def test_planted_passages_go(spark, layout):
     texts, said = planted(layout)
     got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs(spark, texts)).collect()}
