@@ -168,7 +168,7 @@ def link_fingerprints(marks: DataFrame, threshold: int = 2, radius: int | None =
     return met.mapInArrow(_compare(threshold), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text", links: DataFrame | None = None) -> DataFrame:
     """(doc_id, fingerprint, component_id) for each row of docs.
 
     fingerprint: 16 hex digits of the SimHash of the text's 3-word shingles; a null text is
@@ -176,12 +176,14 @@ def near_duplicates(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id",
     ``threshold`` bits (null ids are passed over; null if the component has no other).
     Equal fingerprints are one node, so copies cost a row each and no pairs. Repeated rows
     each give a row. An empty table gives no rows; further columns are ignored.
+    ``links``, (a, b), are further pairs of fingerprints to join.
     """
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     ids = own.schema["doc_id"].dataType.simpleString()
     marked = settle(own.mapInArrow(_fingerprints, f"doc_id {ids}, mark long"), "fingerprints")
     nodes = settle(marked.groupBy("mark").agg(F.min("doc_id").alias("least")), "nodes")
-    joined = connected_components(link_fingerprints(nodes, threshold))
+    near = link_fingerprints(nodes, threshold)
+    joined = connected_components(near.unionByName(links) if links is not None else near)
     # Fingerprints without links stand for themselves.
     led = nodes.join(joined, nodes["mark"] == joined["node"], "left").select(nodes["mark"], "least", F.coalesce("component", "mark").alias("root"))
     roots = led.groupBy("root").agg(F.min("least").alias("component_id")).select(F.struct("root").alias("k"), "component_id")
@@ -190,13 +192,13 @@ def near_duplicates(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id",
     return marked.withColumn("key", F.struct("mark")).join(named, "key").select("doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text", links: DataFrame | None = None) -> DataFrame:
     """The rows of docs whose id is their component's smallest; of rows repeated under that id one stays, columns unchanged.
 
     Rows without an id can't be named and stay.
     """
     p = columns_but(docs)
-    found = near_duplicates(docs, threshold, id_col, text_col)
+    found = near_duplicates(docs, threshold, id_col, text_col, links)
     kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(p)).distinct()
     once = docs.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col])
     named = once.join(kept, F.col(f"`{id_col}`") == F.col(p), "left_semi")

@@ -11,6 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from confluo.llm import langid, linededup, simhash
 from tests.llm.test_rules import DOCS, TEXTS, docs
 
@@ -105,6 +106,23 @@ def test_a_full_anchor_gives_few_links():
     assert len(simhash.links_within(marks, 2)) == len(marks) - 1
 
 
+def test_the_stage_finds_pairs_of_jaccard_08(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    base = [[word() for _ in range(250)] for _ in range(20)]
+    texts = [(k, " ".join(w)) for k, w in enumerate(base)]
+    texts += [(100 + k, " ".join(["new"] * (k % 2 == 0) + [word() if j in (40, 140, 200) else x for j, x in enumerate(w)])) for k, w in enumerate(base)]
+    texts += [(200 + k, " ".join(w[:125] + [word() for _ in range(125)])) for k, w in enumerate(base)]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in texts)]
+    alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert all(alike(k, 20 + k) >= 0.8 > alike(k, 40 + k) for k in range(20))
+    own = docs(spark, texts)
+    assert simhash.drop_near_duplicates(own).count() > 45
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, own, "").collect()}
+    assert kept == {*range(20), *range(200, 220)}
+    assert corpus_pipeline.near_duplicates(spark, docs(spark, [(1, None), (2, ""), (None, "a b")]), "").count() == 2
+
+
 # --- line dedup
 
 
