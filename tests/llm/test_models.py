@@ -231,5 +231,15 @@ def test_pipeline(spark, tmp_path, model, public):
     assert not {2000, 2001, 2002, 2003, 2004} & set(got)
 
 
+def test_short_items_cost_no_document(spark, tmp_path):
+    leak = " ".join(f"leaked{k}" for k in range(14))
+    spark.createDataFrame([(1, leak), (2, "a b"), (3, None), (4, "")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    texts = [(1, "this is a b c"), (2, f"x {leak} y"), (3, "a b"), (4, None), (5, "clean text")]
+    own = docs(spark, texts).withColumn("n_chars", F.length("text").cast("long"))
+    got = corpus_pipeline.benchmark_decontamination(spark, own, str(tmp_path))
+    assert got.columns == own.columns
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in got.collect()} == {1: ("this is c", 9), 4: (None, None), 5: ("clean text", 10)}
+
+
 def test_stages_name_their_operators():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_duplicates", "benchmark", "tokens"]
