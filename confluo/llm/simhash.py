@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..plans.shared import columns_but, settle
+from ..plans.sizing import broadcast_if_small
 
 SEED = 42
 BITS = 64
@@ -168,6 +169,13 @@ def link_fingerprints(marks: DataFrame, threshold: int = 2, radius: int | None =
     return met.mapInArrow(_compare(threshold), "a long, b long").distinct()
 
 
+def _rooted(nodes: DataFrame, threshold: int, links: DataFrame | None) -> DataFrame:
+    """nodes (distinct ``mark`` and more) with ``root``, the smallest fingerprint reachable; those without links are their own."""
+    near = link_fingerprints(nodes, threshold)
+    joined = connected_components(near.unionByName(links) if links is not None else near)
+    return nodes.join(joined, nodes["mark"] == joined["node"], "left").select(*[nodes[c] for c in nodes.columns], F.coalesce("component", "mark").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text", links: DataFrame | None = None) -> DataFrame:
     """(doc_id, fingerprint, component_id) for each row of docs.
 
@@ -178,14 +186,11 @@ def near_duplicates(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id",
     each give a row. An empty table gives no rows; further columns are ignored.
     ``links``, (a, b), are further pairs of fingerprints to join.
     """
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    own = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     ids = own.schema["doc_id"].dataType.simpleString()
     marked = settle(own.mapInArrow(_fingerprints, f"doc_id {ids}, mark long"), "fingerprints")
     nodes = settle(marked.groupBy("mark").agg(F.min("doc_id").alias("least")), "nodes")
-    near = link_fingerprints(nodes, threshold)
-    joined = connected_components(near.unionByName(links) if links is not None else near)
-    # Fingerprints without links stand for themselves.
-    led = nodes.join(joined, nodes["mark"] == joined["node"], "left").select(nodes["mark"], "least", F.coalesce("component", "mark").alias("root"))
+    led = _rooted(nodes, threshold, links)
     roots = led.groupBy("root").agg(F.min("least").alias("component_id")).select(F.struct("root").alias("k"), "component_id")
     named = led.withColumn("k", F.struct("root")).join(roots, "k").select(F.struct("mark").alias("key"), "component_id")
     # A struct as key has both sides exchanged for this join alone, so adaptive execution can split a hot fingerprint.
@@ -193,16 +198,33 @@ def near_duplicates(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id",
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text", links: DataFrame | None = None) -> DataFrame:
-    """The rows of docs whose id is their component's smallest; of rows repeated under that id one stays, columns unchanged.
+    """One row of each group of near-duplicates, columns unchanged.
 
-    Rows without an id can't be named and stay.
+    Groups are those of ``near_duplicates``, found from the rows' own texts, so rows that
+    share an id but no text are told apart. The row of the smallest id stays (one without an
+    id only if all are); of several under that id the one whose hash over all columns is the
+    smallest, which is the same row however the table is partitioned; of rows equal in every
+    column one. Null and empty texts are one group. An empty table gives no rows.
     """
     p = columns_but(docs)
-    found = near_duplicates(docs, threshold, id_col, text_col, links)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(p)).distinct()
-    once = docs.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col])
-    named = once.join(kept, F.col(f"`{id_col}`") == F.col(p), "left_semi")
-    return named.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
+    same = [F.to_json(F.struct(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema]
+    hashed = docs.withColumn(p, F.xxhash64(*same))
+    own = hashed.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.col(p).alias("h"))
+    ids = own.schema["doc_id"].dataType.simpleString()
+    marked = settle(own.mapInArrow(_fingerprints, f"doc_id {ids}, mark long, h long"), "fingerprints")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h"))
+    led = _rooted(settle(marked.groupBy("mark").agg(best.alias("least")), "nodes"), threshold, links)
+    stay = led.groupBy("root").agg(F.min("least").alias("least")).select("least.doc_id", "least.h")
+    # Those that go are mostly few; so are rows equal in all columns, of which only the ones that stay are brought together.
+    rows = marked.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n"))
+    told = rows.join(stay.withColumn("stays", F.lit(True)), rows["doc_id"].eqNullSafe(stay["doc_id"]) & (rows["h"] == stay["h"]), "left").select(rows["doc_id"], rows["h"], "n", "stays")
+    odd = settle(told.where("stays IS NULL OR n > 1"), "odd").withColumnsRenamed({"doc_id": f"{p}_id", "h": f"{p}_h", "n": f"{p}_n", "stays": f"{p}_stays"})
+    met = F.col(f"`{id_col}`").eqNullSafe(F.col(f"{p}_id")) & (F.col(p) == F.col(f"{p}_h"))
+    once = hashed.join(broadcast_if_small(odd), met, "left_anti").drop(p)
+    again = odd.where(f"{p}_stays")
+    if not again.limit(1).count():
+        return once
+    return once.unionByName(hashed.join(broadcast_if_small(again), met, "left_semi").dropDuplicates([id_col, p]).drop(p))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,13 +57,28 @@ def test_components_of_texts(spark):
     assert len(set(comp)) < len(set(marks))  # some links are between different fingerprints
     kept = simhash.drop_near_duplicates(docs(spark, texts).withColumn("_c", F.lit(0)))
     assert kept.columns == ["doc_id", "text", "lang", "_c"]
-    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted(set(least.values()))
+    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted(least.values())  # one for each component
 
 
 def test_no_documents(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0 and simhash.drop_near_duplicates(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 2, 3, 7])
+def test_repeated_ids_are_told_apart(spark, parts):
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(900)]
+    a, b, c = (" ".join(words[300 * k : 300 * k + 300]) for k in range(3))
+    rows = [(3, a, "x"), (5, a, "x"), (5, b, "x"), (5, b, "x"), (5, b, "y"), (7, b, "z"), (None, c, "x"), (None, c, "x"), (None, a, "x"), (9, None, "x"), (10, "", "x"), (10, " ", "x")]
+    own = spark.createDataFrame(rows, DOCS).withColumn("h", F.create_map(F.lit("k"), F.col("lang"))).withColumn("least", F.lit(1)).withColumn("n", F.lit(2)).repartition(parts)
+    kept = simhash.drop_near_duplicates(own)
+    assert kept.columns == own.columns
+    got = sorted(((r["doc_id"], r["text"], r["lang"]) for r in kept.collect()), key=str)
+    fives = [r for r in got if r[0] == 5]
+    assert [r[:2] for r in got if r[0] != 5] == [(3, a), (9, None), (None, c)] and len(fives) == 1 and fives[0][1] == b
+    assert got == sorted(((r["doc_id"], r["text"], r["lang"]) for r in simhash.drop_near_duplicates(own.repartition(5)).collect()), key=str)
+
+
 @pytest.mark.parametrize("radius", [1, 2, 3])
 def test_anchors_are_all_code_words_near(radius):
     marks = np.random.default_rng(2).integers(0, 1 << 63, 3, np.uint64) * np.uint64(2) + np.uint64(1)
