@@ -1,23 +1,27 @@
 """Benchmark decontamination with DataFrame functions only.
 
-The benchmark's n-grams become a hash set that travels with the plan (an IN list of
-64-bit hashes); every window of every document is looked up in it where the row lies, so
-texts are never shuffled. A hit is verified against the n-gram itself.
+The 64-bit hashes of the benchmark's n-grams are broadcast as a hash set, in blocks of a
+fixed size, mostly one. Every window of every document is hashed and looked up where the row
+lies, so what is shuffled of the corpus is its hits, however large the benchmark is. A hit is
+verified by a join with the n-gram's text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.shared import columns_but, settle
+from ..plans.sizing import broadcast_if_small
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What lies between words, after lower-casing; and words themselves in either case.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: A benchmark of at most so many distinct n-grams is sent to all tasks; a larger one is joined by shuffle.
-MOST_INLINE = 100_000
+#: Hashes that are broadcast at a time, 8 bytes each. A benchmark with more takes a pass over the texts for each block.
+BLOCK_HASHES = 2_000_000
 
 
 def words_of(text: Column) -> Column:
@@ -37,110 +41,106 @@ def benchmark_windows(benchmark: DataFrame, n: int = 8, id_col: str = "item_id",
     return grams.groupBy("len", "gram").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
-def _scan_sql(w: str, grams: dict[int, list[tuple[str, int]]]) -> str:
-    """SQL for an array of (s, e, gram), ordered: the windows of the word array ``w`` that are in ``grams`` (texts and their hashes, by length)."""
-    quote = lambda g: "'" + g.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    parts = []
-    for n, texts in sorted(grams.items()):
-        hashed = ", ".join(f"{h}L" if h > -(1 << 63) else f"{h + 1}L - 1L" for _, h in texts)
-        listed = ", ".join(quote(g) for g, _ in texts)
-        found = f"filter(if(size({w}) >= {n}, sequence(1, size({w}) - {n} + 1), cast(array() as array<int>)), i -> xxhash64(slice({w}, i, {n})) IN ({hashed}) AND array_join(slice({w}, i, {n}), ' ') IN ({listed}))"
-        parts.append(f"transform({found}, i -> struct(i - 1 AS s, i - 1 + {n} AS e, array_join(slice({w}, i, {n}), ' ') AS gram))")
-    if not parts:
-        return "cast(array() as array<struct<s:int,e:int,gram:string>>)"
-    return parts[0] if len(parts) == 1 else f"array_sort(concat({', '.join(parts)}))"
-
-
-def _covered_sql(h: str) -> str:
-    """SQL for the number of words in the union of the ordered spans ``h``."""
-    return f"aggregate({h}, struct(0 AS e, 0L AS t), (a, x) -> struct(greatest(a.e, x.e) AS e, a.t + greatest(0, x.e - greatest(a.e, x.s)) AS t), a -> a.t)"
-
-
-def _merged_sql(h: str) -> str:
-    """SQL for the ordered spans ``h`` merged where they touch."""
-    none = "cast(array() as array<struct<s:int,e:int>>)"
-    return (
-        f"aggregate({h}, {none}, (a, x) -> CASE WHEN size(a) > 0 AND a[size(a) - 1].e >= x.s"
-        f" THEN concat(slice(a, 1, size(a) - 1), array(struct(a[size(a) - 1].s AS s, greatest(a[size(a) - 1].e, x.e) AS e)))"
-        f" ELSE concat(a, array(struct(x.s AS s, x.e AS e))) END)"
-    )
-
-
-def _scanned(docs: DataFrame, windows: DataFrame, text_col: str, got: str, most_inline: int) -> DataFrame:
-    """docs with a struct column ``got``: n_words, n_hit, spans (merged, in words), grams (distinct, those found)."""
-    text = f"`{text_col}`"
-    few = windows.select("len", "gram", F.xxhash64(F.split("gram", " ")).alias("hash")).limit(most_inline + 1).collect()  # proven small: the limit is one more than the bound
-    finish = f"struct(cast(x.n AS long) AS n_words, {_covered_sql('x.h')} AS n_hit, {_merged_sql('x.h')} AS spans, array_distinct(x.h.gram) AS grams)"
-    if len(few) <= most_inline:
-        grams: dict[int, list[tuple[str, int]]] = {}
-        for r in few:
-            grams.setdefault(r["len"], []).append((r["gram"], r["hash"]))
-        with_words = docs.withColumn(got, words_of(F.col(text)))
-        found = f"transform(array({got}), w -> struct(size(w) AS n, {_scan_sql('w', grams)} AS h))"
-        return with_words.withColumn(got, F.expr(f"transform({found}, x -> {finish})[0]"))
-    # Too many n-grams to send to every task: windows meet them by a shuffle on the n-gram's text, which adaptive execution can split.
-    row = f"{got}_row"
-    kept = settle(docs.withColumn(row, F.monotonically_increasing_id()), "decontaminate")
-    worded = kept.select(row, words_of(F.col(text)).alias("w"))
-    lens = [r["len"] for r in windows.select("len").distinct().collect()]  # n values at most
-    each = ", ".join(f"transform(if(size(w) >= {n}, sequence(1, size(w) - {n} + 1), cast(array() as array<int>)), i -> struct(i - 1 AS s, i - 1 + {n} AS e, array_join(slice(w, i, {n}), ' ') AS gram))" for n in sorted(lens))
-    all_windows = worded.select(row, F.explode(F.expr(f"concat({each})")).alias("h"))
-    known = windows.select(F.struct("len", "gram").alias("k"))
-    hits = all_windows.withColumn("k", F.struct((F.col("h.e") - F.col("h.s")).alias("len"), F.col("h.gram").alias("gram"))).join(known, "k", "left_semi")
-    hits = hits.groupBy(row).agg(F.array_sort(F.collect_list("h")).alias(got))
-    empty = "cast(array() as array<struct<s:int,e:int,gram:string>>)"
-    joined = kept.join(hits, row, "left").withColumn(got, F.expr(f"struct(size({words_sql(text)}) AS n, coalesce({got}, {empty}) AS h)"))
-    return joined.withColumn(got, F.expr(f"transform(array({got}), x -> {finish})[0]")).drop(row)
-
-
-def words_sql(text: str) -> str:
-    gap = GAP.replace("\\", "\\\\")
-    return f"filter(split(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), '{gap}'), w -> w <> '')"
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 8, id_col: str = "doc_id", text_col: str = "text", min_items: int = 2, most_inline: int = MOST_INLINE) -> DataFrame:
-    """For each row of docs: id, n_words, n_hit, spans, n_items, items, contaminated.
+def _text_key(text: Column) -> Column:
+    """Equal for equal texts alone; hits are found for each text once, by this key."""
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def _hits(docs: DataFrame, windows: DataFrame, block_hashes: int, with_rows: bool) -> DataFrame:
+    """The windows of docs (doc_id, text) whose hash is one of the n-grams': (doc_id, key, n_words, s, len, gram).
+
+    ``with_rows`` adds a row for every row of docs, whose ``len`` is 0. Windows are rows only
+    within the stage that scans the texts; those without a match go before anything is written.
+    """
+    hashed = settle(windows.select(F.xxhash64("gram").alias("hash"), "len").distinct(), "hashes")
+    lens = [r["len"] for r in hashed.select("len").distinct().collect()]  # n values at most
+    blocks = max(1, -(-hashed.count() // block_hashes))
+    worded = docs.select("doc_id", _text_key(F.col("text")).alias("key"), words_of(F.col("text")).alias("w"))
+    each = [f"transform(if(size(w) >= {n}, sequence(0, size(w) - {n}), cast(array() as array<int>)), i -> struct(i AS s, {n} AS len, xxhash64(array_join(slice(w, i + 1, {n}), ' ')) AS hash))" for n in sorted(lens)]
+    none = "array(struct(0 AS s, 0 AS len, cast(null as bigint) AS hash))"
+    passes = []
+    for k in range(blocks):
+        rows = with_rows and k == 0
+        listed = [none] * rows + each
+        if not listed:
+            continue
+        one = worded.select("doc_id", "key", "w", F.size("w").cast("long").alias("n_words"), F.explode(F.expr(f"concat({', '.join(listed)})")).alias("x"))
+        # At most this block's share of block_hashes rows, by the count above.
+        block = F.broadcast(hashed.where(F.pmod(F.col("hash"), F.lit(blocks)) == k).select(F.col("hash").alias("known")).distinct())
+        met = one.select("*", F.col("x.hash").alias("hash")).join(block, F.col("hash") == F.col("known"), "left" if rows else "inner")
+        met = met.where("known IS NOT NULL OR x.len = 0") if rows else met
+        passes.append(met.select("doc_id", "key", "n_words", "x.s", "x.len", F.expr("if(x.len > 0, array_join(slice(w, x.s + 1, x.len), ' '), '')").alias("gram")))
+    if not passes:
+        return worded.select("doc_id", "key", F.size("w").cast("long").alias("n_words"), F.lit(0).alias("s"), F.lit(0).alias("len"), F.lit("").alias("gram")).limit(0)
+    return settle(reduce(DataFrame.unionByName, passes), "hits")
+
+
+def _verified(hits: DataFrame, windows: DataFrame) -> DataFrame:
+    """(key, s, len, items) of the hits whose text is the n-gram's; copies of a text give them once."""
+    own = hits.where("len > 0").select("key", "s", "len", "gram").distinct().withColumn("k", F.struct("len", "gram"))
+    known = broadcast_if_small(windows.select(F.struct("len", "gram").alias("k"), "items"))
+    return own.join(known, "k").select("key", "s", "len", "items")
+
+
+def _spans(verified: DataFrame) -> DataFrame:
+    """(key, n_hit, spans): the hit words of each text, merged where they touch, in one ordered pass over its hits."""
+    before = Window.partitionBy("key").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("key").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, 0)
+    placed = verified.select("key", "s", (F.col("s") + F.col("len")).alias("e")).withColumn("reach", F.max("e").over(before))
+    runs = placed.withColumn("run", F.sum(F.when(F.col("s") <= F.col("reach"), 0).otherwise(1)).over(upto)).groupBy("key", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    return runs.groupBy("key").agg(F.sum(F.col("e") - F.col("s")).cast("long").alias("n_hit"), F.array_sort(F.collect_list(F.struct("s", "e"))).alias("spans"))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 8, id_col: str = "doc_id", text_col: str = "text", min_items: int = 2, block_hashes: int = BLOCK_HASHES) -> DataFrame:
+    """For each row of docs: doc_id, n_words, n_hit, spans, n_items, items, contaminated.
 
     A document word inside any occurrence of a benchmark window (see
     ``benchmark_windows``) is hit; spans are the merged hit words as (s, e). items: the
     sorted ids of the items with an occurring window; contaminated: ``min_items`` of them
     at least. Null and empty texts have no words and are clean; repeated rows and ids are
-    judged row by row; empty tables work on either side; further columns are ignored.
+    judged row by row, equal texts alike; texts may be of any length; empty tables work on
+    either side; further columns are ignored.
     """
     windows = settle(benchmark_windows(benchmark, n, text_col="text"), "windows")
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = _scanned(own, windows, "text", "got", most_inline).select("doc_id", "got.*", F.monotonically_increasing_id().alias("row"))
-    gram = found.select("row", "doc_id", "n_words", "n_hit", "spans", F.explode_outer("grams").alias("gram"))
-    small = windows.groupBy("gram").agg(F.flatten(F.collect_list("items")).alias("items"))
-    if windows.limit(most_inline + 1).count() <= most_inline:
-        small = F.broadcast(small)
-    items = gram.join(small, "gram", "left").groupBy("row", "doc_id", "n_words", "n_hit").agg(F.first("spans").alias("spans"), F.flatten(F.collect_set("items")).alias("items"))
-    items = items.withColumn("items", F.sort_array(F.array_distinct("items")))
-    size = F.size("items").cast("long")
-    return items.select("doc_id", "n_words", "n_hit", "spans", size.alias("n_items"), "items", (size >= min_items).alias("contaminated"))
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 8, remove: str = "documents", text_col: str = "text", most_inline: int = MOST_INLINE) -> DataFrame:
+    own = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    hits = _hits(own, windows, block_hashes, with_rows=True)
+    verified = settle(_verified(hits, windows), "verified")
+    items = verified.groupBy("key").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    told = broadcast_if_small(_spans(verified).join(items, "key").select(F.struct("key").alias("k"), "n_hit", "spans", "items"))
+    # A struct as key has both sides exchanged for this join alone, so adaptive execution can split the rows of a text with many copies.
+    rows = hits.where("len = 0").select("doc_id", "n_words", F.struct("key").alias("k")).join(told, "k", "left")
+    found = F.coalesce("items", F.expr("cast(array() as array<string>)"))
+    size = F.size(found).cast("long")
+    spans = F.coalesce("spans", F.expr("cast(array() as array<struct<s:int,e:int>>)"))
+    return rows.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), spans.alias("spans"), size.alias("n_items"), found.alias("items"), (size >= min_items).alias("contaminated"))
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 8, remove: str = "documents", text_col: str = "text", block_hashes: int = BLOCK_HASHES) -> DataFrame:
     """docs without what the benchmark's windows hit, columns unchanged.
 
     ``remove="documents"`` drops rows with a hit; ``"spans"`` keeps every row and cuts the
-    hit words with the gaps after them. Rows without a hit stay as they are, null texts too.
+    hit words with the gaps after them. Rows without a hit stay as they are, null and empty
+    texts too; repeated rows are treated alike; empty tables work on either side.
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove must be 'documents' or 'spans', not {remove!r}")
     windows = settle(benchmark_windows(benchmark, n, text_col="text"), "windows")
-    got = columns_but(docs)
-    found = _scanned(docs, windows, text_col, got, most_inline)
+    text = F.col(f"`{text_col}`")
+    hits = _hits(docs.select(F.lit(None).cast("long").alias("doc_id"), text.alias("text")), windows, block_hashes, with_rows=False)
+    verified = settle(_verified(hits, windows), "verified")
+    p = columns_but(docs)
+    same = _text_key(text) == F.col(p)
     if remove == "documents":
-        return found.where(F.col(f"{got}.n_hit") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
-    word = WORD_ANY_CASE.replace("\\", "\\\\")
-    text = f"`{text_col}`"
-    kept = (
-        f"transform(array(struct(split({text}, '{word}') AS gap, regexp_extract_all({text}, '{word}', 0) AS w)), x -> array_join(concat(array(x.gap[0]),"
-        f" transform(x.w, (w, i) -> if(exists({got}.spans, s -> s.s <= i AND i < s.e), '', concat(w, x.gap[i + 1])))), ''))[0]"
-    )
-    cut = F.when(F.col(f"{got}.n_hit") > 0, F.expr(kept)).otherwise(F.col(text))
-    return found.select(*[cut.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+        return docs.join(broadcast_if_small(verified.select(F.col("key").alias(p)).distinct()), same, "left_anti")
+    spans = f"{p}_spans"
+    joined = docs.join(broadcast_if_small(_spans(verified).select(F.col("key").alias(p), F.col("spans").alias(spans))), same, "left")
+    word, name = WORD_ANY_CASE.replace("\\", "\\\\"), f"`{text_col}`"
+    # Each word with the gap after it; what lies between the spans is taken in slices.
+    parts = f"zip_with(regexp_extract_all({name}, '{word}', 0), slice(split({name}, '{word}'), 2, {1 << 30}), (w, gap) -> concat(w, gap))"
+    between = f"zip_with(concat(array(0), {spans}.e), concat({spans}.s, array(size(x.parts))), (a, b) -> array_join(slice(x.parts, a + 1, b - a), ''))"
+    kept = f"transform(array(struct({parts} AS parts, split({name}, '{word}')[0] AS lead)), x -> concat(x.lead, array_join({between}, '')))[0]"
+    cut = F.when(F.col(spans).isNotNull(), F.expr(kept)).otherwise(text)
+    return joined.select(*[cut.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

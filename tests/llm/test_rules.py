@@ -50,10 +50,10 @@ def hits(t, items, n):
 ITEMS = [(1, "ONE TWO three four five six seven eight nine"), (12, "größe äö"), (2, "größe ÄÖ"), (3, ""), (4, None), (5, "three four five six seven eight; TAIL!"), (30, "x x x x x x x x x x"), (31, "of the same id"), (31, "another text")]
 
 
-@pytest.mark.parametrize("most_inline", [100_000, 3])
-def test_contamination(spark, most_inline):
+@pytest.mark.parametrize("block", [2_000_000, 3])
+def test_contamination(spark, block):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
-    got = decontaminate.contamination(docs(spark), bench, most_inline=most_inline).collect()
+    got = decontaminate.contamination(docs(spark), bench, block_hashes=block).collect()
     want = [(i, *hits(t, ITEMS, 8)) for i, t in TEXTS]
     key = lambda x: str(x)
     assert sorted([(r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in got], key=key) == sorted(want, key=key)
@@ -82,6 +82,23 @@ def test_empty_tables(spark):
     assert decontaminate.decontaminate(docs(spark), none).count() == len(TEXTS)
 
 
+def test_long_texts_and_many_ngrams(spark):
+    """A million n-grams; a text of 1.2 MB with 4,000 spans that don't touch; an n-gram in every text."""
+    rng = np.random.default_rng(3)
+    passages = [" ".join(f"p{k}x{j}" for j in range(8)) for k in range(4000)]
+    long = "\n".join(f"{p}. own{k} " + "w" * int(rng.integers(200, 400)) for k, p in enumerate(passages))
+    rows = [(k, f"{passages[0]} text {k}") for k in range(300)] + [(1000, long), (1001, "clean " * 50_000)]
+    own = docs(spark, rows)
+    filler = spark.range(900_000).select((F.col("id") + 10).alias("item_id"), F.expr("array_join(transform(sequence(1, 8), i -> concat('f', id, 'g', i)), ' ')").alias("text"))
+    bench = spark.createDataFrame(list(enumerate(passages)), "item_id long, text string").unionByName(filler)
+    got = {r["doc_id"]: r for r in decontaminate.contamination(own, bench).collect()}
+    assert all(got[k]["n_hit"] == 8 and got[k]["n_words"] == 10 for k in range(300)) and got[1001]["n_hit"] == 0
+    assert got[1000]["n_hit"] == 32_000 and got[1000]["n_items"] == 4000 and len(got[1000]["spans"]) == 4000
+    cut = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(own, bench, remove="spans").collect()}
+    assert cut[5] == "text 5" and cut[1000].split()[:1] == ["own0"] and len(cut[1000].split()) == 8000 and cut[1001] == rows[-1][1]
+    assert {r["doc_id"] for r in decontaminate.decontaminate(own, bench).collect()} == {1001}
+
+
 # --- quality
 
 
