@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.shared import settle
+from ..plans.shared import discard, settle
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -36,8 +36,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     start = whole.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
     nodes = settle(start.distinct(), "edges")
     now, seen = nodes.where("a <> b"), None
-    for _ in range(max_rounds):
-        now = settle(_star(_star(now, True).where("a <> b"), False).where("a <> b").distinct(), "star")
+    for k in range(max_rounds):
+        before, now = now, settle(_star(_star(now, True).where("a <> b"), False).where("a <> b").distinct(), "star")
+        if k:
+            discard(before)
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("b", "a"))).first()
         if mark == seen:
             break
@@ -47,4 +49,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     linked = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component"))
     loops = nodes.where("a = b").select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return linked.unionByName(roots).unionByName(loops).groupBy("node").agg(F.min("component").alias("component"))
+    found = settle(linked.unionByName(roots).unionByName(loops).groupBy("node").agg(F.min("component").alias("component")), "components")
+    discard(now, nodes)
+    return found

@@ -38,18 +38,41 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def settle(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends here, a lost executor costs nothing.
+#: Has Spark delete a statement's shuffle files when it ends, instead of when the driver's collector meets its plan.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    The table is deleted when the driver's Python ends, or by ``sweep``.
+
+def settle(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write df to the shared folder (or to ``path``) and read it back: lineage ends here, a lost executor costs nothing.
+
+    The shuffle files of the plan that made it go at once. The table is deleted by
+    ``discard``, which a step calls for what its successor no longer reads, by ``sweep``,
+    or when the driver's Python ends.
     """
     spark = df.sparkSession
-    path = new_path(spark, name)
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = path or new_path(spark, name)
+    before = spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._settled_at = path
+    return table
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``settle`` made and nothing reads any more."""
+    for t in tables:
+        path = t._settled_at
+        _delete(t.sparkSession, path)
+        _written[:] = [x for x in _written if x[1] != path]
 
 
 def release(spark: SparkSession) -> None:
@@ -68,9 +91,7 @@ def sweep() -> None:
     while _written:
         spark, path = _written.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(spark, path)
         except Exception:  # the session has ended; its folder goes with it
             continue
 
