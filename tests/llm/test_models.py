@@ -113,21 +113,20 @@ def corpus(n=150):
     return [x for x in TEXTS if x[0] != 7] + texts + texts[:3]
 
 
-def reference(texts, hold):
-    """Katz by dictionaries: scores, and P(w | h) for the sums."""
+def reference(texts, hold, order=2, scored=None):
+    """Katz by dictionaries: the rows of ``scored`` texts (all by default), P(w | h), histories and words for the sums."""
     end, start = object(), object()
-    tokens = [(i, [*(t or "").encode().lower().split(), end]) for i, t in texts]
-    c1, c2 = collections.Counter(), collections.Counter()
-    for i, w in tokens:
-        if not hold(i):
-            c1.update(w)
-            c2.update(zip([start, *w[:-1]], w, strict=True))
+    coded = lambda x: [(i, [*(t or "").encode().lower().split(), end]) for i, t in x]
+    training = [w for i, w in coded(texts) if not hold(i)]
+    history = lambda w, k, n: tuple([start, *w][max(0, k + 2 - n) : k + 1])
+    c1 = collections.Counter(x for w in training for x in w)
+    grams = {n: collections.Counter((history(w, k, n), x) for w in training for k, x in enumerate(w) if k >= n - 2) for n in range(2, order + 1)}
     of = lambda c: katz.discounts([sum(v == k for v in c.values()) for k in range(1, 7)])
-    d1, d2 = of(c1), of(c2)
-    n = sum(c1.values())
-    after = collections.defaultdict(dict)
-    for (h, w), c in c2.items():
-        after[h][w] = c
+    n_train = sum(c1.values())
+    after = {}
+    for g in grams.values():
+        for (h, w), c in g.items():
+            after.setdefault(h, {})[w] = c
 
     def mass(counts, d):
         """(probability by item, mass left)."""
@@ -136,39 +135,58 @@ def reference(texts, hold):
         total, left = (total, left) if left > 0 else (total + 1, 1)
         return {w: d[min(c, 6)] * c / total for w, c in counts.items()}, left / total
 
-    lower, unknown = mass(c1, d1)
-    p1 = lambda w: lower.get(w, unknown)
-    seen = {h: mass(x, d2) for h, x in after.items()}
-    weight = {h: left / (1 - sum(map(p1, own))) for h, (own, left) in seen.items()}
+    lower, unknown = mass(c1, of(c1))
+    d = {n: of(g) for n, g in grams.items()}
+    seen, weight = {}, {}
 
     def p(w, h):
+        if not h:
+            return lower.get(w, unknown)
+        if h not in after:
+            return p(w, h[1:])
         if h not in seen:
-            return p1(w)
-        return seen[h][0].get(w) or weight[h] * p1(w)
+            seen[h] = mass(after[h], d[len(h) + 1])
+            weight[h] = seen[h][1] / (1 - sum(p(x, h[1:]) for x in after[h]))
+        return seen[h][0].get(w) or weight[h] * p(w, h[1:])
 
     rows = []
-    for i, w in tokens:
-        base = sum(math.log10((c1[x] + 1) / (n + len(c1) + 1)) for x in w)
-        rows.append((i, hold(i), len(w), sum(x in c1 for x in w), n, base, sum(math.log10(p(x, h)) for h, x in zip([start, *w[:-1]], w, strict=True))))
-    return rows, p, [*after, object()], [*c1, object()]
+    for i, w in coded(texts if scored is None else scored):
+        base = sum(math.log10((c1[x] + 1) / (n_train + len(c1) + 1)) for x in w)
+        rows.append((i, hold(i), len(w), sum(x in c1 for x in w), n_train, base, sum(math.log10(p(x, history(w, k, order))) for k, x in enumerate(w))))
+    return rows, p, after, [*c1, object()]
 
 
 def is_held(i):
     return i is not None and zlib.crc32(str(i).encode()) % 7 == 2
 
 
-@pytest.mark.parametrize("block, part", [(10**6, 10**6), (150, 100)])
-def test_katz(spark, block, part):
-    texts = corpus()
-    want, p, histories, words = reference(texts, is_held)
-    got = katz.score(docs(spark, texts).withColumn("block", F.lit(0)).repartition(3), block_tokens=block, partition_tokens=part).collect()
+def agree(got, want):
     key = lambda r: (str(r[0]), r[2], round(r[5], 6))
     for a, b in zip(sorted(map(tuple, got), key=key), sorted(want, key=key), strict=True):
         assert a[:5] == b[:5] and math.isclose(a[5], b[5], rel_tol=1e-9) and math.isclose(a[6], b[6], rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("order, tokens", [(2, None), (2, 150), (3, 400), (4, 100)])
+def test_katz(spark, order, tokens):
+    texts = corpus()
+    want, p, histories, words = reference(texts, is_held, order)
+    agree(katz.score(docs(spark, texts).withColumn("block", F.lit(0)).repartition(3), order=order, tokens=tokens).collect(), want)
     for h in histories:
         assert math.isclose(sum(p(w, h) for w in words), 1, rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_a_stored_model_scores_other_texts(spark, tmp_path, order):
+    texts, others = corpus(), [(1, "a ab never-seen ab a"), (2, None), (3, "abc abc b"), (3, "abc abc b"), (4, corpus()[30][1])]
+    path = str(tmp_path / "model")
+    katz.learn(docs(spark, texts), order=order, path=path, tokens=200)
+    model = katz.Model.load(spark, path)
+    assert {k: len(x.totals) > 0 for k, x in model.levels.items()}[2]
+    want = reference(texts, lambda _: False, order, others)[0]
+    agree([(*r[:1], False, *r[2:]) for r in katz.apply(docs(spark, others), model, tokens=7).collect()], want)
+    assert katz.apply(docs(spark, []), model).count() == 0
+
+
 def test_katz_without_training(spark):
     texts = [(1, "a b"), (2, None)]
     got = katz.score(docs(spark, texts), hold=F.lit(True)).collect()
