@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,17 +73,6 @@ def discard(*tables: DataFrame) -> None:
         _written[:] = [x for x in _written if x[1] != path]
 
 
-def release(spark: SparkSession) -> None:
-    """Have the driver forget finished plans now: their shuffle files go when it does, which by itself may be long after.
-
-    A job of several written steps calls it between them, so that only one step's shuffles lie on disk.
-    """
-    for _ in range(2):  # what Python let go in the first round is only free for the second
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
-
-
 def sweep() -> None:
     """Delete every table that ``settle`` and ``new_path`` made in this process."""
     while _written:
