@@ -1,4 +1,4 @@
-"""Command line: ``run`` fuses a folder of CSV files and extracted resumes; ``project`` reshapes stored profiles."""
+"""Command line: ``run`` fuses a folder of CSV files and extracted resumes; ``project`` reshapes stored profiles; ``taxonomy`` makes a lookup of a file of names and spellings."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from .operators import sinks, taxonomy
 from .operators.identity import membership
 from .operators.projection import Config, ProjectionError
 from .operators.survivorship import fuse, with_candidates
+from .plans.shared import settle
 from .sources import tables
 
 OK, FAILED, UNREADABLE = 0, 1, 2
@@ -24,25 +25,34 @@ def session() -> SparkSession:
     return SparkSession.builder.appName("confluo").config("spark.sql.session.timeZone", "UTC").getOrCreate()
 
 
+#: The order in which skills are met; the first spelling of an unknown one becomes its name.
+MET = ["kind", "file", "row", "pos"]
+
+
 def skill_names(spark: SparkSession) -> dict[str, str]:
     return {r["norm"]: r["canonical"] for r in taxonomy.taxonomy(spark).collect()}  # the hand-made taxonomy: some hundred rows
 
 
-def records(spark: SparkSession, csvs: str | None, resumes: str | None, source_id: str = "file_row") -> DataFrame:
-    """All records of both folders; an absent folder gives none. rid is the source's hash."""
-    names = skill_names(spark)
+def records(spark: SparkSession, csvs: str | None, resumes: str | None, known: DataFrame | None = None, source_id: str = "file_row") -> tuple[DataFrame, DataFrame]:
+    """(all records of both folders, the taxonomy with the skills that they add); an absent folder gives none. rid is the source's hash."""
+    known = taxonomy.taxonomy(spark) if known is None else known
     found = spark.createDataFrame([], tables.schema.RECORD)
+    mentions = spark.createDataFrame([], "source string, kind int, file string, row int, pos int, raw string")
     if csvs and Path(csvs).is_dir():
-        found = found.unionByName(tables.csv_records(tables.read_csv(spark, csvs, source_id), names))
+        rows = tables.read_csv(spark, csvs, source_id)
+        found, mentions = found.unionByName(tables.csv_records(rows)), mentions.unionByName(tables.csv_mentions(rows))
     if resumes and Path(resumes).is_dir():
-        found = found.unionByName(tables.resume_records(spark, tables.read_resumes(spark, resumes), names))
-    return found.withColumn("rid", F.xxhash64("source"))
+        raw = tables.read_resumes(spark, resumes)
+        found, mentions = found.unionByName(tables.resume_records(spark, raw)), mentions.unionByName(tables.resume_mentions(raw))
+    grown = settle(taxonomy.register(mentions, known, MET), "taxonomy")
+    return taxonomy.with_skills(found, mentions, grown).withColumn("rid", F.xxhash64("source")), grown
 
 
-def run(spark: SparkSession, csvs: str | None, resumes: str | None, out: str, source_id: str = "file_row") -> DataFrame:
-    """Records and profiles as Parquet under ``out``; inputs are never touched."""
-    own = records(spark, csvs, resumes, source_id)
+def run(spark: SparkSession, csvs: str | None, resumes: str | None, out: str, source_id: str = "file_row", known: DataFrame | None = None) -> DataFrame:
+    """Records, profiles and the grown taxonomy as Parquet under ``out``; inputs are never touched."""
+    own, grown = records(spark, csvs, resumes, known, source_id)
     sinks.write_records(own, f"{out}/records")
+    grown.write.mode("overwrite").parquet(f"{out}/taxonomy")
     stored = spark.read.parquet(f"{out}/records").drop("kind")
     sinks.write_profiles(fuse(with_candidates(stored, membership(stored))), f"{out}/profiles")
     return tables.read_profiles(spark, f"{out}/profiles")
@@ -57,6 +67,10 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--out", required=True)
     r.add_argument("--config", action="append", default=[])
     r.add_argument("--skip-resumes", action="store_true")
+    r.add_argument("--taxonomy", help="a JSON file of names and spellings, or of keys and names; skills met for the first time are added to it")
+    t = sub.add_parser("taxonomy")
+    t.add_argument("--groupings", required=True)
+    t.add_argument("--output", required=True)
     j = sub.add_parser("project")
     j.add_argument("--profiles", required=True)
     j.add_argument("--config", required=True)
@@ -64,7 +78,8 @@ def main(argv: list[str] | None = None) -> int:
     j.add_argument("--candidate-id")
     a = p.parse_args(argv)
     try:
-        configs = [Config.load(c) for c in (a.config if isinstance(a.config, list) else [a.config])]
+        given = getattr(a, "config", [])
+        configs = [Config.load(c) for c in (given if isinstance(given, list) else [given])]
     except FileNotFoundError as e:
         print(e, file=sys.stderr)
         return UNREADABLE
@@ -73,8 +88,14 @@ def main(argv: list[str] | None = None) -> int:
         return FAILED
     spark = session()
     try:
+        if a.command == "taxonomy":
+            taxonomy.save_taxonomy(taxonomy.taxonomy(spark, taxonomy.load_groupings(a.groupings)), a.output)
+            return OK
         if a.command == "run":
-            profiles = run(spark, a.csvs, None if a.skip_resumes else a.resumes, a.out)
+            known = taxonomy.load_taxonomy(spark, a.taxonomy) if a.taxonomy and Path(a.taxonomy).exists() else None
+            profiles = run(spark, a.csvs, None if a.skip_resumes else a.resumes, a.out, known=known)
+            if a.taxonomy:
+                taxonomy.save_taxonomy(spark.read.parquet(f"{a.out}/taxonomy"), a.taxonomy)
             for path, config in zip(a.config, configs, strict=True):
                 sinks.write_projection(profiles, config, f"{a.out}/{Path(path).stem}.json")
             return OK

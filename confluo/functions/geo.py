@@ -9,8 +9,16 @@ from pyspark.sql import functions as F
 
 from .text import clean, strip
 
-#: Names that the platform's table lacks; a parameter of ``countries``.
-ALIASES = {"united states of america": "US", "republic of korea": "KR", "korea, republic of": "KR", "russian federation": "RU", "viet nam": "VN", "czech republic": "CZ", "iran, islamic republic of": "IR"}
+#: Names that neither the platform's table nor the rules below give; a parameter of ``countries``.
+ALIASES = {
+    "united states of america": "US", "iran": "IR",
+    "korea, republic of": "KR", "republic of korea": "KR", "korea, democratic people's republic of": "KP", "democratic people's republic of korea": "KP", "russian federation": "RU", "viet nam": "VN", "czech republic": "CZ", "turkey": "TR",
+    "congo": "CG", "republic of the congo": "CG", "congo, the democratic republic of the": "CD", "democratic republic of the congo": "CD", "taiwan, province of china": "TW", "republic of china": "TW", "palestine, state of": "PS", "state of palestine": "PS", "syrian arab republic": "SY",
+    "lao people's democratic republic": "LA", "brunei darussalam": "BN", "french republic": "FR", "hellenic republic": "GR", "swiss confederation": "CH", "slovak republic": "SK", "united kingdom of great britain and northern ireland": "GB",
+    "argentine republic": "AR", "italian republic": "IT", "portuguese republic": "PT", "holy see (vatican city state)": "VA", "côte d'ivoire": "CI", "myanmar": "MM",
+}
+#: A formal name is a title of these words, "of" and a name; in lists the title may follow the name.
+TITLE = r"(?:(?:ARAB|BOLIVARIAN|CO-OPERATIVE|COMMONWEALTH|DEMOCRATIC|DUCHY|EASTERN|FEDERAL|FEDERATED|FEDERATIVE|GRAND|HASHEMITE|INDEPENDENT|ISLAMIC|KINGDOM|PEOPLE'S|PLURINATIONAL|PRINCIPALITY|REPUBLIC|SOCIALIST|STATE|STATES|SULTANATE|UNION|UNITED|UNITARY) ?)+"
 
 
 @cache
@@ -30,7 +38,7 @@ def countries(spark: SparkSession, aliases: dict[str, str] = ALIASES) -> DataFra
 
 
 def country_alpha2(spark: SparkSession, c: Column, aliases: dict[str, str] = ALIASES) -> Column:
-    """A country's alpha-2 code: two letters are looked up as alpha-2 alone; three as alpha-3, then as a name; all else as a name. A miss is null.
+    """A country's alpha-2 code: two letters are looked up as alpha-2 alone; three as alpha-3, then as a name; all else as a name, at last without its formal title. A miss is null.
 
     The table is a map literal, so that the lookup is a projection.
     """
@@ -39,7 +47,9 @@ def country_alpha2(spark: SparkSession, c: Column, aliases: dict[str, str] = ALI
     s = F.upper(strip(c))
     get = lambda kind: F.try_element_at(kinds[kind], s)
     letters = lambda n: s.rlike(f"^\\p{{L}}{{{n}}}\\z")
-    return F.when(letters(2), get("2:")).when(letters(3), F.coalesce(get("3:"), get("n:"))).otherwise(get("n:"))
+    plain = F.regexp_replace(F.regexp_replace(s, rf"^(?:THE )?{TITLE} OF (?:THE )?", ""), rf", (?:THE )?{TITLE} OF\z", "")
+    named = F.coalesce(get("n:"), F.try_element_at(kinds["n:"], F.regexp_replace(plain, "^THE ", "")))
+    return F.when(letters(2), get("2:")).when(letters(3), F.coalesce(get("3:"), get("n:"))).otherwise(named)
 
 
 def location_of_parts(spark: SparkSession, parts: Column) -> Column:

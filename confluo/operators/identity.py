@@ -15,10 +15,29 @@ def contact_keys(records: DataFrame, key: str = "rid") -> DataFrame:
     return mail.unionByName(phone).where("value is not null and value <> ''")
 
 
-def contact_match(left: DataFrame, right: DataFrame, key: str = "rid") -> DataFrame:
-    """(left, right) of the records that share a contact: an equi-join on the contact, never one on the arrays."""
+def contact_classes(records: DataFrame, key: str = "rid") -> DataFrame:
+    """(kind, value, key, representative, n): the records of each contact with its smallest record and their number.
+
+    Two records match if they share a class; a contact of n records takes n rows, not n squared.
+    """
+    keys = contact_keys(records, key).distinct()
+    least = keys.groupBy("kind", "value").agg(F.min(key).alias("representative"), F.count(F.lit(1)).alias("n")).select(F.struct("kind", "value").alias("k"), "representative", "n")
+    # A struct as key has both sides exchanged for this join alone, so adaptive execution can split a hot contact.
+    return keys.select(F.struct("kind", "value").alias("k"), key).join(least, "k").select("k.kind", "k.value", key, "representative", "n")
+
+
+def contact_match(left: DataFrame, right: DataFrame, key: str = "rid", max_degree: int = 1000) -> DataFrame:
+    """(left, right) of the records that share a contact: an equi-join on the contact, never one on the arrays.
+
+    Pairs grow with the square of a contact's records: one of more than ``max_degree`` is an
+    error here, and ``contact_classes`` the way that has no bound.
+    """
     a = contact_keys(left, key).withColumnRenamed(key, "left")
     b = contact_keys(right, key).withColumnRenamed(key, "right")
+    n = F.max("n").alias("n")
+    most = max(x.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n")).agg(n).first()["n"] or 0 for x in (a, b))
+    if most > max_degree:
+        raise ValueError(f"a contact has {most} records; use contact_classes")
     return a.join(b, ["kind", "value"]).select("left", "right").distinct()
 
 

@@ -21,6 +21,11 @@ def export_records(records: DataFrame, path: str) -> None:
     records.write.mode("overwrite").json(path)
 
 
+def export_documents(records: DataFrame, path: str) -> None:
+    """Records as JSON, one document for each file, nulls kept: what ``tables.read_records`` reads."""
+    records.write.mode("overwrite").option("maxRecordsPerFile", 1).option("ignoreNullFields", False).json(path)
+
+
 def write_profiles(profiles: DataFrame, path: str, mode: str = "overwrite") -> None:
     profiles.write.mode(mode).parquet(path)
 

@@ -87,6 +87,14 @@ def taxonomy(spark: SparkSession, groupings: dict[str, list[str]] = GROUPINGS) -
     return all_rows.groupBy(normalize_skill(F.col("spelling")).alias("norm")).agg(F.max_by("canonical", F.struct("k", "n")).alias("canonical"))
 
 
+def load_taxonomy(spark: SparkSession, path: str) -> DataFrame:
+    """A taxonomy file: either groupings (names with lists of spellings) or keys with their names, as ``save_taxonomy`` writes them."""
+    said = load_groupings(path)
+    if all(isinstance(v, list) for v in said.values()):
+        return taxonomy(spark, said) if said else spark.createDataFrame([], SCHEMA)
+    return spark.createDataFrame(list(said.items()), SCHEMA)
+
+
 def load_groupings(path: str) -> dict[str, list[str]]:
     """Groupings from a JSON file; none if there is no such file."""
     return json.loads(Path(path).read_text("utf-8")) if Path(path).exists() else {}
@@ -119,6 +127,14 @@ def canonicalize(mentions: DataFrame, known: DataFrame, key: list[str], position
     return named.groupBy(*key, "skill").agg(F.min(position).alias("pos"))
 
 
+def with_skills(records: DataFrame, mentions: DataFrame, known: DataFrame) -> DataFrame:
+    """Records (one for each source) with the skills that ``mentions`` (source, raw, pos) has of them, by a join with the taxonomy."""
+    named = canonicalize(mentions, known, ["source"]).groupBy("source").agg(F.array_sort(F.collect_list(F.struct("pos", "skill"))).alias("named"))
+    own = records.drop("skills").join(named, "source", "left")
+    told = F.transform("named", lambda x: F.struct(x["skill"].alias("name"), F.array("source").alias("sources")))
+    return own.withColumn("skills", F.coalesce(told, F.array().cast(records.schema["skills"].dataType))).select(*records.columns)
+
+
 def skills_of(raw: Column, known: dict[str, str], source: Column) -> Column:
     """The skills of one array of mentions, as {name, sources}, by a map literal; for a taxonomy that fits into the plan."""
     table = F.create_map(*[F.lit(x) for pair in sorted(known.items()) for x in pair])

@@ -43,7 +43,7 @@ RAW = {
     "degree": "case k % 3 when 0 then 'B.Tech' when 1 then 'b tech' else 'M.S.' end",
     "field": "case when k % 2 = 0 then 'CS' else 'Computer Science' end",
     "end_year": "cast(2020 + k % 3 as int)",
-    "project": "case k % 3 when 0 then 'Ping' when 1 then 'ping' else ' Alpha  One ' end",
+    "project": "case k % 3 when 0 then 'Relay' when 1 then 'relay' else ' Alpha  One ' end",
     "description": "case when k % 5 <> 0 then repeat('d', cast(k % 4 + 1 as int)) end",
     "n_tools": "k % 2",
     "skill1": "k % 6",
@@ -113,14 +113,8 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_members: dict[tuple[str, str], DataFrame] = {}
-
-
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The records with component and candidate_id, resolved once for each application and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _members:
-        records = candidates(spark, sf_dir)
-        found = identity_components(records.select("rid", "emails", "phones"))
-        _members[key] = settle(records.join(found, "rid").withColumn("candidate_id", candidate_id(F.col("component"))), "members")
-    return _members[key]
+    """The records with component and candidate_id, as a table, since the branches of a fusion read them several times."""
+    records = candidates(spark, sf_dir)
+    found = identity_components(records.select("rid", "emails", "phones"))
+    return settle(records.join(found, "rid").withColumn("candidate_id", candidate_id(F.col("component"))), "members")

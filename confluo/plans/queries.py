@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, phones, resume, text
 from ..functions.geo import country_alpha2, location_of_text
-from ..operators import identity, projection, survivorship, taxonomy
-from .candidates import SKILLS, candidates, dialect, members, raw_candidates
+from ..operators import identity, projection, sinks, survivorship, taxonomy
+from ..sources import tables
+from .candidates import SKILLS, candidates, dialect, members, norm_map, raw_candidates
+from .shared import new_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,6 +106,22 @@ def norm_phone_e164(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_candidates(spark, sf_dir).select("rid", phones.normalize_phone(F.col("raw_phone")).alias("phone"))
 
 
+#: By the key's last digit: what a number of a country looks like, and its E.164 form; ``#`` is the key with four digits.
+DIALLED = (
+    ("+1 (212) 5#-12 ext. 7", "+12125#12"), ("+44 (0)20 7946 #", "+44207946#"), ("+49 (0) 30 901 #", "+4930901#"), ("+33 1 42 6 #", None), ("+39 06 69 #", "+390669#"),
+    ("Tel: +81 3-553-#", "+813553#"), ("+65 #", None), ("+353 (0)1 23 #;ext=12", "+353123#"), ("+1-800-FLOW-#", None), ("+1 800-FLO-#", "+1800356#"),
+)
+AS_DIALLED = "case k % 10 " + " ".join(f"when {k} then replace('{raw}', '#', lpad(cast(k as string), 4, '0'))" for k, (raw, _) in enumerate(DIALLED)) + " end"
+AS_E164 = "case k % 10 " + " ".join(f"when {k} then replace('{out}', '#', lpad(cast(k as string), 4, '0'))" for k, (_, out) in enumerate(DIALLED) if out) + " end"
+
+
+@query(f"select k as rid, {AS_E164} as phone from (select c_custkey % 10000 as k, * from customer)")
+def norm_phone_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of seven countries as people write them: trunk digits, extensions, letters, too few or too many digits."""
+    dialled = table(spark, sf_dir, "customer").select((F.col("c_custkey") % 10000).alias("k"))
+    return dialled.select(F.col("k").alias("rid"), phones.normalize_phone(F.expr(AS_DIALLED)).alias("phone"))
+
+
 def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     pick = F.array(*[F.lit(s) for s in SKILLS])
     raw = raw_candidates(spark, sf_dir)
@@ -253,13 +271,28 @@ def taxonomy_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxonomy.unseen(_mentions(spark, sf_dir), taxonomy.taxonomy(spark), ["source", "pos"])
 
 
+#: Mentions of which the taxonomy knows the last alone; the others are two skills in three spellings each.
+UNKNOWN = ("Elm Lang", "elm-lang", "ZigZag", "ELMLANG", "zig zag", "JS")
+PICK_UNKNOWN = "case {0} " + " ".join(f"when {k} then '{x}'" for k, x in enumerate(UNKNOWN)) + " end"
+
+
+@query(f"""with mention as (select c_custkey as rid, 0 as pos, {PICK_UNKNOWN.format('c_custkey * 7 % 6')} as raw from customer union all select c_custkey, 1, {PICK_UNKNOWN.format('(c_custkey * 5 + 2) % 6')} from customer),
+  named as (select *, {NORM.format('raw')} as norm from mention), names as (select norm, case when norm = 'js' then 'JavaScript' else arg_min(raw, (rid, pos)) end as skill from named group by 1)
+  select rid, skill, min(pos) as pos from named join names using (norm) group by all""")
+def taxonomy_registered_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unknown skills are registered over all mentions, then every mention is named by the grown taxonomy."""
+    pick = F.array(*[F.lit(x) for x in UNKNOWN])
+    own = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("rid"), F.posexplode(F.array(F.get(pick, (F.col("c_custkey") * 7 % 6).cast("int")), F.get(pick, ((F.col("c_custkey") * 5 + 2) % 6).cast("int")))).alias("pos", "raw"))
+    return taxonomy.canonicalize(own, settle(taxonomy.register(own, taxonomy.taxonomy(spark), ["rid", "pos"]), "taxonomy"), ["rid"])
+
+
 # --- identity
 
 
-@query(VIEW + "select a as left, b as right from edges")
+@query(VIEW + """, key_of as (select distinct rid, case k[1] when 'e' then 'email' else 'phone' end as kind, k[2:] as value from keys)
+  select kind, value, rid, min(rid) over (partition by kind, value) as representative, count(*) over (partition by kind, value) as n from key_of""")
 def contact_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = candidates(spark, sf_dir).select("rid", "emails", "phones")
-    return identity.contact_match(own, own)
+    return identity.contact_classes(candidates(spark, sf_dir).select("rid", "emails", "phones"))
 
 
 @query(VIEW + "select rid, component from comp")
@@ -427,18 +460,44 @@ def overall_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles(spark, sf_dir).select("candidate_id", F.round("overall_confidence", 4).alias("overall_confidence"), F.col("total_source_points").cast("long").alias("total_source_points"))
 
 
-@query(VIEW + """select sha256(component::varchar) as candidate_id, field, case when u then 'multiple' else null end as source from (select distinct component from comp),
-  (values ('emails', true), ('phones', true), ('links.other', true), ('experience', true), ('education', true), ('projects', true), ('skills', true)) v(field, u)""")
-def provenance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The entries of the fields that are united over records."""
-    found = profiles(spark, sf_dir).select("candidate_id", F.explode("provenance").alias("p"))
-    return found.where("p.method = 'union'").select("candidate_id", "p.field", "p.source")
+def _won_entry(field: str, name: str, value: str, given: str, json: str) -> str:
+    """SQL: the provenance entry of a field that one record wins."""
+    source = f"(select * from {won(value, given)})"
+    return f"select component, '{field}' as field, {json} as value, source, method from (select distinct component from comp) left join {source} {name} using (component)"
 
 
-@query(VIEW + f"select sha256(component::varchar) as candidate_id, '\"' || value || '\"' as value, source, method from {won('full_name', 'full_name is not null')}")
-def provenance_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = profiles(spark, sf_dir).select("candidate_id", F.explode("provenance").alias("p"))
-    return found.where("p.field = 'full_name'").select("candidate_id", "p.value", "p.source", "p.method")
+def _united_entry(field: str, rows: str) -> str:
+    """SQL: the provenance entry of a field that all records add to, from (component, list)."""
+    return f"select component, '{field}' as field, coalesce(to_json(list)::varchar, '[]') as value, 'multiple' as source, 'union' as method from (select distinct component from comp) left join ({rows}) using (component)"
+
+
+def _listed(value: str) -> str:
+    return f"select component, list(v order by f) as list from (select component, {value} as v, min((source, rid)) as f from m where {value} is not null group by all) group by 1"
+
+
+YEARS = "(select *, row_number() over (partition by component order by years_experience desc, source, rid) as n from m where years_experience is not null) where n = 1"
+ENTRIES = " union all ".join(
+    [
+        _won_entry("full_name", "w", "full_name", "full_name is not null", "to_json(value)::varchar"),
+        _won_entry("headline", "w", "headline", "headline is not null", "to_json(value)::varchar"),
+        *[_won_entry(f"links.{k}", "w", k, f"{k} is not null", "to_json(value)::varchar") for k in ("linkedin", "github", "portfolio")],
+        f"select component, 'location' as field, to_json({{'city': city, 'region': region, 'country': country}})::varchar as value, source, method from {LOCATION.replace('leaves, source', 'leaves, source, method')}",
+        f"select component, 'years_experience' as field, years::varchar || '.0' as value, source, method from (select distinct component from comp) left join (select *, years_experience::bigint as years from {YEARS}) using (component)",
+        _united_entry("emails", _listed("email")),
+        _united_entry("phones", _listed("phone")),
+        _united_entry("links.other", _listed("other")),
+        _united_entry("skills", "select component, list(name order by f) as list from rated group by 1"),
+        _united_entry("experience", """select component, list({'company': company, 'title': title, 'start': start, 'end': "end", 'summary': summary} order by f) as list from jobs group by 1"""),
+        _united_entry("education", "select component, list({'institution': institution, 'degree': degree, 'field': field, 'end_year': end_year} order by f) as list from schools group by 1"),
+        _united_entry("projects", "select component, list({'title': title, 'description': description, 'tech_stack': string_split(tools, '|')} order by f) as list from proj group by 1"),
+    ]
+)
+
+
+@query(VIEW + f", {SIZES}, {RATED}, {JOBS}, {SCHOOLS}, {PROJECT} select sha256(component::varchar) as candidate_id, field, value, source, method from ({ENTRIES})")
+def provenance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All entries of all profiles, with their values as JSON."""
+    return profiles(spark, sf_dir).select("candidate_id", F.explode("provenance").alias("p")).select("candidate_id", "p.*")
 
 
 # --- projection
@@ -490,6 +549,18 @@ def project_toggles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown.select("candidate_id", F.array_join(F.transform("skills", lambda s: F.to_json(s)), ",").alias("skills"))
 
 
+@query(VIEW + f""", {SIZES}, {RATED}, {JOBS}, {SCHOOLS}, {PROJECT}, entries as ({ENTRIES})
+  select sha256(component::varchar) as candidate_id, max(value) filter (field = 'emails') as emails, max(value) filter (field = 'location') as location, max(value) filter (field = 'experience') as experience,
+    max(value) filter (field = 'education') as education, max(value) filter (field = 'projects') as projects, any_value(sk) as skills from entries
+  left join (select component, to_json(list({{'name': name, 'sources': string_split(sources, '|'), 'n': round(confidence, 6)}} order by f))::varchar as sk from rated group by 1) using (component) group by component""")
+def project_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists and structs of the projected profiles as JSON, whole."""
+    shown = projection.project(profiles(spark, sf_dir), DEFAULT)
+    text = lambda c: F.regexp_replace(F.to_json(F.struct(F.col(c) if isinstance(c, str) else c), {"ignoreNullFields": "false"}), r'(?s)^\{"[^"]*":(.*)\}$', "$1")
+    rounded = F.transform("skills", lambda x: F.struct(x["name"].alias("name"), x["sources"].alias("sources"), F.round(x["confidence"], 6).alias("n"))).alias("skills")
+    return shown.select("candidate_id", *[text(c).alias(c) for c in ("emails", "location", "experience", "education", "projects")], text(rounded).alias("skills"))
+
+
 # --- ranks
 
 
@@ -504,6 +575,86 @@ def topk_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members(spark, sf_dir).groupBy("component").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "component").limit(20)
 
 
+# --- sources and sinks, over files that the query writes
+
+
+CSV_MAIL = "case when c_custkey % 9 <> 0 then ' P' || c_custkey || '@Example.ORG ' end"
+CSV_NAME = """'  Person  "' || c_custkey || '", of' || chr(10) || c_mktsegment"""
+
+
+@query("""select 'Person "' || c_custkey || '", of ' || c_mktsegment as full_name, case when c_custkey % 9 <> 0 then 'p' || c_custkey || '@example.org' end as email, case when c_custkey % 4 <> 0 then 'Firm ' || (c_custkey % 4) end as company,
+  case when c_custkey % 2 = 0 then 'JavaScript|Elm' else '' end as skills, 'normalization' as method from customer""")
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as CSV files with quotes and line ends in quotes, some of other columns, read back as records."""
+    folder = new_path(spark, "csv")
+    raw = table(spark, sf_dir, "customer").select("c_custkey", F.expr(CSV_NAME.replace("chr(10)", "'\\n'")).alias("name"), F.expr(CSV_MAIL).alias("email"), F.when(F.col("c_custkey") % 4 != 0, F.concat(F.lit(" Firm "), F.col("c_custkey") % 4)).alias("current_company"), F.when(F.col("c_custkey") % 2 == 0, "js; Elm ;;JS").alias("skills"))
+    for k, columns in enumerate((["name", "email", "current_company", "skills"], ["skills", "current_company", "email", "name", "c_custkey"])):
+        raw.where(F.col("c_custkey") % 2 == k).select(*columns).write.mode("append").option("header", True).option("escape", '"').csv(folder)
+    found = tables.csv_records(tables.read_csv(spark, folder), norm_map())
+    return found.select("full_name", F.get("emails", F.lit(0)).alias("email"), F.get("experience", F.lit(0))["company"].alias("company"), F.array_join("skills.name", "|").alias("skills"), "method")
+
+
+@query("""select 'resume_r' || c_custkey as source, 'Person ' || c_custkey as full_name, 'r' || c_custkey || '@example.org' as email, 'I was in ' || lower(c_mktsegment) || '.' as headline,
+  'Python|Elm' as skills, 'https://github.com/r' || c_custkey as github, '1970-01-01T00:00:00Z' as procured_at from customer""")
+def resume_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracted resumes, one JSON document for each customer, read back as records."""
+    folder, k = new_path(spark, "resumes"), F.col("c_custkey")
+    lines = F.array(F.concat(F.lit("Person  "), k), F.lit("INTRODUCTION"), F.concat(F.lit("I was in "), F.lower("c_mktsegment"), F.lit(".")))
+    skills, intro = F.array(F.lit("• Languages: PY, Elm.")), F.array(F.concat(F.lit("I was in "), F.lower("c_mktsegment"), F.lit(". And more.")))
+    links = F.array(F.struct(F.concat(F.lit("https://github.com/r"), k).alias("url"), F.lit("").alias("anchor")))
+    raw = table(spark, sf_dir, "customer").select(F.concat(F.lit("r"), k).alias("source_file"), lines.alias("lines"), F.create_map(F.lit("INTRODUCTION"), intro, F.lit("TECHNICALSKILLS"), skills).alias("sections"), links.alias("links"), F.concat(F.lit("mail R"), k, F.lit("@Example.org")).alias("raw_text"))
+    raw.write.option("maxRecordsPerFile", 1).json(folder)
+    found = tables.resume_records(spark, tables.read_resumes(spark, folder), norm_map())
+    return found.select("source", "full_name", F.get("emails", F.lit(0)).alias("email"), "headline", F.array_join("skills.name", "|").alias("skills"), "links.github", "procured_at")
+
+
+STORED = """select source, method, full_name, email, n_jobs, headline from cand left join (select o_custkey as rid, count(*) as n_jobs from orders group by 1) using (rid)"""
+
+
+@query(VIEW + STORED)
+def records_exported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records as JSON documents, one file each, and read back."""
+    folder = new_path(spark, "documents")
+    sinks.export_documents(candidates(spark, sf_dir).drop("rid"), folder)
+    return _stored(tables.read_records(spark, folder))
+
+
+@query(VIEW + STORED + " order by source")
+def records_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records as Parquet by kind of source, emptied, written again and read back."""
+    folder, own = new_path(spark, "records"), candidates(spark, sf_dir).drop("rid")
+    sinks.write_records(own, folder)
+    sinks.truncate(spark, folder, own)
+    sinks.write_records(own, folder)
+    return _stored(spark.read.parquet(folder))
+
+
+def _stored(records: DataFrame) -> DataFrame:
+    n = F.size("experience").cast("long")
+    return records.select("source", "method", "full_name", F.get("emails", F.lit(0)).alias("email"), F.when(n > 0, n).alias("n_jobs"), "headline")
+
+
+@query(VIEW + "select sha256(component::varchar) as candidate_id, count(*) as n from comp where component % 2 <> 0 group by component")
+def profiles_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles written, half of them deleted by key, written anew and read back."""
+    one, two = new_path(spark, "profiles"), new_path(spark, "profiles")
+    own = members(spark, sf_dir)
+    sinks.write_profiles(survivorship.fuse(own), one)
+    gone = own.where("component % 2 = 0").select("candidate_id")
+    sinks.write_profiles(sinks.delete_profiles(tables.read_profiles(spark, one), gone), two)
+    return tables.read_profiles(spark, two).select("candidate_id", F.col("total_source_points").cast("long").alias("n"))
+
+
+@query(VIEW + "select sha256(component::varchar) as candidate_id, min(email) as mail from m group by component having count(distinct email) = 1")
+def projection_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Projected profiles as JSON lines, written by the executors and read back."""
+    folder = new_path(spark, "lines")
+    config = projection.Config.of({"fields": [{"path": "candidate_id"}, {"path": "emails"}], "on_missing": "omit"})
+    sinks.write_projection_lines(profiles(spark, sf_dir), config, folder)
+    shown = spark.read.schema("candidate_id string, emails array<string>").json(folder)
+    return shown.where(F.size("emails") == 1).select("candidate_id", F.col("emails")[0].alias("mail"))
+
+
 # --- the flagship
 
 

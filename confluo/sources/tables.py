@@ -93,11 +93,34 @@ def read_csv(spark: SparkSession, folder: str, source_id: str = "file_row") -> D
     return rows
 
 
-def csv_records(rows: DataFrame, skills: dict[str, str]) -> DataFrame:
-    """CSV rows as records. The company is stripped, the title's spacing collapsed; skills are separated by semicolons."""
+def csv_skills() -> Column:
+    """The skills of a CSV row as written: separated by semicolons, without blank ones."""
+    return F.filter(F.split(F.coalesce(F.col("skills"), F.lit("")), ";"), lambda s: strip(s) != "")
+
+
+def resume_skills() -> Column:
+    """The skills of an extracted resume as written."""
+    sections = F.coalesce(F.col("sections"), F.create_map().cast("map<string,array<string>>"))
+    return resume.skill_tokens(resume.section(sections, "TECHNICALSKILLS"))
+
+
+def csv_mentions(rows: DataFrame) -> DataFrame:
+    """(source, kind, file, row, pos, raw) of the skills in CSV rows; kind, file, row and pos are the order in which they are met."""
+    return rows.select("source", F.lit(0).alias("kind"), "file", F.col("row").cast("int").alias("row"), F.posexplode(csv_skills()).alias("pos", "raw"))
+
+
+def resume_mentions(raw: DataFrame) -> DataFrame:
+    """Like ``csv_mentions`` for extracted resumes, which come after CSV rows."""
+    return raw.select(F.concat(F.lit("resume_"), F.col("source_file")).alias("source"), F.lit(1).alias("kind"), F.col("source_file").alias("file"), F.lit(0).alias("row"), F.posexplode(resume_skills()).alias("pos", "raw"))
+
+
+def csv_records(rows: DataFrame, skills: dict[str, str] | None = None) -> DataFrame:
+    """CSV rows as records. The company is stripped, the title's spacing collapsed.
+
+    Skills are named by ``skills``, if it is given, and left empty otherwise (see ``taxonomy.with_skills``).
+    """
     company, title = filled(strip(F.col("current_company"))), normalize_name(F.col("title"))
     position = F.struct(company.alias("company"), title.alias("title"), *[F.lit(None).cast("string").alias(k) for k in ("start", "end", "summary")])
-    mentions = F.filter(F.split(F.coalesce(F.col("skills"), F.lit("")), ";"), lambda s: strip(s) != "")
     return rows.select(
         *record(
             source=F.col("source"),
@@ -106,7 +129,7 @@ def csv_records(rows: DataFrame, skills: dict[str, str]) -> DataFrame:
             full_name=normalize_name(F.col("name")),
             emails=normalize_emails(as_list(F.col("email"))),
             phones=normalize_phones(as_list(F.col("phone"))),
-            skills=skills_of(mentions, skills, F.col("source")),
+            skills=None if skills is None else skills_of(csv_skills(), skills, F.col("source")),
             experience=F.when(company.isNotNull() | title.isNotNull(), F.array(position)),
         )
     )
@@ -120,8 +143,8 @@ def read_resumes(spark: SparkSession, folder: str) -> DataFrame:
     return raw.where(F.col(broken).isNull()).drop(broken)
 
 
-def resume_records(spark: SparkSession, raw: DataFrame, skills: dict[str, str]) -> DataFrame:
-    """Extracted resumes as records. Without a time of their own they have the epoch; experience is empty."""
+def resume_records(spark: SparkSession, raw: DataFrame, skills: dict[str, str] | None = None) -> DataFrame:
+    """Extracted resumes as records. Without a time of their own they have the epoch; experience is empty; skills as in ``csv_records``."""
     source = F.concat(F.lit("resume_"), F.col("source_file"))
     lines = F.coalesce(F.col("lines"), F.array().cast("array<string>"))
     sections = F.coalesce(F.col("sections"), F.create_map().cast("map<string,array<string>>"))
@@ -137,7 +160,7 @@ def resume_records(spark: SparkSession, raw: DataFrame, skills: dict[str, str])
             location=school["location"],
             links=resume.classify_links(F.col("links")),
             headline=resume.headline(resume.section(sections, "INTRODUCTION")),
-            skills=skills_of(resume.skill_tokens(resume.section(sections, "TECHNICALSKILLS")), skills, source),
+            skills=None if skills is None else skills_of(resume_skills(), skills, source),
             education=school["education"],
             projects=resume.projects(resume.section(sections, "PROJECTS")),
         )

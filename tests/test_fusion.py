@@ -12,7 +12,7 @@ from confluo.operators.survivorship import experience, fuse
 from confluo.sources.tables import record
 from confluo.streaming.incremental import IdentityStore, follow, record_stream
 
-T1, T2 = "2026-01-01T00:00:00Z", "2026-05-01T00:00:00Z"
+OLD, NEW = "2019-04-02T08:00:00Z", "2023-11-20T17:30:00Z"
 
 
 def rows(spark, *given):
@@ -20,7 +20,7 @@ def rows(spark, *given):
     full = []
     for n, g in enumerate(given):
         base = {f.name: None for f in schema.RECORD}
-        base |= {"source": f"csv_{n + 1}", "method": "normalization", "procured_at": (T1, T2)[min(n, 1)]} | g
+        base |= {"source": f"csv_{n + 1}", "method": "normalization", "procured_at": (OLD, NEW)[min(n, 1)]} | g
         full.append([base[f.name] for f in schema.RECORD])
     df = spark.createDataFrame(full, schema.RECORD)
     return df.select(*record(**{f.name: F.col(f.name) for f in schema.RECORD})).withColumn("rid", F.xxhash64("source")).withColumn("candidate_id", F.lit("c"))
@@ -31,50 +31,52 @@ def merged(spark, *given):
 
 
 def test_unions_and_maximum(spark):
-    m = merged(spark, {"full_name": "A B", "emails": ["a@x.com"], "phones": ["+10000000000"], "years_experience": 3.0}, {"full_name": "A B", "emails": ["a2@x.com"], "phones": ["+10000000000"], "years_experience": 5.0})
-    assert m["emails"] == ["a@x.com", "a2@x.com"] and m["phones"] == ["+10000000000"] and m["years_experience"] == 5 and m["total_source_points"] == 2
-    # names agree: 0.5; e-mails differ: 0.7; phones agree: 0.5; no location: 0
-    assert m["overall_confidence"] == round(0.2 * 0.5 + 0.15 * 0.7 + 0.15 * 0.5 + 0.2 + 0.1 + 0.05 + 0.05, 6)
+    mail = ["mara@orchard.example", "m.quill@harbour.example"]
+    m = merged(spark, {"full_name": "Mara Quill", "emails": mail[:1], "phones": ["+35312345678"], "years_experience": 11.0}, {"full_name": "mara quill", "emails": mail[1:], "phones": ["+35312345678"], "years_experience": 4.0}, {"phones": ["+4930901820"]})
+    assert m["emails"] == mail and m["phones"] == ["+35312345678", "+4930901820"] and m["years_experience"] == 11 and m["total_source_points"] == 3
+    # names agree but for case: one of two repeats; e-mails differ; of three phones one repeats; no location
+    assert m["overall_confidence"] == round(0.2 * 0.5 + 0.15 * 0.7 + 0.15 / 3 + 0.2 + 0.1 + 0.05 + 0.05, 6)
 
 
 def test_later_name_wins(spark):
-    assert merged(spark, {"full_name": "Bob"}, {"full_name": "Robert Long"})["full_name"] == "Robert Long"
-    tie = {"procured_at": T1}
-    assert merged(spark, {"full_name": "Bob"} | tie, {"full_name": "Rob"} | tie, {"full_name": "Al"} | tie)["full_name"] == "Bob"
+    assert merged(spark, {"full_name": "Ines Falk-Sorensen"}, {"full_name": "Ines F."})["full_name"] == "Ines F."
+    tie = {"procured_at": OLD}
+    assert merged(spark, {"full_name": "Tovi"} | tie, {"full_name": "Sven"} | tie, {"full_name": "Al"} | tie)["full_name"] == "Sven"
 
 
 def test_skill_confidence(spark):
-    m = merged(spark, {"skills": [("Python", ["csv_1"])]}, {"skills": [("Python", ["csv_2"]), ("Go", ["csv_2"])]})
-    assert [(s["name"], s["sources"], s["confidence"]) for s in m["skills"]] == [("Python", ["csv_1", "csv_2"], 1.0), ("Go", ["csv_2"], 0.5)]
+    named = [[("Erlang", ["csv_1"]), ("Zig", ["csv_1"])], [("Erlang", ["csv_2"])], [("Erlang", ["csv_3"]), ("Ada", ["csv_3"])], []]
+    m = merged(spark, *[{"skills": x} for x in named])
+    assert [(s["name"], s["sources"], s["confidence"]) for s in m["skills"]] == [("Erlang", ["csv_1", "csv_2", "csv_3"], 0.75), ("Zig", ["csv_1"], 0.25), ("Ada", ["csv_3"], 0.25)]
 
 
 def test_experience(spark):
-    own = rows(spark, {"experience": [("Acme", "Eng", "2020-01", "2021-01", "short")]}, {"experience": [("Acme", "Eng", "2019-06", None, "a much longer summary")]})
-    got = experience(own).first()
-    assert [tuple(x) for x in got["experience"]] == [("Acme", "Eng", "2019-06", None, "a much longer summary")] and got["experience_score"] == 0.6
+    told = [("Norwind", "Analyst", "2011-09", "2015-02", "charts of tides"), ("Norwind", "Analyst", "2012-01", None, "tides"), ("Norwind", "Lead", "2015-03", "2016-04", None), ("Norwind", "Lead", "2015-05", "2018-10", "led")]
+    got = experience(rows(spark, {"experience": told[:1]}, {"experience": told[1:]})).first()
+    assert [tuple(x) for x in got["experience"]] == [("Norwind", "Analyst", "2011-09", None, "charts of tides"), ("Norwind", "Lead", "2015-03", "2018-10", "led")] and got["experience_score"] == 0.8
 
 
 def test_education_and_projects(spark):
-    m = merged(
-        spark,
-        {"education": [("IIIT", "B.Tech", "CS", 2026)], "projects": [("Ping", "short", ["Go"])]},
-        {"education": [("IIIT", "b tech", "Computer Science", 2027)], "projects": [("ping", "a longer newer description", ["Go", "Redis"]), (None, None, None)]},
-    )
-    assert [tuple(x) for x in m["education"]] == [("IIIT", "B.Tech", "Computer Science", 2027)]
-    assert [tuple(x) for x in m["projects"]] == [("Ping", "a longer newer description", ["Go", "Redis"]), (None, None, [])]
+    schools = [("Lakeside Polytechnic", "M.Sc.", "Geodesy", 2009), ("Lakeside Polytechnic", "msc", "Applied Geodesy", 2008), ("Other Hall", "msc", None, None)]
+    built = [("Tide Table", "first", ["Ada"]), (" tide  TABLE ", "of the newer record", ["Zig"]), (None, None, None)]
+    m = merged(spark, {"education": schools[:1], "projects": built[:1]}, {"education": schools[1:], "projects": built[1:]})
+    assert [tuple(x) for x in m["education"]] == [("Lakeside Polytechnic", "M.Sc.", "Applied Geodesy", 2008), ("Other Hall", "msc", None, None)]
+    assert [tuple(x) for x in m["projects"]] == [("Tide Table", "of the newer record", ["Zig"]), (None, None, [])]
 
 
 def test_provenance(spark):
-    m = merged(spark, {"full_name": "A B", "skills": [("Python", ["csv_1"])]}, {"source": "resume_x", "full_name": "A B", "links": ("ln", None, None, [])})
+    m = merged(spark, {"full_name": "Ines Falk", "skills": [("Erlang", ["csv_1"]), ("Zig", ["csv_1"])]}, {"source": "resume_ines", "method": "by hand", "links": (None, "https://github.com/ines", None, ["u"])})
     by = {p["field"]: p for p in m["provenance"]}
-    assert len(m["provenance"]) == 14 and by["emails"]["source"] == "multiple" and by["emails"]["method"] == "union"
-    assert by["links.linkedin"]["source"] == "resume_x" and json.loads(by["skills"]["value"]) == ["Python"] and by["headline"]["value"] is None
+    assert len(m["provenance"]) == len(by) == 14
+    assert (by["phones"]["source"], by["phones"]["method"], by["phones"]["value"]) == ("multiple", "union", "[]")
+    assert (by["links.github"]["source"], by["links.github"]["method"]) == ("resume_ines", "by hand") and json.loads(by["links.other"]["value"]) == ["u"]
+    assert json.loads(by["skills"]["value"]) == ["Erlang", "Zig"] and by["headline"]["value"] is None
     assert json.loads(by["location"]["value"]) == {"city": None, "region": None, "country": None}
 
 
 def test_location_tie_keeps_first(spark):
-    m = merged(spark, {"procured_at": T1, "location": ("B", None, None)}, {"procured_at": T1, "location": ("A", None, None)})
-    assert m["location"]["city"] == "B"
+    m = merged(spark, {"procured_at": OLD, "location": ("Ystad", None, None)}, {"procured_at": OLD, "location": ("Arles", None, None)})
+    assert m["location"]["city"] == "Ystad"
 
 
 def union_find(pairs, nodes):
@@ -125,20 +127,35 @@ def test_identities_bridge_and_increment(spark):
 
 
 def test_stream_of_records(spark, tmp_path):
+    """Each batch is added by a store opened anew, as after a restart; a batch that was interrupted is written again."""
     given = [{"emails": ["a@x.co"], "full_name": "A"}, {"emails": ["b@x.co"], "full_name": "B"}, {"emails": ["a@x.co", "b@x.co"], "full_name": "C"}]
-    store = IdentityStore(spark)
+    folder = str(tmp_path / "store")
+    (tmp_path / "store/records/1").mkdir(parents=True)
+    (tmp_path / "store/records/1/part-of-an-interrupted-batch.parquet").write_text("broken")
     for n, g in enumerate([given[:2], given[2:], given[:2]]):
         numbered = [x | {"source": f"csv_{given.index(x)}"} for x in g]
         rows(spark, *numbered).drop("rid", "candidate_id").write.mode("append").parquet(str(tmp_path / "in"))
+        store = IdentityStore(spark, folder)
         follow(store, record_stream(spark, str(tmp_path / "in")), str(tmp_path / "cp")).awaitTermination()
-        assert store.profiles().count() == (2, 1, 1)[n]
-    assert store.profiles().first()["total_source_points"] == 3
+        assert store.profiles().count() == (2, 1, 1)[n] and store.done() == list(range(n + 1))
+    again = IdentityStore(spark, folder)
+    again.add(again.records, 1)
+    assert again.profiles().first()["total_source_points"] == 3 and again.records.count() == 3
+
+
+def test_contact_classes(spark):
+    got = {(r["kind"], r["value"], r["rid"], r["representative"], r["n"]) for r in identity.contact_classes(people(spark)).collect()}
+    assert ("email", "a", 3, 1, 2) in got and ("phone", "1", 5, 2, 2) in got and ("email", "1", 7, 7, 1) in got and len(got) == 10
+    pairs = {tuple(r) for r in identity.contact_match(people(spark), people(spark)).collect()}
+    assert pairs == {(a[2], b[2]) for a in got for b in got if a[:2] == b[:2]}
+    with pytest.raises(ValueError):
+        identity.contact_match(people(spark), people(spark), max_degree=1)
 
 
 # --- projection
 
 PROFILE = {
-    "full_name": "Jane", "emails": ["j@x.co", "k@x.co"], "phones": ["+1"], "location": ("Pune", None, "IN"), "links": ("ln", None, None, ["o1", "o2"]),
+    "full_name": "Jane", "emails": ["j@x.co", "k@x.co"], "phones": ["+1"], "location": ("Ystad", None, "SE"), "links": ("ln", None, None, ["o1", "o2"]),
     "skills": [("Python", ["csv_1"], 1.0), ("Go", ["csv_2"], 0.5)], "experience": [("Acme", "Eng", ["x"])], "overall_confidence": 0.75, "provenance": [("full_name", "\"Jane\"", "csv_1", "n")], "years_experience": None,
 }
 KIND = "full_name string, emails array<string>, phones array<string>, location struct<city:string,region:string,country:string>, links struct<linkedin:string,github:string,portfolio:string,other:array<string>>, skills array<struct<name:string,sources:array<string>,confidence:double>>, experience array<struct<company:string,title:string,_start_years:array<string>>>, overall_confidence double, provenance array<struct<field:string,value:string,source:string,method:string>>, years_experience double"
@@ -154,7 +171,7 @@ def shown(profile, **config):
 
 
 @pytest.mark.parametrize("path, expected", [
-    ("full_name", "Jane"), ("emails[0]", "j@x.co"), ("location.city", "Pune"), ("skills[].name", ["Python", "Go"]), ("links.other[]", ["o1", "o2"]), ("experience[0].company", "Acme"), ("emails[7]", None), ("nope.x", None), ("skills[].nope", []),
+    ("full_name", "Jane"), ("emails[0]", "j@x.co"), ("location.city", "Ystad"), ("skills[].name", ["Python", "Go"]), ("links.other[]", ["o1", "o2"]), ("experience[0].company", "Acme"), ("emails[7]", None), ("nope.x", None), ("skills[].nope", []),
 ])
 def test_paths(profile, path, expected):
     assert shown(profile, fields=[{"path": "v", "from": path}]).first()["v"] == expected
@@ -181,7 +198,7 @@ def test_missing_policies(profile):
     assert shown(profile, fields=fields).first()["years_experience"] is None
     with pytest.raises(Exception, match="missing required value for field 'years_experience'"):
         shown(profile, fields=fields, on_missing="error").collect()
-    assert json.loads(shown(profile, fields=[*fields, {"path": "location"}], on_missing="omit").first()[0]) == {"full_name": "Jane", "location": {"city": "Pune", "region": None, "country": "IN"}}
+    assert json.loads(shown(profile, fields=[*fields, {"path": "location"}], on_missing="omit").first()[0]) == {"full_name": "Jane", "location": {"city": "Ystad", "region": None, "country": "SE"}}
 
 
 def test_toggles(profile):

@@ -55,6 +55,25 @@ def test_end_to_end(spark, tmp_path, capsys):
     assert cli.main(["project", "--profiles", str(tmp_path / "out/profiles"), "--config", str(strict)]) == cli.FAILED
 
 
+def test_unknown_skills_are_registered(spark, tmp_path):
+    """Spellings of one unknown skill are one skill, named as first met, in this run and, by the taxonomy file, in the next."""
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "a.csv").write_text("name,email,skills\nEve,eve@x.org,Quark Lang; js\nEve,eve@x.org,quark-lang;JavaScript;Other\n")
+    known = tmp_path / "known.json"
+    args = ["run", "--csvs", str(tmp_path / "csv"), "--out", str(tmp_path / "out"), "--taxonomy", str(known)]
+    assert cli.main(args) == cli.OK
+    eve = tables.read_profiles(spark, str(tmp_path / "out/profiles")).first()
+    assert [(s["name"], s["confidence"]) for s in eve["skills"]] == [("Quark Lang", 1.0), ("JavaScript", 1.0), ("Other", 0.5)]
+    assert json.loads(known.read_text())["quarklang"] == "Quark Lang"
+    (tmp_path / "csv" / "a.csv").write_text("name,email,skills\nEve,eve@x.org,QUARKLANG\n")
+    assert cli.main(args) == cli.OK
+    assert tables.read_profiles(spark, str(tmp_path / "out/profiles")).first()["skills"][0]["name"] == "Quark Lang"
+    groups = tmp_path / "groups.json"
+    groups.write_text(json.dumps({"Quark": ["qk", "quark lang"]}))
+    assert cli.main(["taxonomy", "--groupings", str(groups), "--output", str(known)]) == cli.OK
+    assert json.loads(known.read_text()) == {"qk": "Quark", "quark": "Quark", "quarklang": "Quark"}
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
