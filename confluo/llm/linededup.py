@@ -18,10 +18,22 @@ from ..plans.shared import columns_but, settle
 #: Ends of lines and of sentences, with the blanks after them; wide full stops need none.
 _ENDS = re.compile(r"\n|[.!?…][\"'”’»)\]]*[ \t]+|[。！？][”’」』）]*[ \t]*")
 _WIDE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"  # scripts without blanks between words
-_PLAIN = re.compile(r"\S+")
 _WIDES, _TOKEN = re.compile(f"[{_WIDE}]"), re.compile(rf"[{_WIDE}]|[^\s{_WIDE}]+")
 
 
+#: CRC-32 of the words met, so that frequent ones are hashed once; emptied when full.
+_CRC: dict[str, int] = {}
+
+
+def _crc(word: str) -> int:
+    if len(_CRC) >= 200_000:
+        _CRC.clear()
+    got = zlib.crc32(word.encode("utf-8", "surrogatepass"))
+    if len(word) < 32:
+        _CRC[word] = got
+    return got
+
+
 def words_in(text: str) -> int:
     """Words between blanks; in scripts without blanks two letters count as one."""
     if text.isascii():
@@ -55,66 +67,86 @@ class Chunker:
 
         opens, closes: it starts or ends a line of at least ``paragraph_words`` words.
         """
-        held, total, at = [], 0, 0
-        for stop in [*(m.end() for m in _ENDS.finditer(text)), len(text)]:
+        held, total, at, most, size = [], 0, 0, self.long_words, len(text)
+        plain = text.isascii() or not _WIDES.search(text)
+        stops = [m.end() for m in _ENDS.finditer(text)]
+        if not stops or stops[-1] < size:
+            stops.append(size)
+        for stop in stops:
             if stop > at:
-                n = words_in(text[at:stop])
-                held += self._parts(text, at, stop) if n > self.long_words else [(at, stop, n)]
+                n = len(text[at:stop].split()) if plain else words_in(text[at:stop])
+                if n > most:
+                    held += self._parts(text, at, stop, plain)
+                else:
+                    held.append((at, stop, n))
                 total, at = total + n, stop
-            if held and (stop == len(text) or text[stop - 1] == "\n"):
-                large, last = total >= self.paragraph_words, len(held) - 1
-                for k, x in enumerate(held):
-                    yield *x, large and k == 0, large and k == last
+            if held and (stop == size or text[stop - 1] == "\n"):
+                if total >= self.paragraph_words:
+                    last = len(held) - 1
+                    for k, x in enumerate(held):
+                        yield *x, k == 0, k == last
+                else:
+                    for x in held:
+                        yield *x, False, False
                 held, total = [], 0
 
-    def _parts(self, text: str, start: int, stop: int) -> list[tuple[int, int, int]]:
-        found, at, since, pair, last = [], start, 0, 1, 0
-        plain = not _WIDES.search(text, start, stop)
-        fewest, k = self.least_words * (1 if plain else 2), -1
-        for k, m in enumerate((_PLAIN if plain else _TOKEN).finditer(text, start, stop)):
-            if k - since >= self.long_words or ((pair >> 7) % self.spread == 0 and k - since >= fewest):
-                here = m.start()
-                found.append((at, here, k - since if plain else words_in(text[at:here])))
-                at, since = here, k
-            now = zlib.crc32(m[0].encode("utf-8", "surrogatepass"))
-            pair, last = now ^ last * 5, now
-        if found and k + 1 - since < fewest:  # too few for a piece of their own
-            at = found.pop()[0]
-        return [*found, (at, stop, words_in(text[at:stop]))]
+    def _parts(self, text: str, start: int, stop: int, plain: bool) -> list[tuple[int, int, int]]:
+        words = text[start:stop].split() if plain else _TOKEN.findall(text, start, stop)
+        fewest, most, spread = self.least_words * (1 if plain else 2), self.long_words, self.spread
+        cuts, since, last, ends, known = [], 0, 0, False, _CRC
+        for k, w in enumerate(words):
+            if k - since >= most or (ends and k - since >= fewest):
+                cuts.append(k)
+                since = k
+            now = known.get(w)
+            if now is None:
+                now = _crc(w)
+            ends = ((now ^ last * 5) >> 7) % spread == 0
+            last = now
+        if cuts and len(words) - cuts[-1] < fewest:  # too few for a piece of their own
+            cuts.pop()
+        found, at, place, k = [], start, start, 0
+        for cut in cuts:
+            for w in words[k:cut]:
+                place = text.find(w, place) + len(w)
+            here = text.find(words[cut], place)
+            found.append((at, here, cut - k if plain else words_in(text[at:here])))
+            at, k = here, cut
+        return [*found, (at, stop, len(words) - k if plain else words_in(text[at:stop]))]
 
     def chunks(self, text: str) -> list[tuple[int, int, int, int]]:
         """(start, end, lines, words) of each chunk; a piece of ``least_words`` words counts as two lines."""
-        found = []
+        found, least = [], self.least_words
         start = end = lines = words = 0
         for at, stop, n, opens, closes in self.lines(text):
-            small = n < self.least_words
-            if lines and (opens or (n and not small)):
+            small = n < least
+            if lines and (opens or not small):
                 found.append((start, end, lines, words))
                 start, lines, words = end, 0, 0
             end = stop
             if not n:
                 continue
-            lines, words = lines + (2 if n >= self.least_words else 1), words + n
-            if not small or closes or lines >= self.most_lines or (words >= 2 * self.least_words and not zlib.crc32(text[at:stop].strip().encode("utf-8", "surrogatepass")) & 1):
+            lines, words = lines + (1 if small else 2), words + n
+            if not small or closes or lines >= self.most_lines or (words >= 2 * least and not _crc(text[at:stop].strip()) & 1):
                 found.append((start, end, lines, words))
                 start, lines, words = end, 0, 0
         if end > start:
             found.append((start, end, lines, words))
         return found
 
-    def passages(self, text: str, listed: list[dict]) -> list[tuple[int, int]]:
+    def passages(self, text: str, listed: list[tuple[int, int, int, bool, int]]) -> list[tuple[int, int]]:
         """The spans to cut: runs of repeated chunks that follow each other where they come first, too."""
         runs: list[list] = []
-        for c in listed:
-            if c["first"]:
+        for start, end, _, first, near in listed:
+            if first:
                 continue
-            gap = text[runs[-1][1] : c["start"]] if runs and c["start"] - runs[-1][1] < 200 else None
-            after, before = (runs[-1][2] & 2, c["near"] & 1) if runs else (0, 0)
+            gap = text[runs[-1][1] : start] if runs and start - runs[-1][1] < 200 else None
+            after, before = (runs[-1][2] & 2, near & 1) if runs else (0, 0)
             # Words too few for a chunk to be listed go if they stand between the same chunks at the first place.
             if gap is not None and ((not gap and (after or before)) or (after and before and words_in(gap) < self.least_words)):
-                runs[-1][1:] = [c["end"], c["near"]]
+                runs[-1][1:] = [end, near]
             else:
-                runs.append([c["start"], c["end"], c["near"]])
+                runs.append([start, end, near])
         out = []
         for start, end, _ in runs:
             said = text[start:end]
@@ -126,32 +158,60 @@ class Chunker:
 
 def content(text: str) -> str:
     """What chunks are compared by: the lines stripped of white space at their ends, without blank ones."""
-    return "\n".join(x for x in map(str.strip, text.split("\n")) if x)
+    text = text.strip()
+    return text if "\n" not in text else "\n".join(x for x in map(str.strip, text.split("\n")) if x)
 
 
 def _chunks(how: Chunker):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read, digest, least = struct.Struct("<qII").unpack, xxhash.xxh3_128_digest, how.least_words
         for b in batches:
-            ids, marks, rows = b.column("id"), b.column("mark"), []
+            which, starts, ends, h, before, after = ([] for _ in range(6))
             for k, t in enumerate(b.column("text")):
                 text = t.as_py()
                 own = how.chunks(text) if text else []
-                hashes = [struct.unpack("<qII", xxhash.xxh3_128_digest(content(text[start:end]).encode("utf-8", "surrogatepass"))) for start, end, _, _ in own]
-                last = len(own) - 1
+                hashes = [read(digest(content(text[start:end]).encode("utf-8", "surrogatepass"))) for start, end, _, _ in own]
+                near = [0, *(x[1] >> 1 | 1 for x in hashes), 0]
                 for j, (start, end, lines, words) in enumerate(own):
-                    if lines >= 2 and words >= how.least_words:
-                        before, after = hashes[j - 1][1] >> 1 | 1 if j else 0, hashes[j + 1][1] >> 1 | 1 if j < last else 0
-                        rows.append((k, start, end, hashes[j][0], before, after))
-            which = pa.array([r[0] for r in rows], pa.int32())
-            types = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(which), marks.take(which), *(pa.array([r[c + 1] for r in rows], t) for c, t in enumerate(types))],
-                ["id", "mark", "start", "end", "h", "before", "after"],
-            )
+                    if lines >= 2 and words >= least:
+                        which.append(k)
+                        starts.append(start)
+                        ends.append(end)
+                        h.append(hashes[j][0])
+                        before.append(near[j])
+                        after.append(near[j + 2])
+            places = pa.array(which, pa.int32())
+            columns = (pa.array(x, t) for x, t in ((starts, pa.int32()), (ends, pa.int32()), (h, pa.int64()), (before, pa.int32()), (after, pa.int32())))
+            yield pa.RecordBatch.from_arrays([b.column("id").take(places), b.column("mark").take(places), *columns], ["id", "mark", "start", "end", "h", "before", "after"])
 
     return run
 
 
+def _listed(chunks: pa.ListArray) -> Iterator[list[tuple[int, int, int, bool, int]]]:
+    """(start, end, h, first, near) of the chunks listed in each row."""
+    flat, ends = chunks.flatten(), chunks.value_lengths().fill_null(0).to_pylist()
+    rows = list(zip(*(flat.field(k).to_pylist() for k in range(5)), strict=True))
+    at = 0
+    for n in ends:
+        yield rows[at : at + n]
+        at += n
+
+
+def _said(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, content) of the listed chunks, each content once for a batch."""
+    for b in batches:
+        seen: dict[int, str] = {}
+        others: set[tuple[int, str]] = set()
+        for t, listed in zip(b.column("text"), _listed(b.column("chunks")), strict=True):
+            text = t.as_py()
+            for start, end, h, _, _ in listed:
+                said = content(text[start:end])
+                if seen.setdefault(h, said) != said:
+                    others.add((h, said))
+        rows = [*seen.items(), *others]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], ["h", "content"])
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The content of every listed chunk of each text."""
     for b in batches:
@@ -184,9 +244,9 @@ def _cut(how: Chunker, text_col: str, chunks: str, removed: str):
         for b in batches:
             k = b.schema.get_field_index(text_col)
             texts, gone = [], []
-            for t, listed in zip(b.column(k), b.column(chunks), strict=True):
+            for t, listed in zip(b.column(k), _listed(b.column(chunks)), strict=True):
                 text = t.as_py()
-                spans = how.passages(text, listed.as_py())
+                spans = how.passages(text, listed)
                 texts.append(cut_out(text, spans) if spans else text)
                 gone.append([{"start": s, "end": e} for s, e in spans])
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -236,13 +296,16 @@ def dedup_lines(docs: DataFrame, how: Chunker = Chunker(), id_col: str = "doc_id
     joined = docs.join(listed, F.col(f"`{id_col}`").eqNullSafe(F.col(f"{p}_id")) & (_key(text) == F.col(mark)), "left")
     met = settle(joined.drop(f"{p}_id", mark), "met")
 
+    # Contents are compared where they differ at all under one hash: each distinct one is sent once by a task.
     some = met.where(F.col(spans).isNotNull())
-    whole = some.select(F.col(f"`{id_col}`").alias("id"), _key(text).alias("mark"), text.alias("text"), F.col(spans).alias("chunks"))
-    contents = whole.mapInArrow(_texts, f"id {ids}, mark long, start int, h long, first boolean, content string")
-    firsts = contents.where("first").groupBy("h").agg(F.min("content").alias("said")).select(F.struct("h").alias("k"), "said")
-    wrong = contents.where("not first").withColumn("k", F.struct("h")).join(firsts, "k").where("content <> said")
-    wrong = settle(wrong.select("id", "mark", "start").distinct(), "unlike")
-    if wrong.limit(1).count():  # equal hashes of unlike chunks: they stay
+    said = some.select(text.alias("text"), F.col(spans).alias("chunks")).mapInArrow(_said, "h long, content string")
+    odd = settle(said.groupBy("h", "content").agg(F.lit(1).alias("one")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.struct("h").alias("k")), "odd")
+    if odd.limit(1).count():  # equal hashes of unlike chunks: those unlike the first stay
+        whole = some.select(F.col(f"`{id_col}`").alias("id"), _key(text).alias("mark"), text.alias("text"), F.col(spans).alias("chunks"))
+        contents = whole.mapInArrow(_texts, f"id {ids}, mark long, start int, h long, first boolean, content string")
+        contents = contents.withColumn("k", F.struct("h")).join(odd, "k", "left_semi")
+        firsts = contents.where("first").groupBy("k").agg(F.min("content").alias("said"))
+        wrong = settle(contents.where("not first").join(firsts, "k").where("content <> said").select("id", "mark", "start").distinct(), "unlike")
         kept = wrong.groupBy("id", "mark").agg(F.collect_set("start").alias("starts")).withColumnsRenamed({"id": f"{p}_id", "mark": mark, "starts": f"{p}_starts"})
         met = met.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col(f"{p}_id")) & (_key(text) == F.col(mark)), "left")
         met = met.withColumn(spans, F.expr(f"filter({spans}, c -> NOT coalesce(array_contains({p}_starts, c.start), false))")).drop(f"{p}_id", mark, f"{p}_starts")
