@@ -1,16 +1,20 @@
 """SentencePiece encoding and decoding by weighted finite-state transduction.
 
-The model file is compiled to three transducers, composed with each input as it is read:
-
-* the normaliser, which puts the dummy prefix before the text and writes the space as U+2581;
-* the pieces, a trie that emits a piece's id where one ends, with the piece's weight;
-* the byte fallback, which takes a character without a piece to the ids of its UTF-8 bytes.
-
-Encoding is the shortest path in the tropical semiring. A unigram model's weight is the
-piece's negative score. A byte-pair model is a transducer whose states remember the last
-piece: an arc to the next one has weight 0 if merging the two pieces' text alone gives just
-these two, else it is infinite. Exactly the model's segmentation has a finite path: merges
-are local, so a sequence is what merging gives if and only if each neighbouring pair is.
+The model file is compiled to machines, which are data: states, and arcs of an input, an
+output, a weight and a next state.
+
+* ``Normaliser`` puts the dummy prefix before a text and writes the space as U+2581.
+* ``Pieces`` is a trie closed over its root: where a piece ends, an arc emits its id, with the
+  piece's weight. A character without a piece has an arc to the ids of its UTF-8 bytes.
+* ``Grammar`` says which label may follow which: its states are labels, its arcs weigh 0 and
+  are there or not (an infinite weight).
+
+Encoding composes an input with the three as far as it is read and takes the shortest path in
+the tropical semiring. A unigram model's piece weighs its negative score, and its grammar has
+one state. A byte-pair model's pieces weigh nothing; an arc of its grammar is there if merging
+the two labels' text alone gives just these two. Exactly the model's segmentation has a finite
+path: merges are local, so a sequence is what merging gives if and only if each neighbouring
+pair is.
 
 The input is read in parts between characters that stand side by side in no piece: paths of
 the parts are independent, so their concatenation is the shortest path of the whole.
@@ -26,7 +30,9 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain
+from heapq import heappop, heappush
+from itertools import chain, islice
+from operator import itemgetter
 from pathlib import Path
 
 import numpy as np
@@ -111,68 +117,77 @@ class Model:
         return cls(Path(path).read_bytes())
 
 
-class Transducer:
-    """The compiled model. ``encode`` keeps the paths of parts already met, ``keep`` of them at most."""
+#: What an arc without input reads; added to labels, which are at least -1 less the last code point, it gives numbers above 0.
+ANY, NO_LABEL = "", 0x110002
 
-    def __init__(self, model: Model, keep: int = 400_000) -> None:
-        self.model, self.keep = model, keep
-        self.ids = {p: k for k, (p, kind) in enumerate(zip(model.pieces, model.kinds, strict=True)) if kind == NORMAL}
-        self.byte_ids = {int(p[3:5], 16): k for k, (p, kind) in enumerate(zip(model.pieces, model.kinds, strict=True)) if kind == BYTE}
-        self.bytes_of = {k: b for b, k in self.byte_ids.items()}
-        self.is_byte = np.array(model.kinds) == BYTE
-        self.unknown = next((k for k, kind in enumerate(model.kinds) if kind == UNKNOWN), 0)
-        self.longest = max(map(len, self.ids), default=1)
-        self.trie: dict = {}
-        for p, k in self.ids.items():
-            node = self.trie
-            for c in p:
-                node = node.setdefault(c, {})
-            node[""] = k
-        worst = min((model.scores[k] for k in self.ids.values()), default=0.0)
-        self.fallback_weight = UNKNOWN_PENALTY - worst
-        self._surface = [p.replace(SPACE, " ") if kind == NORMAL else chr(b) if (b := self.bytes_of.get(k, 256)) < 128 else None for k, (p, kind) in enumerate(zip(model.pieces, model.kinds, strict=True))]
-        self._paths: dict[str, tuple[int, ...]] = {}
-        self._stable: dict[tuple[int | None, int], bool] = {}
-        self._parts = self._cutter()
 
-    def _cutter(self) -> re.Pattern:
-        """Cuts a normalised text into parts that no piece spans."""
-        several = [p for p in self.ids if len(p) > 1]
-        if any(SPACE in p.lstrip(SPACE) for p in several):
-            return re.compile(r"(?s).+")
-        joined = {c for p in several for c in p} - {SPACE}
-        if not joined:
-            return re.compile("(?s).")
-        # Signs that follow a letter in no piece start a part; those that do count as letters.
-        steps = {(a, b) for p in several for a, b in zip(p, p[1:], strict=False)}
-        signs = {c for c in joined if not c.isalpha()}
-        while moved := {b for a, b in steps if b in signs and a in joined - signs}:
-            signs -= moved
-        inside, before = ("".join(map(re.escape, sorted(x))) for x in (joined - signs, signs))
-        if not signs or not joined - signs:
-            return re.compile(f"{SPACE}*[{inside}{before}]+|{SPACE}+|[^{SPACE}]", re.DOTALL)
-        return re.compile(f"{SPACE}*[{before}]*[{inside}]+|{SPACE}*[{before}]+|{SPACE}+|[^{SPACE}]", re.DOTALL)
+class Normaliser:
+    """From the state START, an arc without input emits the dummy prefix and leads to the state WITHIN; there, characters are rewritten or pass."""
+
+    START, WITHIN = 0, 1
+
+    def __init__(self, dummy_prefix: bool) -> None:
+        self.arcs: dict[tuple[int, str], tuple[str, int]] = {(self.START, ANY): (SPACE if dummy_prefix else "", self.WITHIN), (self.WITHIN, " "): (SPACE, self.WITHIN)}
 
-    # -- the pieces, composed with a part
+        self._within = {ord(c): said for (state, c), (said, to) in self.arcs.items() if state == to == self.WITHIN}
 
-    def arcs(self, part: str, at: int) -> list[tuple[int, int]]:
-        """(end, label) of the arcs from a place, the longest first: the pieces that start there.
+    def compose(self, text: str, state: int) -> str:
+        """The output along the one path that reads the text."""
+        before = self.arcs[state, ANY][0] if state == self.START else ""
+        return before + text.translate(self._within)
 
-        A character that is no piece itself has an arc to its bytes, labelled -1 less its code point.
+
+class Pieces:
+    """The trie: ``next[state]`` has the arcs by character, ``label[state]`` the piece that ends in a state (-1: none), ``weight`` those of the pieces."""
+
+    def __init__(self, ids: dict[str, int], weight: list[float], fallback: float) -> None:
+        self.next: list[dict[str, int] | None] = [None]
+        self.label = array("i", [-1])
+        self.weight, self.fallback, self.weighted = weight, fallback, any(weight)
+        for piece, k in ids.items():
+            state = 0
+            for c in piece:
+                arcs = self.next[state]
+                if arcs is None:
+                    arcs = self.next[state] = {}
+                to = arcs.get(c)
+                if to is None:
+                    to = arcs[c] = len(self.next)
+                    self.next.append(None)
+                    self.label.append(-1)
+                state = to
+            self.label[state] = k
+
+    def arcs(self, text: str, at: int) -> list[tuple[int, int, float]]:
+        """(end, label, weight) of the ways from the root to it again that read ``text`` from a place, by weight, the longest first.
+
+        A character that is no piece itself goes to its bytes, with the label -1 less its code point.
         """
-        node, found, end = self.trie, [], at
-        for c in part[at : at + self.longest]:
-            node = node.get(c)
-            if node is None:
+        state, found, n, end = 0, [], len(text), at
+        while end < n:
+            arcs = self.next[state]
+            state = arcs.get(text[end]) if arcs else None
+            if state is None:
                 break
             end += 1
-            if "" in node:
-                found.append((end, node[""]))
+            k = self.label[state]
+            if k >= 0:
+                found.append((end, k, self.weight[k]))
         if not found or found[0][0] > at + 1:
-            found.insert(0, (at + 1, -1 - ord(part[at])))
+            found.insert(0, (at + 1, -1 - ord(text[at]), self.fallback))
         found.reverse()
+        if self.weighted:
+            found.sort(key=itemgetter(2))
         return found
 
+
+class Grammar:
+    """Which label may follow which; its arcs are found when they are first asked for, and at most ``keep`` are kept."""
+
+    def __init__(self, model: Model, ids: dict[str, int], keep: int = 300_000) -> None:
+        self.model, self.ids, self.keep = model, ids, keep
+        self.arcs: dict[tuple[int | None, int], bool] = {}
+
     def text_of(self, label: int) -> str:
         return self.model.pieces[label] if label >= 0 else chr(-1 - label)
 
@@ -189,81 +204,122 @@ class Transducer:
                 return symbols
             symbols[place : place + 2] = [symbols[place] + symbols[place + 1]]
 
-    def _judge(self, key: tuple[int | None, int]) -> bool:
-        """Whether the second label may follow the first (None: the part's start): weight 0, else infinite."""
+    def accepts(self, key: tuple[int | None, int]) -> bool:
+        """Whether there is an arc from the first label (None: the part's start) to the second."""
+        if len(self.arcs) >= self.keep:
+            self.arcs.clear()
         a = "" if key[0] is None else self.text_of(key[0])
         b = self.text_of(key[1])
-        if len(self._stable) >= 300_000:
-            self._stable.clear()
-        got = self._stable[key] = self.merged(a + b) == ([a, b] if a else [b])
+        got = self.arcs[key] = self.merged(a + b) == ([a, b] if a else [b])
         return got
 
-    def shortest(self, part: str) -> list[int]:
-        """The labels on the shortest path through a part; of equally long ones, the first found."""
-        if self.model.kind != BPE:
-            return self._by_weight(part)
-        return self._straight(part) or self._by_pairs(part)
-
-    def _straight(self, part: str) -> list[int] | None:
-        """``_by_pairs`` as long as it never has to turn back, which is nearly always; else None."""
-        n, stable, out, at, last = len(part), self._stable, [], 0, None
-        while at < n:
-            for end, label in self.arcs(part, at):
-                ok = stable.get((last, label))
-                if ok is None:
-                    ok = self._judge((last, label))
-                if ok:
-                    break
-            else:
-                return None
-            out.append(label)
-            at, last = end, label
-        return out
 
-    def _by_pairs(self, part: str) -> list[int]:
-        """Byte pairs: every finite path has the same weight (that of the characters without a piece), so the first one met is the shortest.
+class _Paths(dict):
+    """Paths of parts: those met lately, then those met before, then the search."""
+
+    def __init__(self, search, state: int) -> None:
+        self.search, self.state, self.before = search, state, {}
 
-        States are (place, last label); the search goes on from the furthest and never enters a state twice.
+    def __missing__(self, part: str) -> tuple[int, ...]:
+        got = self.before.get(part)
+        if got is None:
+            got = self.search(part, self.state)
+        self[part] = got
+        return got
+
+    def age(self, keep: int) -> None:
+        if len(self) >= keep:
+            self.before = dict(self)
+            self.clear()
+
+
+class Transducer:
+    """The compiled model. ``encode`` keeps the paths of parts met lately, 2 x ``keep`` of them (more within one text)."""
+
+    def __init__(self, model: Model, keep: int = 150_000) -> None:
+        self.model, self.keep = model, keep
+        self.ids = {p: k for k, (p, kind) in enumerate(zip(model.pieces, model.kinds, strict=True)) if kind == NORMAL}
+        self.byte_ids = {int(p[3:5], 16): k for k, (p, kind) in enumerate(zip(model.pieces, model.kinds, strict=True)) if kind == BYTE}
+        self.bytes_of = {k: b for b, k in self.byte_ids.items()}
+        self.is_byte = np.array(model.kinds) == BYTE
+        self.unknown = next((k for k, kind in enumerate(model.kinds) if kind == UNKNOWN), 0)
+        worst = min((model.scores[k] for k in self.ids.values()), default=0.0)
+        merges = model.kind == BPE
+        self.normaliser = Normaliser(model.dummy_prefix)
+        self.pieces = Pieces(self.ids, [0.0] * len(model.scores) if merges else [-x for x in model.scores], 0.0 if merges else UNKNOWN_PENALTY - worst)
+        self.grammar = Grammar(model, self.ids) if merges else None
+        self._surface = [p.replace(SPACE, " ") if kind == NORMAL else chr(b) if (b := self.bytes_of.get(k, 256)) < 128 else None for k, (p, kind) in enumerate(zip(model.pieces, model.kinds, strict=True))]
+        self._parts = self._cutter()
+        self._first, self._paths = (_Paths(self._ids_of, state) for state in (Normaliser.START, Normaliser.WITHIN))
+
+    def _cutter(self) -> re.Pattern:
+        """Cuts a text into parts that no piece spans, whichever way its spaces are written."""
+        several = [p for p in self.ids if len(p) > 1]
+        if any(SPACE in p.lstrip(SPACE) for p in several):
+            return re.compile(r"(?s).+")
+        joined = {c for p in several for c in p} - {SPACE}
+        if not joined:
+            return re.compile("(?s).")
+        # Signs that follow a letter in no piece start a part; those that do count as letters.
+        steps = {(a, b) for p in several for a, b in zip(p, p[1:], strict=False)}
+        signs = {c for c in joined if not c.isalpha()}
+        while moved := {b for a, b in steps if b in signs and a in joined - signs}:
+            signs -= moved
+        inside, before = ("".join(map(re.escape, sorted(x))) for x in (joined - signs, signs))
+        space = f"[ {SPACE}]"
+        if not signs or not joined - signs:
+            return re.compile(f"{space}*[{inside}{before}]+|{space}+|[^ {SPACE}]", re.DOTALL)
+        return re.compile(f"{space}*[{before}]*[{inside}]+|{space}*[{before}]+|{space}+|[^ {SPACE}]", re.DOTALL)
+
+    # -- the composition
+
+    def shortest(self, part: str, state: int = Normaliser.WITHIN) -> list[int]:
+        """The labels on the shortest path of a part through the composed machines; of equally long ones, that which went furthest first.
+
+        Its states are places in the normalised part with a state of the grammar (the last
+        label; always the same where there is no grammar). Weights aren't negative, so states
+        are settled in the order of their distance, those further on first where it is equal.
+        An arc of the grammar is looked up only when its turn comes.
         """
-        n, stable, closed = len(part), self._stable, set()
-        found: list[list[tuple[int, int]] | None] = [None] * n
-        at, last, k, way = 0, None, 0, []
-        while at < n:
-            options = found[at]
-            if options is None:
-                options = found[at] = self.arcs(part, at)
-            while k < len(options):
-                end, label = options[k]
-                k += 1
-                if (end, label) in closed:
+        text = self.normaliser.compose(part, state)
+        n, grammar = len(text), self.grammar
+        known = grammar.arcs if grammar else {}
+        # A state's number is its place and, with a grammar, its last label (from NO_LABEL on). It is kept with the one before, the label and the distance.
+        came: dict[int, tuple[int, int | None, float]] = {0: (-1, None, 0.0)}
+        lattice: list[list[tuple[int, int, float]] | None] = [None] * n
+        lattice[0] = self.pieces.arcs(text, 0)
+        end, label, weight = lattice[0][0]
+        heap: list = [(weight, -end, 0, 0, None, label)]
+        while heap:
+            distance, at, k, before, last, label = heappop(heap)
+            # A state's arcs are sorted, so that only the next one of them need be in the heap.
+            arcs = lattice[before >> 22]
+            if k + 1 < len(arcs):
+                end, other, weight = arcs[k + 1]
+                heappush(heap, (came[before][2] + weight, -end, k + 1, before, last, other))
+            here = -at << 22 | (label + NO_LABEL if grammar else 0)
+            if here in came:
+                continue
+            if grammar:
+                ok = known.get((last, label))
+                if not (grammar.accepts((last, label)) if ok is None else ok):
                     continue
-                ok = stable.get((last, label))
-                if ok is None:
-                    ok = self._judge((last, label))
-                if ok:
-                    way.append((at, last, k))
-                    at, last, k = end, label, 0
-                    break
-            else:
-                closed.add((at, last))
-                if not way:
-                    raise ValueError(f"no path through {part!r}")
-                at, last, k = way.pop()
-        return [w[1] for w in way[1:]] + [last] if way else []
-
-    def _by_weight(self, part: str) -> list[int]:
-        """Unigrams: the states are places alone."""
-        best: list[tuple[float, int, int]] = [(0.0, 0, 0)] + [(np.inf, 0, 0)] * len(part)
-        for at in range(len(part)):
-            for end, label in self.arcs(part, at):
-                length = best[at][0] + (-self.model.scores[label] if label >= 0 else self.fallback_weight)
-                if length < best[end][0]:
-                    best[end] = (length, at, label)
-        out, at = [], len(part)
-        while at:
-            _, at, label = best[at]
-            out.append(label)
-        return out[::-1]
+            came[here] = (before, label, distance)
+            if -at == n:
+                out = []
+                while here:
+                    here, label, _ = came[here]
+                    out.append(label)
+                return out[::-1]
+            arcs = lattice[-at]
+            if arcs is None:
+                arcs = lattice[-at] = self.pieces.arcs(text, -at)
+            end, other, weight = arcs[0]
+            heappush(heap, (distance + weight, -end, 0, here, label, other))
+        raise ValueError(f"no path through {part!r}")
+
+    def _ids_of(self, part: str, state: int) -> tuple[int, ...]:
+        return tuple(chain.from_iterable(map(self.emit, self.shortest(part, state))))
 
     def emit(self, label: int) -> list[int]:
         if label >= 0:
@@ -272,20 +328,15 @@ class Transducer:
 
     # -- whole texts
 
-    def normalise(self, text: str) -> str:
-        return (SPACE if self.model.dummy_prefix and text else "") + text.replace(" ", SPACE)
-
     def encode(self, text: str | None) -> array:
-        paths, parts = self._paths, self._parts.findall(self.normalise(text)) if text else []
-        if len(paths) >= self.keep:
-            paths.clear()
-        for part in {p for p in parts if p not in paths}:
-            paths[part] = tuple(chain.from_iterable(map(self.emit, self.shortest(part))))
-        return array("i", chain.from_iterable(map(paths.__getitem__, parts)))
-
-    def forget(self) -> None:
-        """Lets the kept paths go: a worker serves other stages too."""
-        self._paths.clear()
+        parts = self._parts.findall(text) if text else []
+        if not parts:
+            return array("i")
+        self._first.age(self.keep)
+        self._paths.age(self.keep)
+        out = array("i", self._first[parts[0]])
+        out.extend(chain.from_iterable(map(self._paths.__getitem__, islice(parts, 1, None))))
+        return out
 
     def decode(self, ids) -> str:
         """The text of ids: bytes that make no UTF-8 become U+FFFD, control pieces nothing."""
@@ -325,7 +376,7 @@ def _each_byte(e: UnicodeDecodeError) -> tuple[str, int]:
 codecs.register_error("each_byte", _each_byte)
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=1)  # a worker compiles a model once and keeps it for its tasks
 def compiled(data: bytes) -> Transducer:
     return Transducer(Model(data))
 
@@ -349,7 +400,6 @@ def encode(docs: DataFrame, model: Model, text_col: str = "text", into: str = "i
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 flat = np.concatenate([np.frombuffer(x, np.int32) for x in ids if len(x)] or [np.empty(0, np.int32)])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], [*part.schema.names, into])
-        compiled.cache_clear()  # a worker serves other stages too, which need its memory
 
     return own.mapInArrow(run, T.StructType([*own.schema, T.StructField(into, T.ArrayType(T.IntegerType()))]))
 
@@ -380,7 +430,6 @@ def decode(rows: DataFrame, model: Model, ids_col: str = "ids", into: str = "tex
             # One sequence at a time becomes Python numbers; a batch of them would take many times its size.
             texts = [t.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in b.column(k)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, into])
-        compiled.cache_clear()
 
     return own.mapInArrow(run, T.StructType([*own.schema, T.StructField(into, T.StringType())]))
 
@@ -408,7 +457,6 @@ def digests(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 rows.append((len(ids), of_bytes, hashlib.sha256(ids.tobytes()).hexdigest(), t.decode(ids) == text))
             columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.string(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *columns], ["doc_id", "n_tokens", "n_byte_tokens", "ids_sha256", "round_trip"])
-        t.forget()
 
     return own.mapInArrow(run, f"doc_id {ids_type}, {DIGEST}")
 
