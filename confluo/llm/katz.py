@@ -251,8 +251,27 @@ def _union(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.unionByName(right, allowMissingColumns=True)
 
 
-def _dealt(rows: DataFrame, n: int, key: str, *order: str) -> DataFrame:
-    return rows.repartition(n, key).sortWithinPartitions(key, *order)
+def _dealt(rows: DataFrame, n: int, *order: str) -> DataFrame:
+    """Each bucket's rows in a partition of its own."""
+    return rows.repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket", *order)
+
+
+@dataclass(frozen=True)
+class Spread:
+    """How blocks are dealt: their numbers (the task that made them, then one after the other) as places, of which there are twice as many as blocks at most."""
+
+    parts: int
+    each: int
+
+    @classmethod
+    def of(cls, blocks: DataFrame) -> Spread:
+        r = blocks.agg(F.count(F.lit(1)).alias("n"), F.max(F.shiftright("block", 32)).alias("task"), F.max(F.col("block").bitwiseAND((1 << 32) - 1)).alias("k")).first()
+        each = (r["k"] or 0) + 1
+        return cls(max(1, min(((r["task"] or 0) + 1) * each, 2 * r["n"])), each)
+
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        place = F.shiftright("block", 32) * self.each + F.col("block").bitwiseAND((1 << 32) - 1)
+        return rows.repartitionById(self.parts, F.pmod(place, F.lit(self.parts)).cast("int")).sortWithinPartitions("block", "bucket")
 
 
 def bucket_of(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -555,58 +574,59 @@ class Model:
         return cls(path, said["order"], said["buckets"], words, levels)
 
 
-def _block_table(docs: DataFrame, id_col: str, text_col: str, hold: Column, tokens: int | None) -> tuple[DataFrame, T.DataType, int]:
-    """(blocks, the id's type, tokens of a block)."""
+def _block_table(docs: DataFrame, id_col: str, text_col: str, hold: Column, tokens: int | None) -> tuple[DataFrame, T.DataType, Spread, int]:
+    """(blocks, the id's type, how they are dealt, tokens of a block)."""
     own = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(hold, F.lit(False)).alias("held"), F.col(f"`{text_col}`").alias("text"))
     if tokens is None:
         size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         tokens = max(TOKENS, int((SPOKEN * size / TOKEN_BYTES) ** 0.5))
     ids = own.schema["doc_id"].dataType
-    return settle(own.mapInArrow(_blocks(to_arrow_type(ids), tokens), _block_schema(ids)), "blocks"), ids, tokens
+    blocks = settle(own.mapInArrow(_blocks(to_arrow_type(ids), tokens), _block_schema(ids)), "blocks")
+    return blocks, ids, Spread.of(blocks), tokens
 
 
-def _coded(blocks: DataFrame, told: DataFrame, ids: T.DataType, n: int) -> DataFrame:
+def _coded(blocks: DataFrame, told: DataFrame, ids: T.DataType, spread: Spread) -> DataFrame:
     answers = told.where("block IS NOT NULL").select("block", "bucket", F.col("ids").alias("word_ids"), "counts")
     own = blocks.select("block", F.lit(-1).alias("bucket"), "ids", "held", "lens", "tokens")
     schema = _coded_schema(ids)
-    return settle(_dealt(_union(own, answers), n, "block", "bucket").mapInArrow(_recode(schema), schema), "coded")
+    return settle(spread.dealt(_union(own, answers)).mapInArrow(_recode(schema), schema), "coded")
 
 
-def _learn(docs: DataFrame, order: int, path: str | None, id_col: str, text_col: str, hold: Column, tokens: int | None) -> tuple[Model, DataFrame, T.DataType]:
+def _learn(docs: DataFrame, order: int, path: str | None, id_col: str, text_col: str, hold: Column, tokens: int | None) -> tuple[Model, DataFrame, T.DataType, Spread]:
     """The model, and the coded blocks of all of docs."""
     if order < 2:
         raise ValueError("a back-off model has an order of 2 at least")
     spark = docs.sparkSession
     path = path or new_path(spark, "katz")
-    blocks, ids, tokens = _block_table(docs, id_col, text_col, hold, tokens)
+    blocks, ids, spread, tokens = _block_table(docs, id_col, text_col, hold, tokens)
     whole = blocks.agg(F.sum("n_train").alias("tokens"), F.sum("n_texts").alias("texts")).first()
     total, texts = whole["tokens"] or 0, whole["texts"] or 0
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // tokens))
     often = max(1, total // (2 * n))
 
     asked = blocks.select("block", "words", "counts").mapInArrow(_ask_words(n), ASK_WORDS)
-    told = settle(_dealt(asked, n, "bucket").mapInArrow(_tell_words(n, often), TOLD_WORDS), "words")
+    told = settle(_dealt(asked, n).mapInArrow(_tell_words(n, often), TOLD_WORDS), "words")
     own = told.where("block IS NULL")
     own.select("bucket", "words", "ids", "counts").write.parquet(f"{path}/words")
     *seen, types = _sums(own, MOST + 2)
     words = Words(total, types, texts, tuple(seen))
     hot = _often(own, [START])
-    coded = carried = _coded(blocks, told, ids, n)
+    coded = carried = _coded(blocks, told, ids, spread)
     discard(blocks, told)
 
     model = Model(path, order, n, words, {})
     for level in range(2, order + 1):
         if level > 2:
-            carried = settle(_scored(carried, model, level - 1, _coded_schema(ids), False), f"level{level - 1}")
+            carried = settle(_scored(carried, model, level - 1, spread, _coded_schema(ids), False), f"level{level - 1}")
         asked = carried.mapInArrow(_ask_grams(level, n, hot, words), ASK_GRAMS)
         grams = f"{path}/grams/level={level}"
-        counted = settle(_dealt(asked, n, "bucket").mapInArrow(_count(often, hot), COUNTED), "counted", grams)
+        counted = settle(_dealt(asked, n).mapInArrow(_count(often, hot), COUNTED), "counted", grams)
         d = discounts(_sums(counted, MOST + 1))
         counted.select("bucket", "histories", "totals", "seen", "covered").mapInArrow(_weights(d), BACKOFF).write.parquet(f"{path}/backoff/level={level}")
         model.levels[level] = Level(d, *_hot_table(spark, counted, d, f"{path}/hot/level={level}"))
         hot = _often(counted, [])
     model.save(spark)
-    return model, coded, ids
+    return model, coded, ids, spread
 
 
 def _sums(rows: DataFrame, n: int) -> list[int]:
@@ -633,22 +653,22 @@ def _hot_table(spark: SparkSession, counted: DataFrame, d: np.ndarray, path: str
     return np.array([r["history"] for r in rows], np.int64).view(np.uint64), total.astype(np.uint64), weight
 
 
-def _scored(carried: DataFrame, model: Model, level: int, out: T.StructType, last: bool) -> DataFrame:
+def _scored(carried: DataFrame, model: Model, level: int, spread: Spread, out: T.StructType, last: bool) -> DataFrame:
     """The blocks with P of ``level`` for each token; the last level's as rows of texts."""
     spark, n, at = carried.sparkSession, model.buckets, model.levels[level]
     grams = model.table(spark, "grams", level).select("bucket", F.lit(0).alias("kind"), "histories", "sizes", "words", "counts")
     weights = model.table(spark, "backoff", level).select("bucket", F.lit(1).alias("kind"), "totals", "weights")
     asked = carried.mapInArrow(_ask_grams(level, n, at.hot, None), ASK_GRAMS).select("bucket", F.lit(2).alias("kind"), "block", "histories", "sizes", "words")
-    told = settle(_dealt(_union(_union(asked, grams), weights), n, "bucket", "kind").mapInArrow(_tell_grams, TOLD_GRAMS), "told")
-    rows = _dealt(_union(carried.withColumn("bucket", F.lit(-1)), told.withColumnRenamed("counts", "told_counts")), n, "block", "bucket")
+    told = settle(_dealt(_union(_union(asked, grams), weights), n, "kind").mapInArrow(_tell_grams, TOLD_GRAMS), "told")
+    rows = spread.dealt(_union(carried.withColumn("bucket", F.lit(-1)), told.withColumnRenamed("counts", "told_counts")))
     return rows.mapInArrow(_climb(level, n, at, model.words, out, last), out)
 
 
-def _evaluated(coded: DataFrame, model: Model, ids: T.DataType) -> DataFrame:
+def _evaluated(coded: DataFrame, model: Model, ids: T.DataType, spread: Spread) -> DataFrame:
     for level in range(2, model.order):
-        coded = settle(_scored(coded, model, level, _coded_schema(ids), False), f"level{level}")
+        coded = settle(_scored(coded, model, level, spread, _coded_schema(ids), False), f"level{level}")
     out = T.StructType([T.StructField("doc_id", ids), T.StructField("held_out", T.BooleanType()), *[T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")], T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
-    return _scored(coded, model, model.order, out, True)
+    return _scored(coded, model, model.order, spread, out, True)
 
 
 def learn(docs: DataFrame, order: int = 2, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", tokens: int | None = None) -> Model:
@@ -664,14 +684,14 @@ def learn(docs: DataFrame, order: int = 2, path: str | None = None, id_col: str
 def apply(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", hold: Column | None = None, tokens: int | None = None) -> DataFrame:
     """Each row of docs scored by a learned model, with the columns of ``score``; ``hold`` only fills held_out."""
     spark = docs.sparkSession
-    blocks, ids, _ = _block_table(docs, id_col, text_col, F.lit(True) if hold is None else hold, tokens)
+    blocks, ids, spread, _ = _block_table(docs, id_col, text_col, F.lit(True) if hold is None else hold, tokens)
     n = model.buckets
     known = spark.read.parquet(f"{model.path}/words").withColumn("block", F.lit(None).cast("long"))
     asked = blocks.select("block", "words", "counts").mapInArrow(_ask_words(n), ASK_WORDS)
-    told = settle(_dealt(_union(asked, known), n, "bucket", "block").mapInArrow(_tell_words(n, None), TOLD_WORDS), "words")
-    coded = _coded(blocks, told, ids, n)
+    told = settle(_dealt(_union(asked, known), n, "block").mapInArrow(_tell_words(n, None), TOLD_WORDS), "words")
+    coded = _coded(blocks, told, ids, spread)
     discard(blocks, told)
-    return _evaluated(coded, model, ids)
+    return _evaluated(coded, model, ids, spread)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hold: Column | None = None, order: int = 2, tokens: int | None = None) -> DataFrame:
@@ -685,8 +705,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hold:
     hashes, histories of two words and more as well.
     """
     hold = held_out(F.col(f"`{id_col}`")) if hold is None else hold
-    model, coded, ids = _learn(docs, order, None, id_col, text_col, hold, tokens)
-    return _evaluated(coded, model, ids)
+    model, coded, ids, spread = _learn(docs, order, None, id_col, text_col, hold, tokens)
+    return _evaluated(coded, model, ids, spread)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
