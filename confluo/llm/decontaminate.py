@@ -52,26 +52,29 @@ def _hits(docs: DataFrame, windows: DataFrame, block_hashes: int, with_rows: boo
     ``with_rows`` adds a row for every row of docs, whose ``len`` is 0. Windows are rows only
     within the stage that scans the texts; those without a match go before anything is written.
     """
-    hashed = settle(windows.select(F.xxhash64("gram").alias("hash"), "len").distinct(), "hashes")
-    lens = [r["len"] for r in hashed.select("len").distinct().collect()]  # n values at most
+    hashed = settle(windows.select(F.xxhash64(F.split("gram", " ")).alias("hash"), "len").distinct(), "hashes")
+    lens = sorted(r["len"] for r in hashed.select("len").distinct().collect())  # n values at most
     blocks = max(1, -(-hashed.count() // block_hashes))
-    worded = docs.select("doc_id", _text_key(F.col("text")).alias("key"), words_of(F.col("text")).alias("w"))
-    each = [f"transform(if(size(w) >= {n}, sequence(0, size(w) - {n}), cast(array() as array<int>)), i -> struct(i AS s, {n} AS len, xxhash64(array_join(slice(w, i + 1, {n}), ' ')) AS hash))" for n in sorted(lens)]
-    none = "array(struct(0 AS s, 0 AS len, cast(null as bigint) AS hash))"
+    worded = docs.select("doc_id", _text_key(F.col("text")).alias("key"), words_of(F.col("text")).alias("w")).withColumn("n_words", F.size("w").cast("long"))
+    each = [f"transform(if(size(w) >= {n}, sequence(1, size(w) - {n} + 1), cast(array() as array<int>)), i -> xxhash64(slice(w, i, {n})))" for n in lens]
+    # A window's place among the hashes tells where it starts and how long it is; that is worked out for the few that match.
+    start, length = ("case" + "".join(f" when at < {' + '.join(f'greatest(n_words - {m} + 1, 0)' for m in lens[: k + 1])} then {out(k, n)}" for k, n in enumerate(lens)) + " end" if lens else "0" for out in (
+        lambda k, n: " - ".join(["at", *(f"greatest(n_words - {m} + 1, 0)" for m in lens[:k])]), lambda k, n: str(n)))
     passes = []
     for k in range(blocks):
         rows = with_rows and k == 0
-        listed = [none] * rows + each
+        listed = ["array(cast(null as bigint))"] * rows + each
         if not listed:
             continue
-        one = worded.select("doc_id", "key", "w", F.size("w").cast("long").alias("n_words"), F.explode(F.expr(f"concat({', '.join(listed)})")).alias("x"))
+        one = worded.select("doc_id", "key", "w", "n_words", F.posexplode(F.expr(f"concat({', '.join(listed)})")).alias("pos", "hash"))
         # At most this block's share of block_hashes rows, by the count above.
         block = F.broadcast(hashed.where(F.pmod(F.col("hash"), F.lit(blocks)) == k).select(F.col("hash").alias("known")).distinct())
-        met = one.select("*", F.col("x.hash").alias("hash")).join(block, F.col("hash") == F.col("known"), "left" if rows else "inner")
-        met = met.where("known IS NOT NULL OR x.len = 0") if rows else met
-        passes.append(met.select("doc_id", "key", "n_words", "x.s", "x.len", F.expr("if(x.len > 0, array_join(slice(w, x.s + 1, x.len), ' '), '')").alias("gram")))
+        met = one.join(block, F.col("hash") == F.col("known"), "left" if rows else "inner").withColumn("at", F.col("pos") - int(rows))
+        met = met.where("known IS NOT NULL OR at < 0") if rows else met
+        placed = met.select("doc_id", "key", "n_words", "w", F.expr(f"cast(if(at < 0, 0, {start}) as int)").alias("s"), F.expr(f"cast(if(at < 0, 0, {length}) as int)").alias("len"))
+        passes.append(placed.select("doc_id", "key", "n_words", "s", "len", F.expr("if(len > 0, array_join(slice(w, s + 1, len), ' '), '')").alias("gram")))
     if not passes:
-        return worded.select("doc_id", "key", F.size("w").cast("long").alias("n_words"), F.lit(0).alias("s"), F.lit(0).alias("len"), F.lit("").alias("gram")).limit(0)
+        return worded.select("doc_id", "key", "n_words", F.lit(0).alias("s"), F.lit(0).alias("len"), F.lit("").alias("gram")).limit(0)
     return settle(reduce(DataFrame.unionByName, passes), "hits")
 
 
