@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.shared import columns_but, settle
+from ..plans.shared import columns_but, discard, settle
 
 #: Ends of lines and of sentences, with the blanks after them; wide full stops need none.
 _ENDS = re.compile(r"\n|[.!?…][\"'”’»)\]]*[ \t]+|[。！？][”’」』）]*[ \t]*")
@@ -285,6 +285,7 @@ def dedup_lines(docs: DataFrame, how: Chunker = Chunker(), id_col: str = "doc_id
     # sides exchanged for its join alone, so a hot chunk's rows can be split.
     twice = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.struct("h").alias("k"))
     again = settle(found.withColumn("k", F.struct("h")).join(twice, "k", "left_semi").drop("k"), "again")
+    discard(found)
     place = F.struct("id", "mark", "start")
     whole_place = F.struct("id", "mark", "start", "before", "after")
     least = again.groupBy("h").agg(F.min(whole_place).alias("least"), F.max(place).alias("last")).where("not (struct(least.id, least.mark, least.start) <=> last)")
@@ -295,6 +296,7 @@ def dedup_lines(docs: DataFrame, how: Chunker = Chunker(), id_col: str = "doc_id
     listed = listed.agg(F.array_sort(F.collect_set(F.struct("start", "end", "h", "first", "near"))).alias(spans)).withColumnsRenamed({"id": f"{p}_id", "mark": mark})
     joined = docs.join(listed, F.col(f"`{id_col}`").eqNullSafe(F.col(f"{p}_id")) & (_key(text) == F.col(mark)), "left")
     met = settle(joined.drop(f"{p}_id", mark), "met")
+    discard(again)
 
     # Contents are compared where they differ at all under one hash: each distinct one is sent once by a task.
     some = met.where(F.col(spans).isNotNull())
