@@ -52,6 +52,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 24, overhead: int = 8, id_co
         raise ValueError("n_shards must be at least 1")
     text = F.col(text_col)
     order = ["doc_id", "text_crc32", "size", "tie"]
+    # Range partitioning reads its input twice; texts are read once, for this table.
     narrow = docs.select(
         F.col(id_col).alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + overhead).alias("size"),
@@ -59,7 +60,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 24, overhead: int = 8, id_co
         F.monotonically_increasing_id().alias("tie"),
     )
     ids = narrow.schema["doc_id"].dataType.simpleString()
-    ordered = narrow.repartitionByRange(*order).sortWithinPartitions(*order).drop("tie")
+    ordered = settle(narrow, "narrow").repartitionByRange(*order).sortWithinPartitions(*order).drop("tie")
     placed = settle(ordered.mapInArrow(_running, f"doc_id {ids}, size long, text_crc32 long, part int, size_before long, row long"), "sharding")
 
     # One row for each partition: small by construction, and so sent to all.
