@@ -13,6 +13,10 @@ from ..plans.sizing import broadcast_if_small
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Public suffixes of two labels that many sites stand under.
+LONG_SUFFIXES = ("ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.nz", "co.za", "co.in", "co.jp", "ne.jp", "or.jp", "co.kr", "com.ar", "com.br", "com.cn", "com.mx", "com.tr", "com.tw")
+
+
 @dataclass(frozen=True)
 class Rule:
     """``text`` is a host, a slash and the start of a path; it fits the host and its subdomains."""
@@ -43,18 +47,19 @@ RULES = (
 class Reputation:
     """How outcomes become verdicts.
 
-    A host is blocked if, with the posterior's mean and spread, its bad rate exceeds
-    ``bad_rate`` at the lower bound of ``z`` standard deviations.
+    A host is blocked if its bad rate, ``z`` of the posterior's standard deviations below
+    its mean, still exceeds ``lift`` times the rate over all outcomes: so what is blocked
+    stands out, whatever share of a table is bad.
     """
 
-    bad_rate: float = 0.3
+    lift: float = 1.0
     z: float = 1.645
     #: Pseudo-counts of a level's prior where its groups can't tell (fewer than two of them, or no spread).
     default_strength: float = 10.0
     least_strength: float = 1.0
     most_strength: float = 1000.0
     #: Suffixes of several labels, such as co.uk; any other host's suffix is its last label.
-    long_suffixes: tuple[str, ...] = ()
+    long_suffixes: tuple[str, ...] = LONG_SUFFIXES
 
 
 def host_of(url: Column) -> Column:
@@ -116,7 +121,7 @@ def _strength(groups: DataFrame, how: Reputation) -> float:
 
 
 def host_reputation(outcomes: DataFrame, hosts: DataFrame, how: Reputation = Reputation()) -> DataFrame:
-    """(host, n, bad, posterior_mean, lower_bound, verdict) for every host of ``hosts``.
+    """(host, n, bad, posterior_mean, lower_bound, reputation) for every host of ``hosts``.
 
     ``outcomes`` has host and bad (0 or 1, null: skipped). The prior of a suffix is the
     overall rate, of a domain the posterior mean of its suffix's other domains, of a host that
@@ -146,7 +151,7 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame, how: Reputation = Rep
     mean = a / (a + b)
     lower = mean - how.z * F.sqrt(mean * (1 - mean) / (a + b + 1))
     return level.select(
-        "host", "n", "bad", mean.alias("posterior_mean"), lower.alias("lower_bound"), F.when(lower > how.bad_rate, "block").otherwise("allow").alias("reputation")
+        "host", "n", "bad", mean.alias("posterior_mean"), lower.alias("lower_bound"), F.when(lower > how.lift * overall, "block").otherwise("allow").alias("reputation")
     )
 
 
@@ -163,7 +168,7 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...] =
     """
     own = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     seen = outcomes.select(host_of(F.col("url")).alias("host"), F.col("bad").cast("int").alias("bad"))
-    known = host_reputation(seen, own, how).select(F.col("host").alias("known"), "reputation", "posterior_mean")
+    known = settle(host_reputation(seen, own, how).select(F.col("host").alias("known"), "reputation", "posterior_mean"), "reputations")
     # A struct as key has both sides exchanged for this join alone, which adaptive execution can split.
     judged = own.join(broadcast_if_small(known), F.struct(own["host"]) == F.struct(known["known"].alias("host")), "left")
     got = rule_of(F.col("host"), F.col("path"), rules)
@@ -197,6 +202,8 @@ def oracle() -> str:
     rule = "case " + " ".join(f"when {fits(r)} then '{r.text}'" for r in rules) + " end"
     verdict = "case " + " ".join(f"when {fits(r)} then '{r.verdict}'" for r in rules) + " else reputation end"
 
+    suffix = "case " + " ".join(f"when x.host = '{x}' or ends_with(x.host, '.{x}') then '{x}'" for x in how.long_suffixes) + " else regexp_extract(x.host, '[^.]*$') end"
+
     def strength(table: str) -> str:
         return f"""(select case when count(*) < 2 or coalesce(sum(m*(1-m)*(1-1/n)), 0) = 0 then {how.default_strength}
             when sum((bad/n-m)*(bad/n-m)) <= sum(m*(1-m)/n) then {how.most_strength}
@@ -214,8 +221,8 @@ with p as (
 ), c as (
   select host, count(*)::double as n, sum(bad)::double as bad from o where bad is not null group by 1
 ), h as (
-  select x.host, coalesce(n, 0) as n, coalesce(bad, 0) as bad, regexp_extract(x.host, '[^.]*$') as suffix,
-    coalesce(nullif(regexp_extract(x.host, '[^.]*\\.[^.]*$'), ''), x.host) as domain
+  select x.host, coalesce(n, 0) as n, coalesce(bad, 0) as bad, {suffix} as suffix,
+    case when length(x.host) <= length({suffix}) then x.host else concat_ws('.', regexp_extract(x.host[: length(x.host) - length({suffix}) - 1], '[^.]*$'), {suffix}) end as domain
   from (select distinct host from q) x left join c using (host)
 ), s0 as (
   select suffix, sum(n) as n, sum(bad) as bad, coalesce((select sum(bad) / sum(n) from c), 0.0) as m from h group by 1
@@ -232,7 +239,7 @@ with p as (
 ), h1 as (
   select host, (bad + k * m) / (n + k) as mean, n + k as total from h0, {strength("h0")}
 ), r as (
-  select host, case when mean - {how.z} * sqrt(mean * (1 - mean) / (total + 1)) > {how.bad_rate} then 'block' else 'allow' end as reputation from h1
+  select host, case when mean - {how.z} * sqrt(mean * (1 - mean) / (total + 1)) > {how.lift} * coalesce((select sum(bad) / sum(n) from c), 0.0) then 'block' else 'allow' end as reputation from h1
 )
 select page_id, host, path, {rule} as rule, {verdict} as verdict from q join r using (host)
 """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import posixpath
 import uuid
 import zlib
@@ -38,6 +39,13 @@ def store_of(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as a URI of the store that Spark takes it to be in, so that executors write to the same one."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub("^file:/+", "file:///", uri)
+
+
 # --- writing
 
 
@@ -107,6 +115,7 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     are all responses. A null id is never the smallest; where no id is left, all are
     responses. A retried task writes archives of new names, and only the manifest's count.
     """
+    folder = qualified(pages.sparkSession, folder)
     rows = pages.select(
         F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.coalesce(F.encode(F.col(payload_col), "UTF-8"), F.lit(b"")).alias("payload")
     ).withColumn("sha1", F.unhex(F.sha1("payload")))
