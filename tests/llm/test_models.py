@@ -262,5 +262,24 @@ def test_short_items_cost_no_document(spark, tmp_path):
     assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in got.collect()} == {1: ("this is c", 9), 4: (None, None), 5: ("clean text", 10)}
 
 
+def test_stages_take_awkward_tables(spark, tmp_path):
+    """Extra columns with the names that stages use themselves, null and repeated ids, repeated rows, null texts, and no rows at all."""
+    good = " ".join(f"word{k} and more" for k in range(40))
+    kind = "doc_id long, text string, lang string, source string, n_chars long, decoded string, judged int, removed int, h long, k int, key string, items int, _c int"
+    more = ("kept as it is", 1, 2, 3, 4, "key", 5, 6)
+    rows = [(1, good, "en", "s", 1, *more), (1, good, "en", "s", 1, *more), (1, good[::-1], None, None, None, *more), (None, good + " x", "en", "s", 1, *more), (2, None, "en", "s", None, *more), (3, "", "en", "s", 0, *more)]
+    spark.createDataFrame([(9, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, "a b"), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for some in (rows, []):
+        docs = spark.createDataFrame(some, kind)
+        for name, stage in corpus_pipeline.STAGES:
+            got = stage(spark, docs, str(tmp_path))
+            assert got.columns == [*docs.columns, *(["ids", "round_trip"] if name == "tokens" else [])], name
+            found = got.collect()
+            assert bool(found) == bool(some) and all(r["decoded"] == "kept as it is" and r["_c"] == 6 for r in found), name
+            if name == "near_duplicates" and some:
+                assert sorted((r["doc_id"], r["text"] or "") for r in found) == sorted([(1, good), (1, good[::-1]), (2, "")])
+
+
 def test_stages_name_their_operators():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_duplicates", "benchmark", "tokens"]
