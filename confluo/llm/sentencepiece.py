@@ -142,8 +142,9 @@ class Pieces:
 
     def __init__(self, ids: dict[str, int], weight: list[float], fallback: float) -> None:
         self.next: list[dict[str, int] | None] = [None]
-        self.label = array("i", [-1])
+        self.label = [-1]
         self.weight, self.fallback, self.weighted = weight, fallback, any(weight)
+        self.longest = max(map(len, ids), default=1)
         for piece, k in ids.items():
             state = 0
             for c in piece:
@@ -163,16 +164,18 @@ class Pieces:
 
         A character that is no piece itself goes to its bytes, with the label -1 less its code point.
         """
-        state, found, n, end = 0, [], len(text), at
-        while end < n:
-            arcs = self.next[state]
-            state = arcs.get(text[end]) if arcs else None
+        state, found, end, follow, labels, weight = 0, [], at, self.next, self.label, self.weight
+        for c in text[at : at + self.longest]:
+            arcs = follow[state]
+            if arcs is None:
+                break
+            state = arcs.get(c)
             if state is None:
                 break
             end += 1
-            k = self.label[state]
+            k = labels[state]
             if k >= 0:
-                found.append((end, k, self.weight[k]))
+                found.append((end, k, weight[k]))
         if not found or found[0][0] > at + 1:
             found.insert(0, (at + 1, -1 - ord(text[at]), self.fallback))
         found.reverse()
@@ -215,12 +218,12 @@ class Grammar:
 
 
 class _Paths(dict):
-    """Paths of parts: those met lately, then those met before, then the search."""
+    """Paths of parts, as the bytes of their ids: those met lately, then those met before, then the search."""
 
     def __init__(self, search, state: int) -> None:
         self.search, self.state, self.before = search, state, {}
 
-    def __missing__(self, part: str) -> tuple[int, ...]:
+    def __missing__(self, part: str) -> bytes:
         got = self.before.get(part)
         if got is None:
             got = self.search(part, self.state)
@@ -236,7 +239,7 @@ class _Paths(dict):
 class Transducer:
     """The compiled model. ``encode`` keeps the paths of parts met lately, 2 x ``keep`` of them (more within one text)."""
 
-    def __init__(self, model: Model, keep: int = 150_000) -> None:
+    def __init__(self, model: Model, keep: int = 250_000) -> None:
         self.model, self.keep = model, keep
         self.ids = {p: k for k, (p, kind) in enumerate(zip(model.pieces, model.kinds, strict=True)) if kind == NORMAL}
         self.byte_ids = {int(p[3:5], 16): k for k, (p, kind) in enumerate(zip(model.pieces, model.kinds, strict=True)) if kind == BYTE}
@@ -282,12 +285,12 @@ class Transducer:
         An arc of the grammar is looked up only when its turn comes.
         """
         text = self.normaliser.compose(part, state)
-        n, grammar = len(text), self.grammar
+        n, grammar, arcs_from = len(text), self.grammar, self.pieces.arcs
         known = grammar.arcs if grammar else {}
         # A state's number is its place and, with a grammar, its last label (from NO_LABEL on). It is kept with the one before, the label and the distance.
         came: dict[int, tuple[int, int | None, float]] = {0: (-1, None, 0.0)}
         lattice: list[list[tuple[int, int, float]] | None] = [None] * n
-        lattice[0] = self.pieces.arcs(text, 0)
+        lattice[0] = arcs_from(text, 0)
         end, label, weight = lattice[0][0]
         heap: list = [(weight, -end, 0, 0, None, label)]
         while heap:
@@ -313,13 +316,16 @@ class Transducer:
                 return out[::-1]
             arcs = lattice[-at]
             if arcs is None:
-                arcs = lattice[-at] = self.pieces.arcs(text, -at)
+                arcs = lattice[-at] = arcs_from(text, -at)
             end, other, weight = arcs[0]
             heappush(heap, (distance + weight, -end, 0, here, label, other))
         raise ValueError(f"no path through {part!r}")
 
-    def _ids_of(self, part: str, state: int) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self.emit, self.shortest(part, state))))
+    def _ids_of(self, part: str, state: int) -> bytes:
+        labels = self.shortest(part, state)
+        if labels and min(labels) < 0:
+            labels = list(chain.from_iterable(map(self.emit, labels)))
+        return array("i", labels).tobytes()
 
     def emit(self, label: int) -> list[int]:
         if label >= 0:
@@ -334,8 +340,8 @@ class Transducer:
             return array("i")
         self._first.age(self.keep)
         self._paths.age(self.keep)
-        out = array("i", self._first[parts[0]])
-        out.extend(chain.from_iterable(map(self._paths.__getitem__, islice(parts, 1, None))))
+        out = array("i")
+        out.frombytes(b"".join([self._first[parts[0]], *map(self._paths.__getitem__, islice(parts, 1, None))]))
         return out
 
     def decode(self, ids) -> str:
