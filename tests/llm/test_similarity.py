@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from confluo.llm import langid, linededup, simhash
+from confluo.llm import langid, linededup, minhash, simhash
 from tests.llm.test_rules import DOCS, TEXTS, docs
 
 # --- SimHash
@@ -138,6 +138,36 @@ def test_the_stage_finds_pairs_of_jaccard_08(spark):
     assert corpus_pipeline.near_duplicates(spark, docs(spark, [(1, None), (2, ""), (None, "a b")]), "").count() == 2
 
 
+def test_similar_in_large_buckets(spark, monkeypatch):
+    """Texts alike to each other and to no hub, among hundreds that share a passage; blocks of several sizes; against all pairs."""
+    rnd = random.Random(3)
+    word = lambda: f"w{rnd.randrange(1 << 40)}"
+    shared = [word() for _ in range(64)]
+    texts = [" ".join(shared + [word() for _ in range(rnd.randrange(24, 40))]) for _ in range(400)]
+    texts += [" ".join(shared + [word() for _ in range(6)]) for _ in range(4)]  # alike by what they all share
+    for _ in range(3):
+        own = shared + [word() for _ in range(30)]
+        texts += [" ".join(own + [word() for _ in range(4)]) for _ in range(40)]  # near copies, many
+    rnd.shuffle(texts)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    marks = [int(np.uint64(simhash.fingerprint(simhash.shingle_hashes(t))).view(np.int64)) for t in texts]
+    root = [marks.index(m) for m in marks]
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if root[i] != root[j] and (n := len(x & sets[j])) >= 0.8 * (len(x) + len(sets[j]) - n):
+                root = [root[j] if r == root[i] else r for r in root]
+    assert sorted(n for n in collections.Counter(root).values() if n > 1) == [4, 40, 40, 40]
+    frame = docs(spark, list(enumerate(texts))).repartition(3)
+    for most, block in ((16, 256), (3, 16)):
+        monkeypatch.setattr(minhash, "MOST_PAIRED", most)
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        got = {m: m for m in marks}
+        for r in minhash.similar(frame).collect():
+            got = {m: got[r["b"]] if g == got[r["a"]] else g for m, g in got.items()}
+        groups = lambda roots: {frozenset(k for k, r in enumerate(roots) if r == own) for own in set(roots)}
+        assert groups([got[m] for m in marks]) == groups(root)
+
+
 # --- line dedup
 
 
