@@ -387,14 +387,17 @@ def compiled(data: bytes) -> Transducer:
     return Transducer(Model(data))
 
 
-def encode(docs: DataFrame, model: Model, text_col: str = "text", into: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, model: Model, text_col: str = "text", into: str = "ids", round_trip: str | None = None) -> DataFrame:
     """docs with the ids of each text (array<int>; empty for null and empty texts) as a further column.
 
+    ``round_trip`` names one more, whether decoding them gives the text back (a null text
+    counts as empty): told in the same pass, as a second one would have a task hold two workers.
     Each row is encoded for itself, whole; repeated rows alike. A column that is already
-    named as ``into`` is replaced. The model (its file's bytes) goes to the workers with the code.
+    named as one of these is replaced. The model (its file's bytes) goes to the workers with the code.
     """
     data = model.data
-    rest = [c for c in docs.columns if c.lower() != into.lower()]
+    new = [into, round_trip] if round_trip else [into]
+    rest = [c for c in docs.columns if c.lower() not in [n.lower() for n in new]]
     own = docs.select(*[F.col(f"`{c}`") for c in rest])
     k = rest.index(text_col)
 
@@ -405,9 +408,13 @@ def encode(docs: DataFrame, model: Model, text_col: str = "text", into: str = "i
                 ids = [t.encode(x.as_py()) for x in part.column(k)]
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 flat = np.concatenate([np.frombuffer(x, np.int32) for x in ids if len(x)] or [np.empty(0, np.int32)])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], [*part.schema.names, into])
+                found = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+                if round_trip:
+                    found.append(pa.array([t.decode(y) == (x.as_py() or "") for x, y in zip(part.column(k), ids, strict=True)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, *new])
 
-    return own.mapInArrow(run, T.StructType([*own.schema, T.StructField(into, T.ArrayType(T.IntegerType()))]))
+    kinds = (T.ArrayType(T.IntegerType()), T.BooleanType())
+    return own.mapInArrow(run, T.StructType([*own.schema, *map(T.StructField, new, kinds)]))
 
 
 def runs(b: pa.RecordBatch, k: int, most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:

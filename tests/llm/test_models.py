@@ -281,5 +281,18 @@ def test_stages_take_awkward_tables(spark, tmp_path):
                 assert sorted((r["doc_id"], r["text"] or "") for r in found) == sorted([(1, good), (1, good[::-1]), (2, "")])
 
 
+def test_the_tokens_stage_holds_one_worker_a_task(spark):
+    """Encoding and decoding in two passes of one task had it hold two Python workers, each with its own model."""
+    texts = [None, "", "plain words", " two  blanks ", "caf\u00e9 \U0001f600", "comes back \u2581 as a blank", "a\tb\nc"]
+    own = docs(spark, list(enumerate(texts))).withColumn("Round_Trip", F.lit("old")).withColumn("IDS", F.lit("old"))
+    got = corpus_pipeline.tokens(spark, own, "")
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    model = sentencepiece.Model.load()
+    back = sentencepiece.decode(sentencepiece.encode(own, model), model, into="back").collect()
+    want = {r["doc_id"]: (list(r["ids"]), r["back"] == (r["text"] or "")) for r in back}
+    assert {r["doc_id"]: (list(r["ids"]), r["round_trip"]) for r in got.collect()} == want
+    assert [k for k, (_, same) in want.items() if not same] == [5] and len(got.columns) == len(own.columns)
+
+
 def test_stages_name_their_operators():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_duplicates", "benchmark", "tokens"]
