@@ -234,7 +234,7 @@ def test_projection_file(spark, profile, tmp_path):
 
 def test_order_and_partitions_do_not_matter(spark):
     rnd = random.Random(1)
-    given = [{"full_name": f"N{rnd.randrange(3)}", "emails": [f"e{rnd.randrange(4)}@x.co"], "procured_at": rnd.choice([T1, T2, None]), "skills": [(f"s{rnd.randrange(3)}", [f"csv_{n}"])], "years_experience": float(rnd.randrange(3))} for n in range(12)]
+    given = [{"full_name": f"N{rnd.randrange(3)}", "emails": [f"e{rnd.randrange(4)}@x.co"], "procured_at": rnd.choice([OLD, NEW, None]), "skills": [(f"s{rnd.randrange(3)}", [f"csv_{n}"])], "years_experience": float(rnd.randrange(3))} for n in range(12)]
     own = rows(spark, *given)
     assert fuse(own).first() == fuse(own.orderBy(F.rand(3)).repartition(7)).first()
     counts = defaultdict(int)
