@@ -1,6 +1,6 @@
 """The queries of this folder, by name, and their SQL where it can express them."""
 
-from . import decontaminate, katz, langid, linededup, quality, sentencepiece, sharding, simhash, url_filter, warc
+from . import decontaminate, filter_audit, katz, langid, linededup, quality, sentencepiece, sharding, simhash, url_filter, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -13,10 +13,12 @@ QUERIES = {
     "op8_quality": quality.query,
     "op9_url_filter": url_filter.query,
     "op10_katz": katz.query,
+    "op11_filter_audit": filter_audit.query,
 }
 
 ORACLES = {
     "op1_decontaminate": decontaminate.ORACLE,
     "op2_warc": warc.ORACLE,
     "op9_url_filter": url_filter.oracle(),
+    "op11_filter_audit": filter_audit.ORACLE,
 }
