@@ -1,6 +1,6 @@
 """The queries of this folder, by name, and their SQL where it can express them."""
 
-from . import decontaminate, filter_audit, katz, langid, linededup, quality, sentencepiece, sharding, simhash, url_filter, warc
+from . import decontaminate, filter_audit, katz, langid, linededup, oph, quality, search, sentencepiece, sharding, simhash, url_filter, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -14,6 +14,8 @@ QUERIES = {
     "op9_url_filter": url_filter.query,
     "op10_katz": katz.query,
     "op11_filter_audit": filter_audit.query,
+    "op12_search": search.query,
+    "op13_oph": oph.query,
 }
 
 ORACLES = {
@@ -21,4 +23,6 @@ ORACLES = {
     "op2_warc": warc.ORACLE,
     "op9_url_filter": url_filter.oracle(),
     "op11_filter_audit": filter_audit.ORACLE,
+    "op12_search": search.ORACLE,
+    "op13_oph": oph.ORACLE,
 }
