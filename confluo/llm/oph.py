@@ -319,9 +319,9 @@ with recursive d as (
 ), n as (
   select tid, count(*) as n from s group by 1
 ), p as (
-  select a.tid as x, b.tid as y, count(*) as both from s a join s b using (gram) where a.tid < b.tid group by 1, 2
+  select a.tid as x, b.tid as y, count(*) as common from s a join s b using (gram) where a.tid < b.tid group by 1, 2
 ), e as (
-  select x, y from p join n nx on nx.tid = x join n ny on ny.tid = y where 100 * both >= 80 * (nx.n + ny.n - both)
+  select x, y from p join n nx on nx.tid = x join n ny on ny.tid = y where 100 * common >= 80 * (nx.n + ny.n - common)
 ), l as (
   select x, y from e union all select y, x from e
 ), r as (
