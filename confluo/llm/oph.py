@@ -81,12 +81,41 @@ def _sketch(size: int):
     return run
 
 
+def bitmap(hashes: np.ndarray) -> bytes:
+    """A bit for each remainder of the hashes, set if it occurs an odd number of times; 2 to 4 bits for a hash, 256 at least."""
+    bits = 1 << max(8, (2 * len(hashes) - 1).bit_length())
+    return np.packbits(np.bincount((hashes % np.uint64(bits)).astype(np.int64), minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def at_most_common(x: bytes, nx: int, y: bytes, ny: int) -> int:
+    """A bound on what sets of such bitmaps have in common: where these differ, the sets do."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return (nx + ny - int(np.bitwise_count(x ^ y).sum())) // 2
+
+
 def _grams(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [np.unique(shingle_hashes(t.as_py(), size)) for t in b.column("text")]
             keys = [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], ["key", "grams"])
+            columns = [pa.array(keys, pa.binary()), pa.array([len(x) for x in sets], pa.int64()), pa.array([bitmap(x) for x in sets], pa.binary()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "n", "bits", "grams"])
+
+    return run
+
+
+def _possible(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for x, nx, y, ny in zip(*(b.column(c).to_pylist() for c in ("x", "nx", "y", "ny")), strict=True):
+                both = at_most_common(x, nx, y, ny)
+                keep.append(100 * both >= percent * (nx + ny - both))
+            yield b.select(["a", "b", "pa", "pb"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -169,12 +198,20 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, pa, pb) whose sets are alike."""
     way = F.col("a") < F.col("b")
     ends = [F.when(way, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (("a", "b", "a"), ("b", "a", "b"), ("pa", "pb", "pa"), ("pb", "pa", "pb"))]
+    kind = "a binary, b binary, pa binary, pb binary"
+
+    def both(pairs: DataFrame, **given: str) -> DataFrame:
+        for end, suffix in (("a", "x"), ("b", "y")):
+            side = sets.select(F.struct(F.col("key").alias(end)).alias("k"), *[F.col(c).alias(f"{p}{suffix}") for c, p in given.items()])
+            pairs = pairs.withColumn("k", F.struct(end)).join(side, "k").drop("k")
+        return pairs
+
+    # Bitmaps, a few dozen bytes for a set of a hundred, tell most pairs that aren't alike; the sets of the others are sent.
     once = settle(pairs.where("a <> b").select(*ends).distinct(), "pairs")
-    side = {k: sets.select(F.struct(F.col("key").alias(k)).alias("k"), F.col("grams").alias(g)) for k, g in (("a", "x"), ("b", "y"))}
-    one = once.withColumn("k", F.struct("a")).join(side["a"], "k").drop("k")
-    two = one.withColumn("k", F.struct("b")).join(side["b"], "k").drop("k")
-    links = settle(two.select("a", "b", "pa", "pb", "x", "y").mapInArrow(_alike(percent), "a binary, b binary, pa binary, pb binary"), "links")
+    likely = settle(both(once, bits="", n="n").select("a", "b", "pa", "pb", "x", "nx", "y", "ny").mapInArrow(_possible(percent), kind), "likely")
     discard(once)
+    links = settle(both(likely, grams="").select("a", "b", "pa", "pb", "x", "y").mapInArrow(_alike(percent), kind), "links")
+    discard(likely)
     return links
 
 
@@ -240,7 +277,7 @@ def _classes(own: DataFrame, sketched: DataFrame, size: int, percent: int) -> Da
     met = settle(rows.withColumn("k", F.struct("band")).join(buckets, "k").drop("k"), "buckets")
     discard(rows)
     wanted = broadcast_if_small(settle(met.select("h").distinct(), "wanted"))
-    sets = settle(own.join(wanted, "h", "left_semi").mapInArrow(_grams(size), "key binary, grams array<long>").where(F.col("key").isNotNull()).dropDuplicates(["key"]), "grams")
+    sets = settle(own.join(wanted, "h", "left_semi").mapInArrow(_grams(size), "key binary, n long, bits binary, grams array<long>").where(F.col("key").isNotNull()).dropDuplicates(["key"]), "grams")
 
     # The first star of each bucket: every set with one drawn at random.
     parts = _Parts(met)

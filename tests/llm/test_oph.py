@@ -81,11 +81,11 @@ def test_rest_alone_finds_all(spark):
     """What the rare shingles join doesn't depend on the stars before them."""
     texts = [t for _, t in tables(11) if t and t.split()]
     sets = {oph.xxhash.xxh3_128_digest(x.tobytes()): x for x in (np.unique(oph.shingle_hashes(t, 4)) for t in texts)}
-    frame = spark.createDataFrame([(k, x.view(np.int64).tolist(), len(x), k) for k, x in sets.items()], "key binary, grams array<long>, n long, part binary")
+    frame = spark.createDataFrame([(k, x.view(np.int64).tolist(), len(x), k, oph.bitmap(x)) for k, x in sets.items()], "key binary, grams array<long>, n long, part binary, bits binary")
     for most, grams in ((16, 1 << 20), (2, 3000)):
         oph.MOST_PAIRED, oph.BLOCK_GRAMS, kept = most, grams, (oph.MOST_PAIRED, oph.BLOCK_GRAMS)
         try:
-            links = oph._rest(frame.select("key", "n", "part"), frame.select("key", "grams"), 80).collect()
+            links = oph._rest(frame.select("key", "n", "part"), frame.select("key", "n", "bits", "grams"), 80).collect()
         finally:
             oph.MOST_PAIRED, oph.BLOCK_GRAMS = kept
         assert joined([(bytes(r["pa"]), bytes(r["pb"])) for r in links], sets) == joined(pairs(sets), sets)
@@ -128,6 +128,17 @@ def test_signature():
     assert oph.bands(np.empty(0, np.uint64)) == []
 
 
+def test_bitmaps_bound_what_is_common():
+    rng = np.random.default_rng(5)
+    for n in (1, 100, 130, 600, 5000):
+        x = rng.integers(0, 2**64 - 1, n, np.uint64)
+        for share in (0, 0.5, 0.9, 1):
+            y = np.unique(np.concatenate([x[: int(share * n)], rng.integers(0, 2**64 - 1, rng.integers(1, n + 1), np.uint64)]))
+            both = len(np.intersect1d(x, y))
+            bound = oph.at_most_common(oph.bitmap(x), n, oph.bitmap(y), len(y))
+            assert both <= bound and (share or 100 * bound < 80 * (n + len(y) - bound)) and bound == oph.at_most_common(oph.bitmap(y), len(y), oph.bitmap(x), n)
+
+
 def test_small_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert not oph.near_duplicates(none).collect()
