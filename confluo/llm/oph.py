@@ -154,16 +154,47 @@ def _first(percent: int, often: dict[int, int]):
     return run
 
 
+def _sides(cell: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(parts, left, right) of two blocks of sets: two of one size class (across 0), or one of this class and one of the class below."""
+    parts = cell.column("part").combine_chunks().dictionary_encode().indices.to_numpy()
+    across, own, lo, hi, cls, c = (cell.column(x).to_numpy() for x in ("across", "own", "lo", "hi", "cls", "c"))
+    return parts, np.where(across == 0, own == lo, cls == c), np.where(across == 0, own == hi, cls < c)
+
+
+def _active(percent: int):
+    """The sets of two blocks that may be alike to one of another part, by their bitmaps."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        parts, left, right = _sides(cell)
+        maps = [np.frombuffer(x, np.uint64) for x in cell.column("bits").to_pylist()]
+        least = min(map(len, maps))
+        for k, x in enumerate(maps):
+            while len(x) > least:
+                x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+            maps[k] = x
+        maps, n, keep = np.stack(maps), cell.column("n").to_numpy(), np.zeros(len(maps), bool)
+        others = np.flatnonzero(right)
+        for k in np.flatnonzero(left):
+            near = others[parts[others] != parts[k]]
+            both = (n[near] + n[k] - np.bitwise_count(maps[near] ^ maps[k]).sum(axis=1, dtype=np.int64)) // 2
+            near = near[100 * both >= percent * (n[near] + n[k] - both)]
+            keep[near] = True
+            keep[k] |= len(near) > 0
+        return cell.select(CELL).filter(pa.array(keep))
+
+    return run
+
+
+#: What tells a set's place in the cells of ``_rest``.
+CELL = ["gram", "c", "across", "lo", "hi", "own", "cls", "key", "part"]
+
+
 def _cell(percent: int):
-    """Links of two blocks of sets: two of one size class (across 0), or one of this class and one of the class below."""
+    """Links of two blocks of sets."""
 
     def run(cell: pa.Table) -> pa.Table:
-        sets = [x.values.to_numpy() for x in cell.column("grams")]
-        parts = cell.column("part").combine_chunks().dictionary_encode().indices.to_numpy()
-        across, own, lo, hi, cls, c = (cell.column(x).to_numpy() for x in ("across", "own", "lo", "hi", "cls", "c"))
-        left = np.where(across == 0, own == lo, cls == c)
-        right = np.where(across == 0, own == hi, cls < c)
-        links = joins(sets, parts, left, right, percent / 100)
+        parts, left, right = _sides(cell)
+        links = joins([x.values.to_numpy() for x in cell.column("grams")], parts, left, right, percent / 100)
         rows = [pa.array([i for i, _ in links], pa.int64()), pa.array([j for _, j in links], pa.int64())]
         return pa.table({"pa": cell.column("part").take(rows[0]), "pb": cell.column("part").take(rows[1])})
 
@@ -201,8 +232,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     kind = "a binary, b binary, pa binary, pb binary"
 
     def both(pairs: DataFrame, **given: str) -> DataFrame:
+        ends = settle(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "ends")
+        some = sets.join(broadcast_if_small(ends), "key", "left_semi")
         for end, suffix in (("a", "x"), ("b", "y")):
-            side = sets.select(F.struct(F.col("key").alias(end)).alias("k"), *[F.col(c).alias(f"{p}{suffix}") for c, p in given.items()])
+            side = some.select(F.struct(F.col("key").alias(end)).alias("k"), *[F.col(c).alias(f"{p}{suffix}") for c, p in given.items()])
             pairs = pairs.withColumn("k", F.struct(end)).join(side, "k").drop("k")
         return pairs
 
@@ -235,7 +268,7 @@ def _rest(still: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     the same class of sizes or in neighbouring ones. Few that meet there are compared pair
     by pair; of many, blocks of a bounded number of shingles meet in separate tasks.
     """
-    members = settle(sets.select(F.struct("key").alias("k"), "grams").join(still.select(F.struct("key").alias("k"), "n", "part"), "k").select("k.key", "n", "part", "grams"), "members")
+    members = settle(sets.select("key", "bits", "grams").join(broadcast_if_small(still.select("key", "n", "part")), "key").select("key", "n", "part", "bits", "grams"), "members")
     drawn = members.select(F.xxhash64("key").alias("h"), "key", F.slice("grams", 1, COUNTED_GRAMS).alias("grams")).orderBy("h", "key").limit(COUNTED_SETS)
     often: Counter[int] = Counter()
     for x in drawn.select("grams").toArrow().column(0):
@@ -261,9 +294,11 @@ def _rest(still: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         " if(blocks[cls - 1] IS NULL, array(), transform(sequence(0L, blocks[cls - 1] - 1), o -> struct(cls AS c, 1 AS across, own AS lo, o AS hi))),"
         " if(blocks[cls + 1] IS NULL, array(), transform(sequence(0L, blocks[cls + 1] - 1), o -> struct(cls + 1 AS c, 1 AS across, o AS lo, own AS hi))))"
     )
-    dealt = own.select("gram", "own", "cls", F.struct("key").alias("k"), F.inline(cells))
-    filled = dealt.join(members.select(F.struct("key").alias("k"), "part", "grams"), "k").drop("k")
-    crossed = filled.groupBy("gram", "c", "across", "lo", "hi").applyInArrow(_cell(percent), "pa binary, pb binary")
+    dealt, at = own.select("gram", "own", "cls", "key", "part", F.inline(cells)), ["gram", "c", "across", "lo", "hi"]
+    mapped = dealt.join(broadcast_if_small(members.select("key", "n", "bits")), "key").groupBy(*at)
+    active = settle(mapped.applyInArrow(_active(percent), "gram long, c long, across int, lo long, hi long, own long, cls long, key binary, part binary"), "active")
+    filled = active.withColumn("k", F.struct("key")).join(members.select(F.struct("key").alias("k"), "grams"), "k").drop("k")
+    crossed = filled.groupBy(*at).applyInArrow(_cell(percent), "pa binary, pb binary")
     return settle(few.unionByName(crossed).distinct(), "late")
 
 
