@@ -5,8 +5,11 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -93,3 +96,15 @@ def columns_but(df: DataFrame, *taken: str) -> str:
     while any(n.startswith(prefix) for n in names):
         prefix = "_" + prefix
     return prefix
+
+
+def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow(f, schema)`` for columns of any names, dots in them too: they are numbered on the way, and f sees and gives the real ones."""
+    given, own = list(df.columns), [f"c{k}" for k in range(len(schema))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in f(x.rename_columns(given) for x in batches):
+            yield b.rename_columns(own)
+
+    numbered = T.StructType([T.StructField(c, x.dataType, x.nullable) for c, x in zip(own, schema, strict=True)])
+    return df.toDF(*[f"c{k}" for k in range(len(given))]).mapInArrow(run, numbered).toDF(*schema.names)
