@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.shared import map_arrow
+
 UNKNOWN = "und"
 SPACE = 0x20
 
@@ -188,8 +190,8 @@ class Profiles:
 
         rest = [c for c in docs.columns if c != text_col and c.lower() not in map(str.lower, into)]
         own = docs.select(F.col(f"`{text_col}`"), *[F.col(f"`{c}`") for c in rest])
-        schema = T.StructType([*own.drop(text_col).schema, T.StructField(into[0], T.StringType()), T.StructField(into[1], T.DoubleType())])
-        return own.mapInArrow(run, schema)
+        schema = T.StructType([*own.schema[1:], T.StructField(into[0], T.StringType()), T.StructField(into[1], T.DoubleType())])
+        return map_arrow(own, run, schema)
 
 
 def held_out(doc_id: Column, parts: int = 4, part: int = 2) -> Column:

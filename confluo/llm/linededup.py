@@ -13,7 +13,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.shared import columns_but, discard, settle
+from ..plans.shared import columns_but, discard, map_arrow, settle
+from ..plans.sizing import broadcast_if_small
 
 #: Ends of lines and of sentences, with the blanks after them; wide full stops need none.
 _ENDS = re.compile(r"\n|[.!?…][\"'”’»)\]]*[ \t]+|[。！？][”’」』）]*[ \t]*")
@@ -137,8 +138,10 @@ class Chunker:
     def passages(self, text: str, listed: list[tuple[int, int, int, bool, int]]) -> list[tuple[int, int]]:
         """The spans to cut: runs of repeated chunks that follow each other where they come first, too."""
         runs: list[list] = []
-        for start, end, _, first, near in listed:
-            if first:
+        seen: set[int] = set()
+        for start, end, h, first, near in listed:
+            if first and h not in seen:
+                seen.add(h)
                 continue
             gap = text[runs[-1][1] : start] if runs and start - runs[-1][1] < 200 else None
             after, before = (runs[-1][2] & 2, near & 1) if runs else (0, 0)
@@ -259,7 +262,7 @@ def _key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def dedup_lines(docs: DataFrame, how: Chunker = Chunker(), id_col: str = "doc_id", text_col: str = "text", removed: str | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, how: Chunker = Chunker(), id_col: str = "doc_id", text_col: str = "text", removed: str | None = None, classes: DataFrame | None = None) -> DataFrame:
     """docs with every repeat of a passage cut from its text; the first one (by id, then place) stays.
 
     A passage is a run of repeated chunks, of which each follows the one before it at the
@@ -271,6 +274,10 @@ def dedup_lines(docs: DataFrame, how: Chunker = Chunker(), id_col: str = "doc_id
     id and text are one document, which repeats nothing by that: they come out alike. Null
     and empty texts stay as they are; a null id is the smallest. An empty table gives no rows.
 
+    ``classes`` (mark, lead_id, lead_mark) names texts by their ``xxhash64`` that count as one
+    document together, that of their first one: they keep what only they have in common,
+    and lose what another document has before the first of them.
+
     Shuffled are a narrow row for each chunk, each text once (to meet its list of chunks),
     and the contents of repeated chunks.
     """
@@ -286,13 +293,18 @@ def dedup_lines(docs: DataFrame, how: Chunker = Chunker(), id_col: str = "doc_id
     twice = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.struct("h").alias("k"))
     again = settle(found.withColumn("k", F.struct("h")).join(twice, "k", "left_semi").drop("k"), "again")
     discard(found)
-    place = F.struct("id", "mark", "start")
-    whole_place = F.struct("id", "mark", "start", "before", "after")
-    least = again.groupBy("h").agg(F.min(whole_place).alias("least"), F.max(place).alias("last")).where("not (struct(least.id, least.mark, least.start) <=> last)")
+    if classes is None:
+        grouped, first = again.withColumn("of", F.struct("id", "mark")), F.expr("struct(id, mark, start) <=> struct(least.id, least.mark, least.start)")
+    else:
+        led = again.join(broadcast_if_small(classes), "mark", "left")
+        grouped, first = led.withColumn("of", F.when(F.col("lead_mark").isNull(), F.struct("id", "mark")).otherwise(F.struct(F.col("lead_id").alias("id"), F.col("lead_mark").alias("mark")))).drop("lead_id", "lead_mark"), F.expr("of <=> least.of")
+    place = F.struct("of", "id", "mark", "start")
+    whole_place = F.struct("of", "id", "mark", "start", "before", "after")
+    least = grouped.groupBy("h").agg(F.min(whole_place).alias("least"), F.max(place).alias("last")).where("not (struct(least.of, least.id, least.mark, least.start) <=> last)")
     least = least.select(F.struct("h").alias("k"), "least")
-    repeats = again.withColumn("k", F.struct("h")).join(least, "k")
+    repeats = grouped.withColumn("k", F.struct("h")).join(least, "k")
     near = F.expr("if(before = least.before AND before <> 0, 1, 0) + if(after = least.after AND after <> 0, 2, 0)")
-    listed = repeats.withColumn("first", place.eqNullSafe(F.expr("struct(least.id, least.mark, least.start)"))).withColumn("near", near).groupBy("id", "mark")
+    listed = repeats.withColumn("first", first).withColumn("near", near).groupBy("id", "mark")
     listed = listed.agg(F.array_sort(F.collect_set(F.struct("start", "end", "h", "first", "near"))).alias(spans)).withColumnsRenamed({"id": f"{p}_id", "mark": mark})
     joined = docs.join(listed, F.col(f"`{id_col}`").eqNullSafe(F.col(f"{p}_id")) & (_key(text) == F.col(mark)), "left")
     met = settle(joined.drop(f"{p}_id", mark), "met")
@@ -312,11 +324,12 @@ def dedup_lines(docs: DataFrame, how: Chunker = Chunker(), id_col: str = "doc_id
         met = met.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col(f"{p}_id")) & (_key(text) == F.col(mark)), "left")
         met = met.withColumn(spans, F.expr(f"filter({spans}, c -> NOT coalesce(array_contains({p}_starts, c.start), false))")).drop(f"{p}_id", mark, f"{p}_starts")
 
-    cut = F.exists(F.col(spans), lambda c: ~c["first"])
+    # Of a document's class the first place of each chunk in it stays, so a chunk that it has twice is cut as well.
+    cut = F.exists(F.col(spans), lambda c: ~c["first"]) | (F.size(F.array_distinct(F.transform(F.col(spans), lambda c: c["h"]))) < F.size(F.col(spans)))
     gone, kind = removed or f"{p}_removed", "array<struct<start:int,end:int>>"
     touched = met.where(cut)
     schema = touched.withColumn(gone, F.lit(None).cast(kind)).schema
-    edited = touched.mapInArrow(_cut(how, text_col, spans, gone), schema)
+    edited = map_arrow(touched, _cut(how, text_col, spans, gone), schema)
     all_rows = met.where(~F.coalesce(cut, F.lit(False))).withColumn(gone, F.expr(f"cast(array() as {kind})")).unionByName(edited)
     return all_rows.drop(spans) if removed else all_rows.drop(spans, gone)
 

@@ -41,6 +41,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.shared import map_arrow
+
 SPACE = "▁"
 #: Where this box keeps its public vocabularies; a parameter of every entry point.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -414,7 +416,7 @@ def encode(docs: DataFrame, model: Model, text_col: str = "text", into: str = "i
                 yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, *new])
 
     kinds = (T.ArrayType(T.IntegerType()), T.BooleanType())
-    return own.mapInArrow(run, T.StructType([*own.schema, *map(T.StructField, new, kinds)]))
+    return map_arrow(own, run, T.StructType([*own.schema, *map(T.StructField, new, kinds)]))
 
 
 def runs(b: pa.RecordBatch, k: int, most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
@@ -444,7 +446,7 @@ def decode(rows: DataFrame, model: Model, ids_col: str = "ids", into: str = "tex
             texts = [t.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in b.column(k)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, into])
 
-    return own.mapInArrow(run, T.StructType([*own.schema, T.StructField(into, T.StringType())]))
+    return map_arrow(own, run, T.StructType([*own.schema, T.StructField(into, T.StringType())]))
 
 
 DIGEST = "n_tokens long, n_byte_tokens long, ids_sha256 string, round_trip boolean"

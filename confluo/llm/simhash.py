@@ -197,6 +197,23 @@ def near_duplicates(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id",
     return marked.withColumn("key", F.struct("mark")).join(named, "key").select("doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def text_classes(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text", links: DataFrame | None = None) -> DataFrame:
+    """(mark, lead_id, lead_mark) for each text that has near-duplicates: its ``xxhash64``, and the id and hash of its group's first row.
+
+    Groups are those of ``near_duplicates``; one of a single text has no row here. A null id
+    is the smallest; null and empty texts are one group. An empty table gives no rows.
+    """
+    own = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.col(f"`{text_col}`")).alias("h"))
+    ids = own.schema["doc_id"].dataType.simpleString()
+    marked = own.mapInArrow(_fingerprints, f"doc_id {ids}, mark long, h long")
+    texts = settle(marked.groupBy("mark", "h").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id")).alias("least")), "texts")
+    led = _rooted(texts.select("mark").distinct(), threshold, links).select(F.struct("mark").alias("k"), "root")
+    rooted = settle(texts.withColumn("k", F.struct("mark")).join(led, "k").select("h", "root", F.struct("least", "h").alias("place")), "rooted")
+    first = rooted.groupBy("root").agg(F.min("place").alias("lead"), F.max("place").alias("last")).where("lead <> last").select(F.struct("root").alias("k"), "lead")
+    told = rooted.withColumn("k", F.struct("root")).join(first, "k")
+    return told.select(F.col("h").alias("mark"), F.col("lead.least.doc_id").alias("lead_id"), F.col("lead.h").alias("lead_mark"))
+
+
 def drop_near_duplicates(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text", links: DataFrame | None = None) -> DataFrame:
     """One row of each group of near-duplicates, columns unchanged.
 

@@ -16,14 +16,14 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.shared import new_path
+from ..plans.shared import new_path, settle
+from ..plans.sizing import broadcast_if_small
 
 VERSION = b"WARC/1.1"
 DATE = "2000-01-01T00:00:00Z"  # records carry a fixed date, so equal input gives equal archives
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Bytes that the reader takes and inflates at a time.
 CHUNK = 1 << 18
-LONGEST_HEAD = 1 << 20
 
 
 class WarcError(ValueError):
@@ -118,12 +118,12 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     folder = qualified(pages.sparkSession, folder)
     rows = pages.select(
         F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.coalesce(F.encode(F.col(payload_col), "UTF-8"), F.lit(b"")).alias("payload")
-    ).withColumn("sha1", F.unhex(F.sha1("payload")))
-    # The smallest id by payload, only where several rows share it; its key is written
-    # anew (hex), so both sides of the join are exchanged for it and a hot payload can be split.
-    first = rows.where(F.length("payload") >= min_dedup_bytes).groupBy("sha1").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
-    first = first.where("n > 1").select(F.hex("sha1").alias("same"), "first")
-    typed = rows.withColumn("same", F.hex("sha1")).join(first, "same", "left")
+    )
+    # Payloads are equal if length, SHA-1 and a second hash are. The smallest id of each that
+    # several rows share is found from narrow rows; payloads are exchanged only if these are many.
+    same = F.struct(F.length("payload").alias("n"), F.unhex(F.sha1("payload")).alias("sha1"), F.xxhash64("payload").alias("h"))
+    narrow = settle(rows.select("id", same.alias("same")).where(f"same.n >= {int(min_dedup_bytes)}").groupBy("same").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("same", "first"), "repeats")
+    typed = rows.withColumn("same", same).join(broadcast_if_small(narrow), "same", "left")
     revisits = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("id"))
     typed = typed.select("id", "url", "payload", F.when(revisits, F.col("first")).alias("refers"))
 
@@ -172,6 +172,24 @@ def members(source) -> Iterator[Iterator[bytes]]:
         left = inflate.unused_data or source.read(CHUNK)
 
 
+class _Head:
+    """A head as it grows up to the blank line that ends it, however long its values are."""
+
+    def __init__(self) -> None:
+        self.lines = bytearray()
+
+    def add(self, piece: bytes) -> bytes | None:
+        """What follows the head, or None while it goes on; each byte is searched once."""
+        since = max(0, len(self.lines) - 3)
+        self.lines += piece
+        end = self.lines.find(b"\r\n\r\n", since)
+        if end < 0:
+            return None
+        rest = bytes(self.lines[end + 4 :])
+        del self.lines[end:]
+        return rest
+
+
 class _Framed:
     """Takes a head and then blocks of known length from a member's pieces."""
 
@@ -184,11 +202,13 @@ class _Framed:
         return bool(piece)
 
     def head(self) -> list[str]:
-        while b"\r\n\r\n" not in self.held:
-            if len(self.held) > LONGEST_HEAD or not self._more():
+        head = _Head()
+        while (rest := head.add(self.held)) is None:
+            self.held = next(self.pieces, b"")
+            if not self.held:
                 raise WarcError("a record's head has no end")
-        head, _, self.held = self.held.partition(b"\r\n\r\n")
-        return head.decode("utf-8", "replace").split("\r\n")
+        self.held = rest
+        return bytes(head.lines).decode("utf-8", "replace").split("\r\n")
 
     def block(self, n: int) -> Iterator[bytes]:
         """Exactly n bytes, piece by piece."""
@@ -228,17 +248,14 @@ def records(source, keep_payload: bool = False) -> Iterator[dict]:
         except (KeyError, ValueError) as e:
             raise WarcError("a record has no Content-Length") from e
         whole, body, n, kept = hashlib.sha1(), hashlib.sha1(), 0, []
-        http, is_http = b"", head.get("content-type", "").startswith("application/http")
+        http, is_http = _Head(), head.get("content-type", "").startswith("application/http")
         in_body = not is_http
         for piece in framed.block(length):
             whole.update(piece)
             if not in_body:
-                http += piece
-                if b"\r\n\r\n" not in http:
-                    if len(http) > LONGEST_HEAD:
-                        raise WarcError("an HTTP head has no end")
+                piece = http.add(piece)
+                if piece is None:
                     continue
-                http, _, piece = http.partition(b"\r\n\r\n")
                 in_body = True
             body.update(piece)
             n += len(piece)
@@ -251,7 +268,7 @@ def records(source, keep_payload: bool = False) -> Iterator[dict]:
             raise WarcError(f"{head.get('warc-record-id')}: the block doesn't match its digest")
         kind = head.get("warc-type", "")
         if kind == "revisit":
-            stated = fields(http.decode("latin-1").split("\r\n")[1:]).get("content-length")
+            stated = fields(bytes(http.lines).decode("latin-1").split("\r\n")[1:]).get("content-length")
             size, sha1 = int(stated) if stated else None, named("warc-payload-digest")
         else:
             size, sha1 = n, digest(body)

@@ -11,7 +11,7 @@ import sentencepiece as library
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from confluo.llm import katz, linededup, quality, sentencepiece
+from confluo.llm import katz, langid, linededup, quality, sentencepiece
 from tests.llm.test_rules import TEXTS, brute, docs, hits, labelled
 from tests.llm.test_similarity import components, mark_of, passages
 
@@ -265,8 +265,8 @@ def test_short_items_cost_no_document(spark, tmp_path):
 def test_stages_take_awkward_tables(spark, tmp_path):
     """Extra columns with the names that stages use themselves, null and repeated ids, repeated rows, null texts, and no rows at all."""
     good = " ".join(f"word{k} and more" for k in range(40))
-    kind = "doc_id long, text string, lang string, source string, n_chars long, decoded string, judged int, removed int, h long, k int, key string, items int, _c int"
-    more = ("kept as it is", 1, 2, 3, 4, "key", 5, 6)
+    kind = "doc_id long, text string, lang string, source string, n_chars long, decoded string, judged int, removed int, h long, k int, key string, items int, _c int, `we.ird` int, `Text ,.x` int"
+    more = ("kept as it is", 1, 2, 3, 4, "key", 5, 6, 7, 8)
     rows = [(1, good, "en", "s", 1, *more), (1, good, "en", "s", 1, *more), (1, good[::-1], None, None, None, *more), (None, good + " x", "en", "s", 1, *more), (2, None, "en", "s", None, *more), (3, "", "en", "s", 0, *more)]
     spark.createDataFrame([(9, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     spark.createDataFrame([(1, "a b"), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
@@ -276,11 +276,42 @@ def test_stages_take_awkward_tables(spark, tmp_path):
             got = stage(spark, docs, str(tmp_path))
             assert got.columns == [*docs.columns, *(["ids", "round_trip"] if name == "tokens" else [])], name
             found = got.collect()
-            assert bool(found) == bool(some) and all(r["decoded"] == "kept as it is" and r["_c"] == 6 for r in found), name
+            assert bool(found) == bool(some) and all(r["decoded"] == "kept as it is" and r["_c"] == 6 and r["we.ird"] == 7 and r["Text ,.x"] == 8 for r in found), name
             if name == "near_duplicates" and some:
                 assert sorted((r["doc_id"], r["text"] or "") for r in found) == sorted([(1, good), (1, good[::-1]), (2, "")])
 
 
+def test_names_with_dots_come_through(spark):
+    own = docs(spark, [(1, "abc " * 30), (2, None)]).withColumn("we.ird", F.lit(7)).withColumn("a.b.c d", F.lit(8))
+    model = sentencepiece.Model.load()
+    encoded = sentencepiece.encode(own, model)
+    profiles = langid.Profiles().learn(own.select("doc_id", "text").withColumn("lang", F.lit("aa")))
+    for got in (encoded, sentencepiece.decode(encoded, model, into="back"), profiles.predict(own), linededup.dedup_lines(own)):
+        assert {r["we.ird"] for r in got.collect()} == {7} and "a.b.c d" in got.columns
+
+
+def test_near_copies_go_as_a_whole(spark):
+    """Copies with some words replaced are left to the stage that judges them, not cut to pieces; passages that others share go from them, too."""
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(5000)]
+    said = lambda n: [rng.choice(words) for _ in range(n)]
+    lines = lambda w: "\n".join(" ".join(w[k : k + 12]) + "." for k in range(0, len(w), 12))
+    shared = lines(said(72))
+    bases = [said(rng.randrange(150, 400)) for _ in range(40)]
+    texts = [(k, lines(b)) for k, b in enumerate(bases)]
+    texts += [(100 + 2 * k + j, lines([rng.choice(words) if rng.random() < 0.015 else w for w in b])) for k, b in enumerate(bases) for j in (0, 1)]
+    texts += [(300 + k, lines(said(150)) + "\n" + shared) for k in range(20)] + [(400, lines(bases[3]) + "\n" + shared), (401, lines(bases[5]) + "\n" + shared)]
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in texts}
+    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    own = docs(spark, texts).withColumn("n_chars", F.length("text").cast("long"))
+    cut = corpus_pipeline.line_dedup(spark, own, "").cache()
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.near_duplicates(spark, cut, "").collect()}
+    planted = [100 + 2 * k + j for k in range(40) for j in (0, 1) if alike(k, 100 + 2 * k + j)]
+    assert len(planted) > 60 and sum(i not in left for i in planted) >= 0.9 * len(planted)
+    assert set(range(40)) <= set(left) and all(left[k] == texts[k][1] for k in range(40))
+    assert sum(shared in t for t in left.values()) == 1 and {300 + k for k in range(20)} <= set(left)
+
+
 def test_the_tokens_stage_holds_one_worker_a_task(spark):
     """Encoding and decoding in two passes of one task had it hold two Python workers, each with its own model."""
     texts = [None, "", "plain words", " two  blanks ", "caf\u00e9 \U0001f600", "comes back \u2581 as a blank", "a\tb\nc"]
