@@ -33,11 +33,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats of passages are cut and n_chars is counted anew; a document of which no word is left goes.
 
-    The first document by id (null is the smallest) keeps its passage. Null and empty texts
+    The first document by id (null is the smallest) keeps its passage. Near-duplicates (see
+    the next stage) count as one document together, so that one of them is still told by its
+    whole text there, instead of losing all but its differences here. Null and empty texts
     stay; rows equal in id and text are one document and come out alike.
     """
     removed = columns_but(docs)
-    done = linededup.dedup_lines(docs, removed=removed)
+    classes = settle(simhash.text_classes(docs, links=minhash.similar(docs)), "classes")
+    done = linededup.dedup_lines(docs, removed=removed, classes=classes)
     left = done.where((F.size(removed) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     cut = F.size(removed) > 0
     return left.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars"))).drop(removed)
