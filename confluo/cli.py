@@ -33,24 +33,32 @@ def skill_names(spark: SparkSession) -> dict[str, str]:
     return {r["norm"]: r["canonical"] for r in taxonomy.taxonomy(spark).collect()}  # the hand-made taxonomy: some hundred rows
 
 
-def records(spark: SparkSession, csvs: str | None, resumes: str | None, known: DataFrame | None = None, source_id: str = "file_row") -> tuple[DataFrame, DataFrame]:
-    """(all records of both folders, the taxonomy with the skills that they add); an absent folder gives none. rid is the source's hash."""
+def records(spark: SparkSession, csvs: str | None, resumes: str | None, known: DataFrame | None = None, source_id: str = "file_row", originals: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(all records of both folders, the taxonomy with the skills that they add, the files passed over with the reason).
+
+    Folders are on any file system that Spark reads; one that is named but absent is an
+    error. rid, which tells records apart, is the source. ``originals``: see ``scan_resumes``.
+    """
     known = taxonomy.taxonomy(spark) if known is None else known
     found = spark.createDataFrame([], tables.schema.RECORD)
     mentions = spark.createDataFrame([], "source string, kind int, file string, row int, pos int, raw string")
-    if csvs and Path(csvs).is_dir():
-        rows = tables.read_csv(spark, csvs, source_id)
+    skipped = spark.createDataFrame([], "file string, reason string")
+    if csvs:
+        rows, bad = tables.scan_csv(spark, csvs, source_id)
+        skipped = skipped.unionByName(bad)
         found, mentions = found.unionByName(tables.csv_records(rows)), mentions.unionByName(tables.csv_mentions(rows))
-    if resumes and Path(resumes).is_dir():
-        raw = tables.read_resumes(spark, resumes)
+    if resumes:
+        raw, bad = tables.scan_resumes(spark, resumes, originals)
+        skipped = skipped.unionByName(bad)
         found, mentions = found.unionByName(tables.resume_records(spark, raw)), mentions.unionByName(tables.resume_mentions(raw))
     grown = settle(taxonomy.register(mentions, known, MET), "taxonomy")
-    return taxonomy.with_skills(found, mentions, grown).withColumn("rid", F.xxhash64("source")), grown
+    return taxonomy.with_skills(found, mentions, grown).withColumn("rid", F.col("source")), grown, skipped
 
 
-def run(spark: SparkSession, csvs: str | None, resumes: str | None, out: str, source_id: str = "file_row", known: DataFrame | None = None) -> DataFrame:
-    """Records, profiles and the grown taxonomy as Parquet under ``out``; inputs are never touched."""
-    own, grown = records(spark, csvs, resumes, known, source_id)
+def run(spark: SparkSession, csvs: str | None, resumes: str | None, out: str, source_id: str = "file_row", known: DataFrame | None = None, originals: str | None = None) -> DataFrame:
+    """Records, profiles, the grown taxonomy and the list of files passed over as Parquet under ``out``; inputs are never touched."""
+    own, grown, skipped = records(spark, csvs, resumes, known, source_id, originals)
+    skipped.write.mode("overwrite").parquet(f"{out}/skipped")
     sinks.write_records(own, f"{out}/records")
     grown.write.mode("overwrite").parquet(f"{out}/taxonomy")
     stored = spark.read.parquet(f"{out}/records").drop("kind")
@@ -64,6 +72,7 @@ def main(argv: list[str] | None = None) -> int:
     r = sub.add_parser("run")
     r.add_argument("--csvs")
     r.add_argument("--resumes")
+    r.add_argument("--originals", help="the folder of the files that the resumes were extracted from; their times are the resumes'")
     r.add_argument("--out", required=True)
     r.add_argument("--config", action="append", default=[])
     r.add_argument("--skip-resumes", action="store_true")
@@ -93,7 +102,9 @@ def main(argv: list[str] | None = None) -> int:
             return OK
         if a.command == "run":
             known = taxonomy.load_taxonomy(spark, a.taxonomy) if a.taxonomy and Path(a.taxonomy).exists() else None
-            profiles = run(spark, a.csvs, None if a.skip_resumes else a.resumes, a.out, known=known)
+            profiles = run(spark, a.csvs, None if a.skip_resumes else a.resumes, a.out, known=known, originals=a.originals)
+            for bad in spark.read.parquet(f"{a.out}/skipped").orderBy("file").toLocalIterator():
+                print(f"skipped {bad['file']}: {bad['reason']}", file=sys.stderr)
             if a.taxonomy:
                 taxonomy.save_taxonomy(spark.read.parquet(f"{a.out}/taxonomy"), a.taxonomy)
             for path, config in zip(a.config, configs, strict=True):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import dates, phones, resume, text
+from ..functions import dates, phones, registry, resume, text
 from ..functions.geo import country_alpha2, location_of_text
 from ..operators import identity, projection, sinks, survivorship, taxonomy
 from ..sources import tables
@@ -575,6 +575,19 @@ def topk_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members(spark, sf_dir).groupBy("component").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "component").limit(20)
 
 
+@query(VIEW + """select rid, full_name, email, phone, lower(regexp_replace(full_name, '[^A-Za-z0-9]', '', 'g')) as degree_key, lower(full_name) as title, n_country as country,
+  strftime(timestamp '2019-01-01' + to_months((rid % 30)::int), '%Y-%m') as month, (2019 + (rid % 30) // 12)::int as year from cand""")
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The library's functions called by name in a SQL text."""
+    registry.register(spark, "confluo_", ["norm_name", "norm_email", "norm_phone", "norm_degree", "norm_title", "country_code", "norm_date", "year_of_date"])
+    raw = raw_candidates(spark, sf_dir).withColumn("said", F.date_format(F.expr("add_months(date'2019-01-01', cast(rid % 30 as int))"), "MMM yyyy"))
+    return spark.sql(
+        """SELECT rid, confluo_norm_name(raw_name) AS full_name, confluo_norm_email(raw_email) AS email, confluo_norm_phone(raw_phone) AS phone, confluo_norm_degree(raw_name) AS degree_key,
+        confluo_norm_title(raw_name) AS title, confluo_country_code(country) AS country, confluo_norm_date(said) AS month, confluo_year_of_date(said) AS year FROM {raw}""",
+        raw=raw,
+    )
+
+
 # --- sources and sinks, over files that the query writes
 
 
@@ -608,6 +621,57 @@ def resume_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("source", "full_name", F.get("emails", F.lit(0)).alias("email"), "headline", F.array_join("skills.name", "|").alias("skills"), "links.github", "procured_at")
 
 
+FILE_OF = "c_custkey // 400"
+
+
+def _csv_folder(spark: SparkSession, sf_dir: str, name: str, **latin: bool) -> str:
+    """Customers as CSV files of 400 each, in order, with line ends in quotes and blank lines; the columns of every second file are turned round."""
+    folder = new_path(spark, name)
+    own = table(spark, sf_dir, "customer").select("c_custkey", F.expr("c_custkey div 400").alias("f"), F.expr(CSV_NAME.replace("chr(10)", "'\\n\\n'")).alias("name"), F.expr(CSV_MAIL).alias("email"), F.concat(F.lit("café "), "c_custkey").alias("title"))
+    columns = ["name", "email", "title", "c_custkey"]
+    for k in range(2):
+        for encoding in ("UTF-8", "ISO-8859-1") if latin else ("UTF-8",):
+            part = own.where((F.col("f") % 2 == k) & ((F.col("f") % 3 == 1) == (encoding != "UTF-8"))) if latin else own.where(F.col("f") % 2 == k)
+            dealt = part.repartition("f").sortWithinPartitions("f", "c_custkey").select("f", *columns[:: 1 - 2 * k])
+            dealt.write.mode("append").partitionBy("f").option("header", True).option("encoding", encoding).option("escape", '"').csv(folder)
+    return folder
+
+
+@query(f"""select 'Person "' || c_custkey || '", of ' || c_mktsegment as full_name, 'café ' || c_custkey as title, row_number() over (partition by {FILE_OF} order by c_custkey) as row,
+  '_' || (row_number() over (partition by {FILE_OF} order by c_custkey)) as source_end, 'csv_part-' as source_start, true as timed from customer""")
+def csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of CSV files by their place in the file, which values with line ends don't shift; each has its file's time."""
+    found = tables.csv_records(tables.read_csv(spark, _csv_folder(spark, sf_dir, "csv-rows")), norm_map())
+    timed = F.col("procured_at").rlike("^20[0-9]{2}-[0-9-]{5}T[0-9:]{8}Z$")
+    return found.select("full_name", F.get("experience", F.lit(0))["title"].alias("title"), F.regexp_extract("source", "_([0-9]+)$", 1).cast("long").alias("row"), F.regexp_extract("source", "(_[0-9]+)$", 1).alias("source_end"), F.substring("source", 1, 9).alias("source_start"), timed.alias("timed"))
+
+
+@query(f"""select 'read' as reason, count(*) as n from customer where ({FILE_OF}) % 3 <> 1
+  union all select 'not UTF-8', count(distinct {FILE_OF}) from customer where ({FILE_OF}) % 3 = 1 having count(*) > 0""")
+def csv_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that aren't UTF-8 are passed over whole and listed, beside the number of rows of the others."""
+    rows, skipped = tables.scan_csv(spark, _csv_folder(spark, sf_dir, "csv-skipped", latin=True))
+    bad = skipped.groupBy(F.substring_index("reason", ":", 1).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit("read").alias("reason"), "n").unionByName(bad)
+
+
+@query("""select 'r' || c_custkey || '@example.org' as email, case when c_custkey % 3 = 0 or c_custkey % 4 = 0 then 'Resume ' else 'Row ' end || c_custkey as full_name,
+  case when c_custkey % 3 = 0 or c_custkey % 4 = 0 then 'openresume+normalization' else 'normalization' end as method from customer""")
+def resume_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of a row and a resume names a candidate: the later one, by the time of the file that the resume was extracted from, if there is one."""
+    originals, folder, k = new_path(spark, "originals"), new_path(spark, "resumes"), F.col("c_custkey")
+    own = table(spark, sf_dir, "customer").select("c_custkey")
+    own.where("c_custkey % 3 = 0").select(k.cast("string")).write.option("maxRecordsPerFile", 1).text(originals)
+    named = spark.read.text(originals).select(F.col("value").cast("long").alias("c_custkey"), F.col("_metadata.file_name").alias("name"))
+    mail = F.concat(F.lit("r"), k, F.lit("@example.org"))
+    raw = own.join(named, "c_custkey", "left").select(F.coalesce("name", F.concat(F.lit("r"), k)).alias("source_file"), F.array(F.concat(F.lit("Resume "), k)).alias("lines"), mail.alias("raw_text"), F.when(k % 2 == 0, "2021-05-05T00:00:00Z").alias("procured_at"))
+    raw.write.option("maxRecordsPerFile", 1).json(folder)
+    resumes = tables.resume_records(spark, tables.read_resumes(spark, folder, originals))
+    row = tables.record(source=F.concat(F.lit("csv_"), k), method=F.lit(tables.CSV_METHOD), procured_at=F.when(k % 4 == 0, "2020-01-01T00:00:00Z").otherwise("2022-02-02T00:00:00Z"), full_name=F.concat(F.lit("Row "), k), emails=F.array(mail))
+    both = resumes.unionByName(own.select(*row)).withColumn("rid", F.col("source")).withColumn("candidate_id", F.get("emails", F.lit(0)))
+    return survivorship.scalars(both).select(F.col("candidate_id").alias("email"), F.col("full_name.value").alias("full_name"), F.col("full_name.method").alias("method"))
+
+
 STORED = """select source, method, full_name, email, n_jobs, headline from cand left join (select o_custkey as rid, count(*) as n_jobs from orders group by 1) using (rid)"""
 
 

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,11 +11,14 @@ from ..functions import resume
 from ..functions.phones import normalize_phones
 from ..functions.text import as_list, filled, normalize_emails, normalize_name, strip
 from ..operators.taxonomy import skills_of
+from ..plans.sizing import broadcast_if_small
+from . import csv_scan
+from .csv_scan import Scan
 
 CSV_COLUMNS = ("name", "email", "phone", "current_company", "title", "skills")
 #: How records of either kind name the way they were made.
 CSV_METHOD, RESUME_METHOD = "normalization", "openresume+normalization"
-CSV_NAMES = "*.[cC][sS][vV]"
+JSON_NAMES = "*.[jJ][sS][oO][nN]"
 EPOCH = "1970-01-01T00:00:00Z"
 
 
@@ -55,42 +55,26 @@ def record(**given: Column) -> list[Column]:
     return out
 
 
-def _csv_files(spark: SparkSession, folder: str) -> dict[str, list[str]]:
-    """The folder's CSV files by their header line: a pass over the lines that sends one row for each file to the driver."""
-    lines = spark.read.option("pathGlobFilter", CSV_NAMES).text(folder).select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"))
-    found: dict[str, list[str]] = {}
-    for r in lines.where(F.length("value") > 0).groupBy("path").agg(F.min_by("value", "at").alias("header")).orderBy("path").toLocalIterator():
-        found.setdefault(r["header"].rstrip("\r"), []).append(r["path"])
-    return found
-
-
-def read_csv(spark: SparkSession, folder: str, source_id: str = "file_row") -> DataFrame:
-    """The rows of a folder's CSV files with file, row (from 1 in each file), source and procured_at (the file's time).
+def scan_csv(spark: SparkSession, folder: str, source_id: str = "file_row") -> Scan:
+    """Scan(rows, skipped) of a folder's CSV files: rows have file, row (from 1 in each file), source and procured_at (the file's time); see ``csv_scan``.
 
-    Files may differ in their columns; those of one header are read together. Absent columns
-    are null, unknown ones ignored. Byte-order marks, quotes and line ends in quotes are
-    understood, blank lines not counted, unreadable files passed over. ``source_id``:
-    ``file_row`` tells files apart; ``row`` names rows by number alone, and of equal names
-    the last file's counts.
+    ``source_id``: ``file_row`` tells files apart; ``row`` names rows by number alone, and of
+    equal names the last file's counts.
     """
     if source_id not in ("file_row", "row"):
         raise ValueError("source_id must be 'file_row' or 'row'")
-    parts = []
-    for paths in _csv_files(spark, folder).values():
-        raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("ignoreCorruptFiles", True).csv(paths)
-        got = {c.strip().lstrip("\ufeff"): c for c in raw.columns}
-        shown = [(F.col(f"`{got[c]}`") if c in got else F.lit(None)).cast("string").alias(c) for c in CSV_COLUMNS]
-        one = raw.select(*shown, F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_modification_time").alias("time"), F.monotonically_increasing_id().alias("at"))
-        # A file with line ends in quotes is read as one split, so ids within it follow its rows.
-        parts.append(one.withColumn("row", F.row_number().over(W.partitionBy("file").orderBy("at"))))
-    if not parts:
-        return spark.createDataFrame([], ", ".join(f"{c} string" for c in (*CSV_COLUMNS, "file")) + ", row int, source string, procured_at string")
-    rows = functools.reduce(DataFrame.unionByName, parts)
+    rows, skipped = csv_scan.scan_csv(spark, folder, CSV_COLUMNS)
     label = F.concat(F.lit("csv_"), F.col("row")) if source_id == "row" else F.concat(F.lit("csv_"), F.col("file"), F.lit("_"), F.col("row"))
     rows = rows.select(*CSV_COLUMNS, "file", "row", label.alias("source"), iso_seconds(F.col("time")).alias("procured_at"))
     if source_id == "row":
-        rows = rows.withColumn("last", F.row_number().over(W.partitionBy("source").orderBy(F.desc("file")))).where("last = 1").drop("last")
-    return rows
+        last = F.max_by(F.struct(*rows.columns), F.col("file")).alias("r")
+        rows = rows.groupBy("source").agg(last).select("r.*")
+    return Scan(rows, skipped)
+
+
+def read_csv(spark: SparkSession, folder: str, source_id: str = "file_row") -> DataFrame:
+    """The rows of ``scan_csv``."""
+    return scan_csv(spark, folder, source_id).rows
 
 
 def csv_skills() -> Column:
@@ -135,12 +119,45 @@ def csv_records(rows: DataFrame, skills: dict[str, str] | None = None) -> DataFr
     )
 
 
-def read_resumes(spark: SparkSession, folder: str) -> DataFrame:
-    """Extracted resumes, one JSON document for each file; broken documents are left out."""
+def _documents(spark: SparkSession, folder: str, kind: T.StructType) -> Scan:
+    """A folder's JSON documents, one for each file, with ``file``; those that are broken, no objects, or can't be read are skipped. Spark passes empty files over, so these aren't listed."""
     broken = "_broken"
-    kind = T.StructType([*schema.RAW_RESUME, T.StructField(broken, T.StringType())])
-    raw = spark.read.option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", broken).option("pathGlobFilter", "*.json").schema(kind).json(folder)
-    return raw.where(F.col(broken).isNull()).drop(broken)
+    whole = T.StructType([*kind, T.StructField(broken, T.StringType())])
+    read = spark.read.option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", broken).option("pathGlobFilter", JSON_NAMES).option("ignoreCorruptFiles", True)
+    found = read.schema(whole).json(folder).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"))
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", JSON_NAMES).load(folder).select(F.col("_metadata.file_path").alias("file"), "length")
+    some = F.coalesce(*[F.when(F.col(c).isNotNull(), True) for c in kind.names])
+    reason = F.when(some, "a JSON document with values of other types").otherwise("not a JSON document")
+    bad = found.where(F.col(broken).isNotNull()).select(F.col("path").alias("file"), reason.alias("reason")).distinct()
+    read_from = found.select(F.col("path").alias("file"), F.lit(True).alias("read")).distinct()
+    unread = listed.join(read_from, "file", "left").where("length = 0 OR read IS NULL").select("file", F.lit("holds no document").alias("reason"))
+    return Scan(found.where(F.col(broken).isNull()).drop(broken, "path"), bad.unionByName(unread))
+
+
+def file_times(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, time) of a folder's files from their metadata alone: the contents are never read."""
+    listed = spark.read.format("binaryFile").load(folder)
+    return listed.groupBy(F.element_at(F.split("path", "/"), -1).alias("name")).agg(iso_seconds(F.max("modificationTime")).alias("time"))
+
+
+def scan_resumes(spark: SparkSession, folder: str, originals: str | None = None) -> Scan:
+    """Scan(rows, skipped) of extracted resumes, one JSON document for each file.
+
+    A document that doesn't say which file it was extracted from (``source_file``) is named
+    by its own. ``originals`` is the folder of these files: where it has one of that name, its
+    time is the resume's, whatever the document says.
+    """
+    rows, skipped = _documents(spark, folder, schema.RAW_RESUME)
+    rows = rows.withColumn("source_file", F.coalesce("source_file", "file")).drop("file")
+    if originals:
+        times = broadcast_if_small(file_times(spark, originals)).withColumnRenamed("name", "source_file")
+        rows = rows.join(times, "source_file", "left").withColumn("procured_at", F.coalesce("time", "procured_at")).drop("time").select(*schema.RAW_RESUME.names)
+    return Scan(rows, skipped)
+
+
+def read_resumes(spark: SparkSession, folder: str, originals: str | None = None) -> DataFrame:
+    """The rows of ``scan_resumes``."""
+    return scan_resumes(spark, folder, originals).rows
 
 
 def resume_records(spark: SparkSession, raw: DataFrame, skills: dict[str, str] | None = None) -> DataFrame:
@@ -197,13 +214,15 @@ def anchored_links(items: DataFrame, annotations: DataFrame) -> DataFrame:
     return met.agg(F.trim(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(inside, F.struct(-F.col("y"), "x", "str")))), lambda v: v["str"]), "")).alias("anchor")).drop("link")
 
 
+def scan_records(spark: SparkSession, folder: str) -> Scan:
+    """Scan(rows, skipped) of parsed records, one JSON document for each file, with ``file``; documents without a source are left out."""
+    rows, skipped = _documents(spark, folder, schema.RECORD)
+    return Scan(rows.where(F.col("source").isNotNull()).select(*record(**{f.name: F.col(f.name) for f in schema.RECORD}), "file"), skipped)
+
+
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Parsed records, one JSON document for each file, by file name; broken documents and those that are no objects are left out."""
-    broken = "_broken"
-    kind = T.StructType([*schema.RECORD, T.StructField(broken, T.StringType())])
-    raw = spark.read.option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", broken).option("pathGlobFilter", "*.json").schema(kind).json(folder)
-    kept = raw.select("*", F.col("_metadata.file_name").alias("file")).where(F.col(broken).isNull() & F.col("source").isNotNull()).drop(broken)
-    return kept.select(*record(**{f.name: F.col(f.name) for f in schema.RECORD}), "file")
+    """The rows of ``scan_records``."""
+    return scan_records(spark, folder).rows
 
 
 def read_profiles(spark: SparkSession, path: str) -> DataFrame:

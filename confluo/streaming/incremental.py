@@ -76,5 +76,5 @@ def follow(store: IdentityStore, stream: DataFrame, checkpoint: str, **trigger)
 
 
 def record_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """A stream of parsed-record Parquet files; rid is the source's hash, as a source names a record."""
-    return spark.readStream.schema(schema.RECORD).parquet(folder).withColumn("rid", F.xxhash64("source"))
+    """A stream of parsed-record Parquet files; rid is the source, which names a record."""
+    return spark.readStream.schema(schema.RECORD).parquet(folder).withColumn("rid", F.col("source"))
