@@ -1,9 +1,8 @@
 """Fusion of an identity's records into one profile.
 
-Every field is an aggregate over candidate_id. Scalars are min_by or max_by over a composite
-key, all in one grouping with partial aggregation; lists are grouped by value first and
-collected in the order of their first record. All branches group by candidate_id, so their
-joins need no further exchange.
+Records become one relation of entries, of all fields alike. Equal values of a candidate
+are folded first (the smallest of composite keys wins a slot), then a candidate's values are
+collected in the order of their first record: two exchanges in all, and no join.
 """
 
 from __future__ import annotations
@@ -37,18 +36,6 @@ def descending(c: Column) -> Column:
     return F.concat(F.translate(F.hex(F.coalesce(c, F.lit(""))), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
 
 
-def best_first(value: Column, kind: str = "string", text: Column | None = None, at: Column | None = None, order: tuple[str, ...] = ORDER) -> Column:
-    """The key whose smallest value is the better candidate: later, then larger, then first by its text, then first in record order."""
-    seen = F.col("procured_at") if at is None else at
-    return F.struct(descending(seen).alias("at"), (-size_of(value, kind)).alias("size"), (value.cast("string") if text is None else text).alias("text"), *order)
-
-
-def winner(value: Column, kind: str = "string") -> Column:
-    """An aggregate: {value, source, method} of the best record that has the value."""
-    given = present(value, kind)
-    return F.min_by(F.struct(value.alias("value"), "source", "method"), F.when(given, best_first(value, kind)))
-
-
 def agreement(n: Column, distinct: Column) -> Column:
     """The share of repeats among n values; 1 for none given, a fixed value where all differ."""
     return F.when(n == 0, 1.0).when(distinct < n, (n - distinct) / n).otherwise(NO_AGREEMENT)
@@ -58,105 +45,223 @@ def leaves(location: Column) -> Column:
     return sum((F.when(present(location[k]), 1).otherwise(0) for k in ("city", "region", "country")), F.lit(0))
 
 
+def list_text(values: Column) -> Column:
+    """An array of strings as the text that orders it: quoted, comma-separated, in brackets."""
+    return F.concat(F.lit("["), F.array_join(F.transform(values, lambda v: F.concat(F.lit("'"), v, F.lit("'"))), ", "), F.lit("]"))
+
+
+class _Entries:
+    """Builds the entries of records: (kind, k1, k2, pos, w1, w2, w3, flag, y, said), all of one type.
+
+    Entries of a candidate that agree in kind, k1 and k2 are one value. pos is the place in
+    a list of the record; w1 to w3 hold a key and what the smallest key wins; y is a year,
+    of which the least and the greatest count; said is collected in the order of records.
+    """
+
+    def __init__(self, members: DataFrame):
+        rid = members.schema["rid"].dataType.simpleString()
+        key = f"struct<at:string,num:double,text:string,source:string,rid:{rid},pos:int>"
+        place = "struct<city:string,region:string,country:string>"
+        self.types = {
+            "k1": "string", "k2": "string", "pos": "int", "w1": f"struct<key:{key},v:struct<value:string,number:double,place:{place},source:string,method:string>>", "w2": f"struct<key:{key},v:string>",
+            "w3": f"struct<key:{key},v:string,list:array<string>,year:int>", "flag": "boolean", "y": "int", "said": "array<string>",
+        }
+        self.none = F.array().cast("array<struct<kind:string," + ",".join(f"{k}:{v}" for k, v in self.types.items()) + ">>")
+
+    def one(self, kind: str, **given: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), *[given.get(k, F.lit(None)).cast(t).alias(k) for k, t in self.types.items()])
+
+    def each(self, kind: str, values: Column, make) -> Column:
+        """An entry for each element of a list."""
+        return F.coalesce(F.transform(values, lambda x, i: self.one(kind, pos=i, **make(x, i))), self.none)
+
+    @staticmethod
+    def key(at: Column | None = None, num: Column | None = None, text: Column | None = None, pos: Column | None = None) -> Column:
+        kinds = ((at, "at", "string"), (num, "num", "double"), (text, "text", "string"))
+        return F.struct(*[(F.lit(None) if c is None else c).cast(t).alias(n) for c, n, t in kinds], *ORDER, (F.lit(None) if pos is None else pos).cast("int").alias("pos"))
+
+    def best(self, value: Column, kind: str = "string", text: Column | None = None, pos: Column | None = None) -> Column:
+        """The key whose smallest is the better value: later, then larger, then first by its text, then first in record order."""
+        return self.key(descending(F.col("procured_at")), -size_of(value, kind), value.cast("string") if text is None else text, pos)
+
+    def won(self, given: Column, key: Column, value: Column | None = None, number: Column | None = None, place: Column | None = None) -> Column:
+        no = F.lit(None)
+        v = F.struct(*[(no if c is None else c).cast(t).alias(n) for c, n, t in ((value, "value", "string"), (number, "number", "double"), (place, "place", "struct<city:string,region:string,country:string>"))], "source", "method")
+        return F.when(given, F.struct(key.alias("key"), v.alias("v")))
+
+    def scalars(self) -> Column:
+        name, loc, years = F.col("full_name"), F.col("location"), F.col("years_experience")
+        plain = {"headline": F.col("headline"), **{k: F.col("links")[k] for k in ("linkedin", "github", "portfolio")}}
+        n_leaves = leaves(loc)
+        found = F.array(
+            self.one("full_name", k1=alnum(name), w1=self.won(present(name), self.best(name), name)),
+            *[self.one(k, w1=self.won(present(v), self.best(v), v)) for k, v in plain.items()],
+            self.one("location", w1=self.won(n_leaves > 0, self.key(descending(F.col("procured_at")), -n_leaves), place=F.struct(*[loc[k].alias(k) for k in ("city", "region", "country")]))),
+            self.one("years", w1=self.won(years.isNotNull(), self.key(num=-years), number=years)),
+        )
+        return F.concat(F.array(self.one("record")), F.filter(found, lambda x: x["w1"].isNotNull()))
+
+    def values(self, kind: str, values: Column) -> Column:
+        return F.filter(self.each(kind, values, lambda v, i: {"k1": v}), lambda x: present(x["k1"]))
+
+    def skills(self) -> Column:
+        return self.each("skills", F.col("skills"), lambda x, i: {"k1": x["name"], "said": F.coalesce(x["sources"], F.array().cast("array<string>"))})
+
+    def experience(self) -> Column:
+        def make(x: Column, i: Column) -> dict[str, Column]:
+            start, end, summary = x["start"], x["end"], x["summary"]
+            longest = self.key(num=-F.length(summary), pos=i)
+            return {
+                "k1": x["company"], "k2": x["title"], "flag": ~present(end), "y": year_of(start), "w1": self.won(present(start), self.key(text=start), start),
+                "w2": F.when(present(end), F.struct(self.key(text=descending(end)).alias("key"), end.alias("v"))), "w3": self.third(present(summary), longest, summary),
+            }
+
+        return self.each("experience", F.col("experience"), make)
+
+    @staticmethod
+    def third(given: Column, key: Column, value: Column | None = None, values: Column | None = None, year: Column | None = None) -> Column:
+        no = F.lit(None)
+        return F.when(given, F.struct(key.alias("key"), *[(no if c is None else c).cast(t).alias(n) for c, n, t in ((value, "v", "string"), (values, "list", "array<string>"), (year, "year", "int"))]))
+
+    def education(self) -> Column:
+        def make(x: Column, i: Column) -> dict[str, Column]:
+            degree, field, year = x["degree"], x["field"], x["end_year"]
+            return {
+                "k1": x["institution"], "k2": normalize_degree(degree), "y": year, "w1": self.won(present(degree), self.key(num=-F.length(degree), pos=i), degree),
+                "w2": F.when(present(field), F.struct(self.key(num=-F.length(field), pos=i).alias("key"), field.alias("v"))), "w3": self.third(year.isNotNull(), self.key(descending(F.col("procured_at")), pos=i), year=year),
+            }
+
+        return self.each("education", F.col("education"), make)
+
+    def projects(self) -> Column:
+        def make(x: Column, i: Column) -> dict[str, Column]:
+            title, said, tools = x["title"], x["description"], x["tech_stack"]
+            return {
+                "k1": normalize_title(title), "w1": self.won(F.lit(True), self.key(pos=i), title), "w2": F.when(present(said), F.struct(self.best(said, pos=i).alias("key"), said.alias("v"))),
+                "w3": self.third(present(tools, "array"), self.best(tools, "array", list_text(tools), i), values=tools),
+            }
+
+        return self.each("projects", F.col("projects"), make)
+
+
+def _folded(members: DataFrame, *entries: Column) -> DataFrame:
+    """(candidate_id, all): the values of each candidate in the order first met.
+
+    Every field is in one relation of entries. Equal values of a candidate are folded within
+    tasks, then across them, so what is sent for a candidate of many records is its distinct
+    values; a second exchange brings these together.
+    """
+    each = members.select("candidate_id", *ORDER, F.explode(F.concat(*entries)).alias("x")).select("candidate_id", *ORDER, "x.*")
+    said = F.collect_list(F.when(F.col("said").isNotNull(), F.struct(*ORDER, "pos", "said")))
+    values = each.groupBy("candidate_id", "kind", "k1", "k2").agg(
+        F.min(F.struct(*ORDER, "pos")).alias("first"), F.count(F.lit(1)).alias("n"), *[F.min(w).alias(w) for w in ("w1", "w2", "w3")], F.bool_or("flag").alias("flag"),
+        F.min("y").alias("least"), F.max("y").alias("most"), F.flatten(F.transform(F.array_sort(said), lambda v: v["said"])).alias("said"),
+    )
+    whole = F.struct("first", "kind", "k1", "k2", "n", "w1", "w2", "w3", "flag", "least", "most", "said")
+    return values.groupBy("candidate_id").agg(F.array_sort(F.collect_list(whole)).alias("all"))
+
+
+def _of(kind: str) -> Column:
+    return F.filter("all", lambda x: x["kind"] == kind)
+
+
+def _sum(values: Column, get) -> Column:
+    return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a + get(x))
+
+
+def _mean(scores: Column) -> Column:
+    """The mean as a sum from the left, so that it doesn't depend on the plan; null for none."""
+    return F.when(F.size(scores) > 0, F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) / F.size(scores))
+
+
+def _n() -> Column:
+    return F.get(_of("record"), F.lit(0))["n"]
+
+
+def _scalar_columns() -> dict[str, Column]:
+    def won(kind: str, value: str = "value") -> Column:
+        v = F.array_min(F.transform(_of(kind), lambda x: x["w1"]))["v"]
+        return F.when(v.isNotNull(), F.struct(v[value].alias("value"), v["source"].alias("source"), v["method"].alias("method")))
+
+    first = F.get(_of("record"), F.lit(0))["first"]
+    names = _sum(_of("full_name"), lambda x: x["n"])
+    place = won("location", "place")
+    return {
+        "n": _n(), "first_record": F.struct(*[first[c].alias(c) for c in ORDER]), "full_name": won("full_name"), **{k: won(k) for k in ("headline", "linkedin", "github", "portfolio")},
+        "location": place, "years": won("years", "number"), "name_score": agreement(names, F.size(_of("full_name"))),
+        "location_score": F.coalesce(leaves(place["value"]) / 3.0, F.lit(0.0)),
+    }
+
+
+def _union_columns(kind: str, normal=alnum) -> dict[str, Column]:
+    values = F.transform(_of(kind), lambda x: x["k1"])
+    return {kind: values, f"{kind}_score": agreement(_sum(_of(kind), lambda x: x["n"]), F.size(F.array_distinct(F.transform(values, normal))))}
+
+
+def _disagree(x: Column) -> Column:
+    return F.when(x["least"] != x["most"], MISMATCH).otherwise(1.0)
+
+
+def _skill_columns() -> dict[str, Column]:
+    rate = lambda x: F.size(x["said"]) / _n()
+    return {"skills": F.transform(_of("skills"), lambda x: F.struct(x["k1"].alias("name"), x["said"].alias("sources"), rate(x).alias("confidence"))), "skills_score": _mean(F.transform(_of("skills"), rate))}
+
+
+def _experience_columns() -> dict[str, Column]:
+    def entry(x: Column) -> Column:
+        end = F.when(~x["flag"], x["w2"]["v"])
+        return F.struct(x["k1"].alias("company"), x["k2"].alias("title"), x["w1"]["v"]["value"].alias("start"), end.alias("end"), x["w3"]["v"].alias("summary"))
+
+    return {"experience": F.transform(_of("experience"), entry), "experience_score": _mean(F.transform(_of("experience"), _disagree))}
+
+
+def _education_columns() -> dict[str, Column]:
+    def entry(x: Column) -> Column:
+        return F.struct(x["k1"].alias("institution"), x["w1"]["v"]["value"].alias("degree"), x["w2"]["v"].alias("field"), x["w3"]["year"].alias("end_year"))
+
+    return {"education": F.transform(_of("education"), entry), "education_score": _mean(F.transform(_of("education"), _disagree))}
+
+
+def _project_columns() -> dict[str, Column]:
+    def entry(x: Column) -> Column:
+        return F.struct(x["w1"]["v"]["value"].alias("title"), x["w2"]["v"].alias("description"), F.coalesce(x["w3"]["list"], F.array().cast("array<string>")).alias("tech_stack"))
+
+    return {"projects": F.transform(_of("projects"), entry)}
+
+
+def _told(found: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    return found.select("candidate_id", *[c.alias(n) for n, c in columns.items()])
+
+
 def scalars(members: DataFrame) -> DataFrame:
-    """One row for each candidate: counts, winners of single values, and their confidences."""
-    name, loc, years = F.col("full_name"), F.col("location"), F.col("years_experience")
-    link = lambda k: F.col("links")[k]
-    n_leaves = leaves(loc)
-    found = members.groupBy("candidate_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.struct(*ORDER)).alias("first_record"),
-        winner(name).alias("full_name"),
-        F.count(F.when(present(name), 1)).alias("names"),
-        F.count_distinct(F.when(present(name), alnum(name))).alias("distinct_names"),
-        winner(F.col("headline")).alias("headline"),
-        winner(link("linkedin")).alias("linkedin"),
-        winner(link("github")).alias("github"),
-        winner(link("portfolio")).alias("portfolio"),
-        F.min_by(F.struct(loc.alias("value"), "source", "method"), F.when(n_leaves > 0, F.struct(descending(F.col("procured_at")), -n_leaves, *ORDER))).alias("location"),
-        F.min_by(F.struct(years.alias("value"), "source", "method"), F.when(years.isNotNull(), F.struct(-years, *ORDER))).alias("years"),
-    )
-    score = agreement(F.col("names"), F.col("distinct_names"))
-    return found.withColumn("name_score", score).withColumn("location_score", F.coalesce(leaves(F.col("location.value")) / 3.0, F.lit(0.0)))
+    """One row for each candidate: the number of records, the first one, winners of single values, and their confidences."""
+    return _told(_folded(members, _Entries(members).scalars()), _scalar_columns())
 
 
 def union(members: DataFrame, values: Column, into: str, normal=alnum) -> DataFrame:
     """(candidate_id, into, into_score): distinct values in the order first met, and their agreement over all mentions."""
-    each = members.select("candidate_id", *ORDER, F.posexplode(values).alias("pos", "v")).where(present(F.col("v")))
-    by_value = each.groupBy("candidate_id", "v").agg(F.min(F.struct(*ORDER, "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
-    rows = by_value.groupBy("candidate_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("first", "v"))), lambda x: x["v"]).alias(into), F.sum("n").alias("n"), F.count_distinct(normal(F.col("v"))).alias("d")
-    )
-    return rows.select("candidate_id", into, agreement(F.col("n"), F.col("d")).alias(f"{into}_score"))
+    return _told(_folded(members, _Entries(members).values(into, values)), _union_columns(into, normal))
 
 
-def _entries(groups: DataFrame, entry: Column, into: str, score: Column) -> DataFrame:
-    """Groups of a candidate as an array in the order first met, with their mean score."""
-    rows = groups.groupBy("candidate_id").agg(F.array_sort(F.collect_list(F.struct("first", entry.alias("e"), score.alias("s")))).alias("all"))
-    # The mean is a sum from the left, so that it doesn't depend on the plan.
-    mean = F.aggregate("all", F.lit(0.0), lambda a, x: a + x["s"]) / F.size("all")
-    return rows.select("candidate_id", F.transform("all", lambda x: x["e"]).alias(into), mean.alias(f"{into}_score"))
-
-
-def skills(members: DataFrame, sizes: DataFrame) -> DataFrame:
+def skills(members: DataFrame) -> DataFrame:
     """Skills by name, with the sources of all mentions in record order; confidence: sources over records."""
-    each = members.select("candidate_id", *ORDER, F.posexplode("skills").alias("pos", "x"))
-    place = F.struct(*ORDER, "pos")
-    grouped = each.groupBy("candidate_id", F.col("x.name").alias("name")).agg(F.min(place).alias("first"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(place.alias("p"), F.coalesce("x.sources", F.array().cast("array<string>")).alias("s")))), lambda v: v["s"])).alias("sources"))
-    grouped = grouped.join(sizes, "candidate_id").withColumn("confidence", F.size("sources") / F.col("n"))
-    return _entries(grouped, F.struct("name", "sources", "confidence"), "skills", F.col("confidence"))
+    e = _Entries(members)
+    return _told(_folded(members, F.array(e.one("record")), e.skills()), _skill_columns()).where(F.size("skills") > 0)
 
 
 def experience(members: DataFrame) -> DataFrame:
     """Positions by company and title: earliest start; no end if one mention has none, else the latest; longest summary."""
-    x = lambda k: F.col("x")[k]
-    each = members.select("candidate_id", *ORDER, F.posexplode("experience").alias("pos", "x"))
-    place = F.struct(*ORDER, "pos")
-    given = lambda k: F.when(present(x(k)), x(k))
-    groups = each.groupBy("candidate_id", x("company").alias("company"), x("title").alias("title")).agg(
-        F.min(place).alias("first"),
-        F.min(given("start")).alias("start"),
-        F.when(F.bool_or(~present(x("end"))), None).otherwise(F.max(given("end"))).alias("end"),
-        F.min_by(x("summary"), F.when(present(x("summary")), F.struct(-F.length(x("summary")), place))).alias("summary"),
-        F.count_distinct(year_of(x("start"))).alias("years"),
-    )
-    return _entries(groups, F.struct("company", "title", "start", "end", "summary"), "experience", F.when(F.col("years") > 1, MISMATCH).otherwise(1.0))
+    return _told(_folded(members, _Entries(members).experience()), _experience_columns())
 
 
 def education(members: DataFrame) -> DataFrame:
     """Schools by institution and degree (letters and digits alone): longest degree and field, the end year of the latest record."""
-    x = lambda k: F.col("x")[k]
-    each = members.select("candidate_id", "procured_at", *ORDER, F.posexplode("education").alias("pos", "x"))
-    place = F.struct(*ORDER, "pos")
-    longest = lambda k: F.min_by(x(k), F.when(present(x(k)), F.struct(-F.length(x(k)), place))).alias(k)
-    groups = each.groupBy("candidate_id", x("institution").alias("institution"), normalize_degree(x("degree")).alias("norm")).agg(
-        F.min(place).alias("first"),
-        longest("degree"),
-        longest("field"),
-        F.min_by(x("end_year"), F.when(x("end_year").isNotNull(), F.struct(descending(F.col("procured_at")), place))).alias("end_year"),
-        F.count_distinct(x("end_year")).alias("years"),
-    )
-    return _entries(groups, F.struct("institution", "degree", "field", "end_year"), "education", F.when(F.col("years") > 1, MISMATCH).otherwise(1.0))
-
-
-def list_text(values: Column) -> Column:
-    """An array of strings as the text that orders it: quoted, comma-separated, in brackets."""
-    return F.concat(F.lit("["), F.array_join(F.transform(values, lambda v: F.concat(F.lit("'"), v, F.lit("'"))), ", "), F.lit("]"))
+    return _told(_folded(members, _Entries(members).education()), _education_columns())
 
 
 def projects(members: DataFrame) -> DataFrame:
     """Projects by title (case and spacing aside): first title, best description and best tools."""
-    x = lambda k: F.col("x")[k]
-    each = members.select("candidate_id", "procured_at", *ORDER, F.posexplode("projects").alias("pos", "x"))
-    order = (*ORDER, "pos")
-    groups = each.groupBy("candidate_id", normalize_title(x("title")).alias("norm")).agg(
-        F.min(F.struct(*order)).alias("first"),
-        F.min_by(x("title"), F.struct(*order)).alias("title"),
-        F.min_by(x("description"), F.when(present(x("description")), best_first(x("description"), order=order))).alias("description"),
-        F.min_by(x("tech_stack"), F.when(present(x("tech_stack"), "array"), best_first(x("tech_stack"), "array", list_text(x("tech_stack")), order=order))).alias("tech_stack"),
-    )
-    tools = F.coalesce("tech_stack", F.array().cast("array<string>"))
-    return _entries(groups, F.struct("title", "description", tools.alias("tech_stack")), "projects", F.lit(1.0))
+    return _told(_folded(members, _Entries(members).projects()), _project_columns())
 
 
 def overall_confidence() -> Column:
@@ -205,19 +310,10 @@ def fuse(members: DataFrame) -> DataFrame:
 
     Arrays that are null count as empty. A candidate's order of records is by source, then rid.
     """
-    one = scalars(members)
-    branches = [
-        union(members, F.col("emails"), "emails"),
-        union(members, F.col("phones"), "phones", strip),
-        union(members, F.col("links.other"), "links_other").drop("links_other_score"),
-        skills(members, one.select("candidate_id", "n")),
-        experience(members),
-        education(members),
-        projects(members),
-    ]
-    joined = reduce(lambda a, b: a.join(b, "candidate_id", "left"), branches, one)
-    empty = {c: F.coalesce(c, F.array().cast(joined.schema[c].dataType)) for c in ("emails", "phones", "links_other", "skills", "experience", "education", "projects")}
-    whole = joined.withColumns(empty)
+    e = _Entries(members)
+    lists = [e.values("emails", F.col("emails")), e.values("phones", F.col("phones")), e.values("links_other", F.col("links.other")), e.skills(), e.experience(), e.education(), e.projects()]
+    columns = _scalar_columns() | _union_columns("emails") | _union_columns("phones", strip) | _union_columns("links_other") | _skill_columns() | _experience_columns() | _education_columns() | _project_columns()
+    whole = _told(_folded(members, e.scalars(), *lists), columns)
     return whole.select(
         "candidate_id",
         F.col("full_name.value").alias("full_name"),

@@ -400,8 +400,7 @@ RATED = "rated as (select component, name, string_agg(source, '|' order by sourc
 @query(VIEW + f",{SIZES}, {RATED} select component, name, sources, round(confidence, 6) as confidence, row_number() over (partition by component order by f) - 1 as n from rated")
 def skills_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = _by_component(spark, sf_dir)
-    sizes = own.groupBy("candidate_id").agg(F.count(F.lit(1)).alias("n"))
-    found = survivorship.skills(own, sizes).select(F.col("candidate_id").alias("component"), F.posexplode("skills").alias("n", "s"))
+    found = survivorship.skills(own).select(F.col("candidate_id").alias("component"), F.posexplode("skills").alias("n", "s"))
     return found.select("component", "s.name", F.array_join("s.sources", "|").alias("sources"), F.round("s.confidence", 6).alias("confidence"), F.col("n").cast("long").alias("n"))
 
 

@@ -241,3 +241,22 @@ def test_order_and_partitions_do_not_matter(spark):
     for r in identity.identity_components(own).collect():
         counts[r["component"]] += 1
     assert sum(counts.values()) == 12
+
+
+def test_two_exchanges(spark):
+    """However many fields there are, a candidate's values are brought together twice, and joined with nothing."""
+    own = rows(spark, *[{"full_name": f"N{k}", "emails": [f"e{k}@x.co"], "skills": [("a", [f"csv_{k}"])]} for k in range(9)])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = fuse(own)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Exchange") == 2 and "Join" not in plan
+
+
+def test_a_large_identity(spark):
+    """Many records of one candidate are folded within tasks: what meets is its distinct values, and the sources of its skill."""
+    n = 200_000
+    many = spark.range(n).select(*record(source=F.format_string("csv_%07d", "id"), method=F.lit("m"), procured_at=F.lit(OLD), full_name=F.lit("Ada"), emails=F.array(F.concat((F.col("id") % 3).cast("string"), F.lit("@x.co"))), skills=F.array(F.struct(F.lit("Go").alias("name"), F.array(F.format_string("csv_%07d", "id")).alias("sources")))))
+    got = fuse(many.withColumn("rid", F.col("source")).withColumn("candidate_id", F.lit("c"))).select("total_source_points", "emails", F.size(F.col("skills")[0]["sources"]).alias("sources"), F.col("skills")[0]["sources"][n - 1].alias("last"), "skills.confidence").collect()
+    assert [tuple(r) for r in got] == [(n, ["0@x.co", "1@x.co", "2@x.co"], n, f"csv_{n - 1:07d}", [1.0])]
