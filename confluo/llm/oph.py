@@ -17,7 +17,7 @@ from ..operators.components import connected_components
 from ..plans.shared import discard, settle
 from ..plans.sizing import broadcast_if_small
 from .minhash import joins
-from .simhash import SEED, shingle_hashes
+from .simhash import SEED, fingerprint, shingle_hashes
 
 #: 24 bands of four values: a pair of similarity 0.8 meets in none with probability 3e-6.
 BANDS, ROWS = 24, 4
@@ -339,7 +339,7 @@ def _classes(own: DataFrame, sketched: DataFrame, size: int, percent: int) -> Da
         still = settle(_apart(parts.name(large.drop("part")), "band").select("key", "n", "part").distinct(), "still")
         if still.limit(1).count():
             parts.join(_rest(still, sets, percent))
-    discard(met, left)
+    discard(met, left, sets)
     return parts.table
 
 
@@ -377,6 +377,30 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, id_col: s
     return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        marks = np.array([fingerprint(shingle_hashes(t.as_py())) for t in b.column("text")], np.uint64)
+        yield pa.RecordBatch.from_arrays([b.column("h"), pa.array(marks.view(np.int64))], ["h", "mark"])
+
+
+def similar(docs: DataFrame, percent: int = 80, size: int = 5, text_col: str = "text") -> DataFrame:
+    """(a, b): fingerprints (see ``simhash``) that join the texts which ``near_duplicates`` would, for shingles of ``size`` words.
+
+    The links of a class are a star. Texts without a word have no link, null ones neither. An empty table gives no rows.
+    """
+    own = docs.select(F.xxhash64(F.col(f"`{text_col}`")).alias("h"), F.col(f"`{text_col}`").alias("text"))
+    sketched = settle(own.select(F.lit(None).cast("long").alias("doc_id"), "h", "text").mapInArrow(_sketch(size), "doc_id long, h long, key binary, n long, bands array<long>"), "sketches")
+    parts = _classes(own, sketched, size, percent)
+    texts = sketched.where(F.col("key").isNotNull()).groupBy("h").agg(F.first("key").alias("key")).join(parts, "key", "left").select("h", F.coalesce("part", "key").alias("part"))
+    ends = texts.groupBy("part").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select(F.struct("part").alias("k"))
+    joined = settle(texts.withColumn("k", F.struct("part")).join(ends, "k", "left_semi").drop("k"), "joined")
+    discard(sketched)
+    marked = own.join(broadcast_if_small(joined.select("h")), "h", "left_semi").mapInArrow(_marks, "h long, mark long").dropDuplicates(["h"])
+    named = settle(marked.join(joined, "h").select("mark", "part").distinct(), "marks")
+    least = named.groupBy("part").agg(F.min("mark").alias("b")).select(F.struct("part").alias("k"), "b")
+    return named.withColumn("k", F.struct("part")).join(least, "k").where("mark <> b").select(F.col("mark").alias("a"), "b").distinct()
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
