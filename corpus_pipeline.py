@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from confluo.llm import decontaminate, linededup, minhash, quality, sentencepiece, simhash
+from confluo.llm import decontaminate, linededup, oph, quality, sentencepiece, simhash
 from confluo.plans.shared import columns_but, settle
 from confluo.plans.ship import ship
 
@@ -39,7 +39,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stay; rows equal in id and text are one document and come out alike.
     """
     removed = columns_but(docs)
-    classes = settle(simhash.text_classes(docs, links=minhash.similar(docs)), "classes")
+    classes = settle(simhash.text_classes(docs, links=oph.similar(docs)), "classes")
     done = linededup.dedup_lines(docs, removed=removed, classes=classes)
     left = done.where((F.size(removed) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     cut = F.size(removed) > 0
@@ -52,7 +52,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Linked are texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or
     more, and those whose SimHash is within 2 bits. Null and empty texts are one group.
     """
-    return simhash.drop_near_duplicates(docs, links=minhash.similar(docs))
+    return simhash.drop_near_duplicates(docs, links=oph.similar(docs))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
