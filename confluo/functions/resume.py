@@ -166,57 +166,27 @@ def heading_key(line: Column) -> Column:
 
 
 def segment_sections(lines: Column) -> Column:
-    """Lines by the heading above them (``HEADER`` before the first, always there); a repeated heading's lines are appended."""
+    """Lines by the heading above them (``HEADER`` before the first, always there); a repeated heading's lines are appended.
+
+    Each section is a slice between two headings, so lines are read once.
+    """
 
     def of(a: Column) -> Column:
         heads = F.filter(F.transform(a, lambda x, i: F.when(is_heading(x), i)), lambda i: i.isNotNull())
 
-        def keyed(hs: Column) -> Column:
-            def key(x: Column, i: Column) -> Column:
-                above = F.array_max(F.filter(hs, lambda h: h <= i))
-                return F.struct(F.coalesce(heading_key(F.get(a, above)), F.lit("HEADER")).alias("key"), F.when(~is_heading(x), x).alias("line"))
+        def cut(hs: Column) -> Column:
+            def piece(h: Column, k: Column) -> Column:
+                below = F.coalesce(F.get(hs, k), F.size(a))
+                key = F.when(h < 0, "HEADER").otherwise(heading_key(F.get(a, h)))
+                return F.struct(key.alias("key"), F.slice(a, h + 2, below - h - 1).alias("lines"))
 
-            return F.transform(a, key)
+            return F.transform(F.concat(F.array(F.lit(-1)), hs), piece)
 
-        def as_map(rows: Column) -> Column:
-            keys = F.array_distinct(F.concat(F.array(F.lit("HEADER")), F.transform(rows, lambda r: r["key"])))
-            own = lambda k: F.transform(F.filter(rows, lambda r: (r["key"] == k) & r["line"].isNotNull()), lambda r: r["line"])
+        def as_map(pieces: Column) -> Column:
+            keys = F.array_distinct(F.transform(pieces, lambda p: p["key"]))
+            own = lambda k: F.flatten(F.transform(F.filter(pieces, lambda p: p["key"] == k), lambda p: p["lines"]))
             return F.map_from_arrays(keys, F.transform(keys, own))
 
-        return F.transform(F.transform(F.array(heads), keyed), as_map)[0]
+        return F.transform(F.transform(F.array(heads), cut), as_map)[0]
 
     return F.transform(F.array(F.coalesce(lines, _none())), of)[0]
-
-
-def group_lines(items: Column, tolerance: float = 4.0, gap: float = 1.2, by_page: bool = True) -> Column:
-    """Visual lines of positioned items (page, x, y, w, str), top to bottom.
-
-    A line takes items whose y is within ``tolerance`` of its first item's; a space goes
-    between items further apart than ``gap`` unless one of them has it. ``by_page`` keeps
-    pages apart; without it they interleave by height.
-    """
-    page = (lambda x: x["page"]) if by_page else (lambda x: F.lit(0))
-    keyed = F.sort_array(F.transform(items, lambda x, i: F.struct(page(x).alias("page"), (-x["y"]).alias("down"), x["x"].alias("x"), i.alias("i"), x["w"].alias("w"), x["str"].alias("str"))))
-    item = "struct<page:int,down:double,x:double,i:int,w:double,str:string>"
-    start = F.struct(F.array().cast(f"array<array<{item}>>").alias("lines"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("double").alias("down"))
-
-    def place(acc: Column, x: Column) -> Column:
-        n = F.size(acc["lines"])
-        same = (n > 0) & (x["page"] == acc["page"]) & (F.abs(x["down"] - acc["down"]) <= tolerance)
-        grown = F.concat(F.slice(acc["lines"], F.lit(1), F.greatest(n - 1, F.lit(0))), F.array(F.concat(F.try_element_at(acc["lines"], F.lit(-1)), F.array(x))))
-        more = F.struct(grown.alias("lines"), acc["page"].alias("page"), acc["down"].alias("down"))
-        new = F.struct(F.concat(acc["lines"], F.array(F.array(x))).alias("lines"), x["page"].alias("page"), x["down"].alias("down"))
-        return F.when(F.coalesce(same, F.lit(False)), more).otherwise(new)
-
-    def join(line: Column) -> Column:
-        ordered = F.sort_array(F.transform(line, lambda x: F.struct(x["x"].alias("x"), x["down"].alias("down"), x["i"].alias("i"), x["w"].alias("w"), x["str"].alias("str"))))
-
-        def add(acc: Column, x: Column) -> Column:
-            space = (x["x"] - acc["end"] > gap) & ~acc["text"].endswith(" ") & ~x["str"].startswith(" ")
-            return F.struct(F.concat(acc["text"], F.when(F.coalesce(space, F.lit(False)), " ").otherwise(""), x["str"]).alias("text"), (x["x"] + x["w"]).alias("end"))
-
-        empty = F.struct(F.lit("").alias("text"), F.lit(None).cast("double").alias("end"))
-        return collapse(F.aggregate(ordered, empty, add, lambda acc: acc["text"]))
-
-    placed = F.aggregate(F.transform(keyed, lambda x: x.cast(item)), start, place, lambda acc: acc["lines"])
-    return F.filter(F.transform(placed, join), lambda t: t != "")

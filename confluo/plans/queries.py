@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, phones, registry, resume, text
 from ..functions.geo import country_alpha2, location_of_text
-from ..operators import identity, projection, sinks, survivorship, taxonomy
+from ..operators import identity, lines, projection, sinks, survivorship, taxonomy
 from ..sources import tables
 from .candidates import SKILLS, candidates, dialect, members, norm_map, raw_candidates
 from .shared import new_path, settle
@@ -249,13 +249,37 @@ def project_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("rid", "n", "p.title", "p.description", F.array_join("p.tech_stack", ", ").alias("tools"))
 
 
-@query()
-def line_group_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+LINES = """with recursive i as (
+  select user_id, -value as down, (event_id % 97)::double as x, event_type as str, row_number() over (partition by user_id order by -value, event_id % 97, event_type) as k from events
+), a as (
+  select user_id, k, down from i where k = 1
+  union all select user_id, min(k), arg_min(d, k) from (select i.user_id, i.k, i.down as d from a join i on i.user_id = a.user_id and i.k > a.k and i.down - a.down > 4.0) group by user_id
+), l as (
+  select user_id, k, lead(k) over (partition by user_id order by k) as stop, row_number() over (partition by user_id order by k) - 1 as n from a
+), t as (
+  select l.user_id, n, x, down, str, x - lag(x) over (partition by l.user_id, n order by x, down, str) - 5.0 as gap from l join i on i.user_id = l.user_id and i.k >= l.k and (stop is null or i.k < stop)
+) select user_id, n::int as n, string_agg(case when gap > 1.2 then ' ' else '' end || str, '' order by x, down, str) as line from t group by 1, 2"""
+
+
+def _positioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as positioned text: a document for each user, height by value, place by event."""
-    e = table(spark, sf_dir, "events")
-    item = F.struct(F.lit(1).alias("page"), (F.col("event_id") % 97).cast("double").alias("x"), F.col("value").cast("double").alias("y"), F.lit(5.0).alias("w"), F.col("event_type").alias("str"))
-    own = e.groupBy("user_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    return own.select("user_id", F.posexplode(resume.group_lines(F.col("items"))).alias("n", "line"))
+    return table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("doc"), F.lit(1).alias("page"), (F.col("event_id") % 97).cast("double").alias("x"), F.col("value").cast("double").alias("y"), F.lit(5.0).alias("w"), F.lit(1.0).alias("h"), F.col("event_type").alias("str"))
+
+
+@query(LINES)
+def line_group_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visual lines of events, each user's a document."""
+    return lines.grouped_lines(_positioned(spark, sf_dir)).select(F.col("doc").alias("user_id"), "n", "line")
+
+
+@query("""with i as (select user_id, event_id, (event_id % 97)::double as x, value as y, event_type as str from events),
+a as (select user_id, 'u' || event_id as url, x - 10 as x1, x + 20 as x2, y - 3 as y1, y + 3 as y2 from i where event_id % 20 = 0)
+select a.user_id, url, coalesce(string_agg(str, '' order by -y, x, str), '') as anchor from a left join i on i.user_id = a.user_id and x + 2.5 between x1 - 1 and x2 + 1 and y + 0.5 between y1 - 1 and y2 + 1 group by 1, 2""")
+def link_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts within rectangles around every twentieth event."""
+    items = _positioned(spark, sf_dir)
+    rect = items.where("event_id % 20 = 0").select("doc", "page", F.concat(F.lit("u"), "event_id").alias("url"), (F.col("x") - 10).alias("x1"), (F.col("x") + 20).alias("x2"), (F.col("y") - 3).alias("y1"), (F.col("y") + 3).alias("y2"))
+    return lines.anchored_links(items, rect).select(F.col("doc").alias("user_id"), "url", "anchor")
 
 
 # --- taxonomy

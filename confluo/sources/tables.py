@@ -10,6 +10,7 @@ from .. import schema
 from ..functions import resume
 from ..functions.phones import normalize_phones
 from ..functions.text import as_list, filled, normalize_emails, normalize_name, strip
+from ..operators.lines import anchored_links, grouped_lines
 from ..operators.taxonomy import skills_of
 from ..plans.sizing import broadcast_if_small
 from . import csv_scan
@@ -187,11 +188,10 @@ def resume_records(spark: SparkSession, raw: DataFrame, skills: dict[str, str] |
 def resumes_of_items(items: DataFrame, annotations: DataFrame, by_page: bool = True) -> DataFrame:
     """Extracted resumes from positioned text (doc, page, str, x, y, w, h) and link rectangles (doc, page, url, x1, y1, x2, y2).
 
-    A document's items are collected, as its lines are one array: bounded by the file's size.
+    A document's lines are one array in the end: bounded by the file's size.
     """
-    place = F.struct("page", "x", "y", "w", "h", "str")
-    own = items.groupBy("doc").agg(F.array_sort(F.collect_list(place)).alias("items"))
-    lines = own.select("doc", resume.group_lines(F.col("items"), by_page=by_page).alias("lines"))
+    each = grouped_lines(items, by_page=by_page).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("n", "line"))).alias("all"))
+    lines = items.select("doc").distinct().join(each, "doc", "left").select("doc", F.coalesce(F.transform("all", lambda x: x["line"]), F.array().cast("array<string>")).alias("lines"))
     links = anchored_links(items, annotations).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("page", "y1", "x1", "url", "anchor"))).alias("links"))
     joined = lines.join(links, "doc", "left")
     none = F.array().cast("array<struct<url:string,anchor:string>>")
@@ -205,15 +205,6 @@ def resumes_of_items(items: DataFrame, annotations: DataFrame, by_page: bool = T
     )
 
 
-def anchored_links(items: DataFrame, annotations: DataFrame) -> DataFrame:
-    """Link rectangles with the text of the items whose centre lies in them, one unit of slack: an equi-join by page with a box condition."""
-    a = annotations.where("url is not null").withColumn("link", F.monotonically_increasing_id())
-    cx, cy = F.col("x") + F.col("w") / 2, F.col("y") + F.col("h") / 2
-    inside = cx.between(F.col("x1") - 1, F.col("x2") + 1) & cy.between(F.col("y1") - 1, F.col("y2") + 1)
-    met = a.join(items, ["doc", "page"], "left").groupBy("doc", "page", "link", "url", "x1", "y1")
-    return met.agg(F.trim(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(inside, F.struct(-F.col("y"), "x", "str")))), lambda v: v["str"]), "")).alias("anchor")).drop("link")
-
-
 def scan_records(spark: SparkSession, folder: str) -> Scan:
     """Scan(rows, skipped) of parsed records, one JSON document for each file, with ``file``; documents without a source are left out."""
     rows, skipped = _documents(spark, folder, schema.RECORD)
