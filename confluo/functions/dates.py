@@ -14,6 +14,9 @@ MONTHS = (
     "january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december",
 )
 
+#: How many parts a numeric date has, where its year of four digits and its month stand, and the month's greatest width. The first that fits counts.
+LAYOUTS = ((3, 2, 1, 99), (3, 0, 1, 99), (3, 1, 2, 99), (2, 1, 0, 2), (2, 0, 1, 2))
+
 
 def _year_month(year: Column, month: Column) -> Column:
     """YYYY-MM if the month is 1 to 12 and the year 1 to 9999."""
@@ -36,12 +39,13 @@ def normalize_date(c: Column) -> Column:
     """
 
     def of_parts(parts: Column) -> Column:
-        part = lambda k: F.get(parts, F.lit(k))
-        width = lambda k: F.length(part(k))
-        three = F.when(width(2) == 4, _year_month(part(2), part(1))).when(width(0) == 4, _year_month(part(0), part(1))).when(width(1) == 4, _year_month(part(1), part(2)))
-        two = F.when((width(1) == 4) & (width(0) <= 2), _year_month(part(1), part(0))).when((width(0) == 4) & (width(1) <= 2), _year_month(part(0), part(1)))
+        def fit(n: int, year: int, month: int, widest: int) -> tuple[Column, Column]:
+            y, m = (F.get(parts, F.lit(k)) for k in (year, month))
+            return (F.size(parts) == n) & (F.length(y) == 4) & (F.length(m) <= widest), _year_month(y, m)
+
+        first, *others = (fit(*layout) for layout in LAYOUTS)
         numeric = F.forall(parts, lambda p: p.rlike(r"^\p{Nd}+\z"))
-        return F.when(numeric, F.when(F.size(parts) == 3, three).when(F.size(parts) == 2, two))
+        return F.when(numeric, reduce(lambda chosen, f: chosen.when(*f), others, F.when(*first)))
 
     def of_text(s: Column) -> Column:
         ongoing = F.regexp_replace(F.lower(s), f"{WS}+", "").isin(*ONGOING)

@@ -10,6 +10,7 @@ from .phones import normalize_phones
 from .text import WS, collapse, filled, normalize_emails, strip, strip_chars
 
 WORD = r"\p{L}\p{N}_"
+#: Fixed patterns: an address and a telephone number in running text.
 EMAIL_IN_TEXT = rf"([{WORD}.+-]+@[{WORD}-]+\.[{WORD}.-]+)"
 PHONE_IN_TEXT = rf"(\+\p{{Nd}}(?:\p{{Nd}}|{WS}|-){{6,}}\p{{Nd}})"
 #: Fixed pattern: month and year, a dash, month and year or an ongoing word.

@@ -40,10 +40,10 @@ RAW = {
     "portfolio": "case when k % 4 = 2 then 'https://p.example/' || cast(third as string) end",
     "other": "case when k % 2 = 0 then 'https://other.example/' || cast(k % 3 as string) end",
     "institution": "'Institute ' || cast(third % 25 as string)",
-    "degree": "case k % 3 when 0 then 'B.Tech' when 1 then 'b tech' else 'M.S.' end",
-    "field": "case when k % 2 = 0 then 'CS' else 'Computer Science' end",
+    "degree": "case k % 3 when 0 then 'B.Eng.' when 1 then 'b eng' else 'Dipl.' end",
+    "field": "case when k % 2 = 0 then 'Maths' else 'Applied Maths' end",
     "end_year": "cast(2020 + k % 3 as int)",
-    "project": "case k % 3 when 0 then 'Relay' when 1 then 'relay' else ' Alpha  One ' end",
+    "project": "case k % 3 when 0 then 'Ledger' when 1 then 'ledger' else ' Blue  Kite ' end",
     "description": "case when k % 5 <> 0 then repeat('d', cast(k % 4 + 1 as int)) end",
     "n_tools": "k % 2",
     "skill1": "k % 6",
@@ -90,7 +90,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_candidates(spark, sf_dir).join(positions(spark, sf_dir), "rid", "left")
     pick = F.array(*[F.lit(s) for s in SKILLS])
     mentions = F.filter(F.array(*[F.get(pick, F.col(c).cast("int")) for c in ("skill1", "skill2", "skill3")]), lambda s: s.isNotNull())
-    tools = F.when(F.col("n_tools") == 0, F.array(F.lit("Go"))).otherwise(F.array(F.lit("Go"), F.lit("Redis")))
+    tools = F.when(F.col("n_tools") == 0, F.array(F.lit("Lua"))).otherwise(F.array(F.lit("Lua"), F.lit("Kafka")))
     links = F.struct("linkedin", "github", "portfolio", F.filter(F.array("other"), lambda o: o.isNotNull()).alias("other"))
     return raw.select(
         "rid",

@@ -456,7 +456,7 @@ def education_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 PROJECT = """proj as (
   select component, arg_min(project, rank) as title, arg_max(description, (coalesce(procured_at, ''), length(description), -rank)) as description,
     arg_max(tools, (coalesce(procured_at, ''), length(tools), -rank)) as tools, min(rank) as f
-  from (select *, case when n_tools = 0 then 'Go' else 'Go|Redis' end as tools, row_number() over (partition by component order by source, rid) as rank from m)
+  from (select *, case when n_tools = 0 then 'Lua' else 'Lua|Kafka' end as tools, row_number() over (partition by component order by source, rid) as rank from m)
   group by component, trim(regexp_replace(lower(project), '\\s+', ' ', 'g'))
 )"""
 
