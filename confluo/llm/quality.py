@@ -234,7 +234,7 @@ def judge(docs: DataFrame, rules: list[Conjunction], text_col: str = "text", int
     """docs with a struct column ``into``: the statistics, base_failed, rule (the one that rejects) and kept.
 
     Null and empty texts have no words and so fail the base. Every row is judged for itself,
-    repeated ones too; an empty table gives no rows; other columns stay as they are.
+    repeated ones too; an empty table gives no rows; other columns stay as they are, but one named like ``into``.
     """
 
     def verdict(s: Column) -> Column:

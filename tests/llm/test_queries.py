@@ -3,13 +3,18 @@
 import collections
 import hashlib
 import random
+import unicodedata
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from confluo.llm import registry, url_filter
+from confluo.llm import quality, registry, url_filter, warc
+from confluo.plans.shared import new_path
+from tests.llm.test_filter_audit import brute as all_orders
+from tests.llm.test_oph import brute as alike
 from tests.llm.test_rules import brute, hits, words_of
+from tests.llm.test_search import brute as best
 from tests.llm.test_similarity import components, mark_of, spoken
 
 LONG = 7
@@ -99,13 +104,29 @@ def test_op7(spark, folder):
     assert {tuple(r) for r in rows(spark, folder, "op7_sharding")} == want
 
 
+def rejects(rules, text):
+    """The first rule that holds, by counts taken in Python."""
+    t = text or ""
+    said = [x for x in t.split("\n") if x.encode().split()]
+    counts = dict(zip(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), brute(text), strict=True))
+    counts |= {"n_lines": len(said), "n_upper": sum(unicodedata.category(c) == "Lu" for c in t), "n_bangs": t.count("!"), "n_digits": sum(c in "0123456789" for c in t)}
+
+    def holds(c):
+        a, b = (counts[x] for x in quality.FEATURES[c.name])
+        value = a / b if b else 0.0
+        return value >= c.bound if c.above else value < c.bound
+
+    return any(all(map(holds, rule)) for rule in rules)
+
+
 def test_op8(spark, folder):
     got = {r["doc_id"]: r for r in rows(spark, folder, "op8_quality")}
+    rules = quality.learn(*(spark.read.parquet(f"{folder[0]}/{t}.parquet") for t in ("documents", "labels")))
     for i, t, _ in folder[1]:
         r, want = got[i], brute(t)
         assert tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == want
         assert r["base_failed"] == (want[0] < 50 or 100 * want[4] > 50 * want[0])
-        assert r["kept"] == (not r["base_failed"] and r["rule"] is None)
+        assert r["kept"] == (not r["base_failed"] and not rejects(rules, t))
 
 
 def test_op5_and_op10(spark, folder):
@@ -126,3 +147,26 @@ def test_planted_hosts_are_blocked_at_any_base_rate(spark):
         got = url_filter.filter_urls(pages, spark.createDataFrame(seen, "url string, bad int")).where(F.col("verdict") == "block").collect()
         blocked = {r["page_id"] for r in got}
         assert set(range(8)) <= blocked and len(blocked) <= 12
+
+
+def test_op11(spark, folder):
+    given = [(i, t, lang) for i, t, lang in folder[1]]
+    labels = [(i, int(i % 3 > 0), 0) for i in range(0, 180, 2)]
+    got = {(r["part"], r["filter_order"], r["step"]): [r[c] for c in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")] for r in rows(spark, folder, "op11_filter_audit")}
+    assert got == all_orders(given, labels)
+
+
+def test_op12(spark, folder):
+    assert {tuple(r) for r in rows(spark, folder, "op12_search")} == best([(i, t) for i, t, _ in folder[1]], folder[2])
+
+
+def test_op13(spark, folder):
+    assert sorted((tuple(r) for r in rows(spark, folder, "op13_oph")), key=str) == alike([(i, t) for i, t, _ in folder[1]])
+
+
+def test_archives_with_long_heads(spark):
+    url = "http://h.example/" + "x" * 5_000_000
+    pages = spark.createDataFrame([(1, url, "a"), (2, url + "?", "a"), (3, None, "b" * 700_000)], "page_id long, url string, html string")
+    got = {r["record_id"]: r for r in warc.read_warc(warc.write_warc(pages, new_path(spark, "warc"))).collect()}
+    assert got["urn:page:1"]["target_uri"] == url and got["urn:page:2"]["target_uri"] == url + "?" and got["urn:page:3"]["payload_bytes"] == 700_000
+    assert [got[f"urn:page:{k}"]["record_type"] for k in (1, 2, 3)] == ["response", "revisit", "response"]
