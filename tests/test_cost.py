@@ -33,6 +33,17 @@ def test_named_fields_of_profiles(spark, config):
     assert sorted(some.collect(), key=key) == sorted(survivorship.fuse(own).select(*some.columns).collect(), key=key)
 
 
+def test_projects_are_dealt_out(spark):
+    """The customer table has few splits, reading a project is dear."""
+    assert "RepartitionByExpression" in plan(queries.project_segments(spark, SF))
+
+
+def test_fields_that_toggles_hide_are_not_worked_out():
+    shown = [{"path": "candidate_id"}, {"path": "skills"}, {"path": "overall_confidence"}]
+    assert projection.fields_shown(projection.Config.of({"fields": shown})) == ["candidate_id", "skills"]
+    assert set(projection.fields_shown(projection.Config.of({"fields": shown, "include_confidence": True}))) == {"candidate_id", "skills", "overall_confidence"}
+
+
 def test_named_single_values(spark):
     own = candidates.members(spark, SF)
     one = survivorship.scalars(own.drop("headline", "location"), ["years"]).select("candidate_id", "n", "years")
