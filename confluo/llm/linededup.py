@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import re
-import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from ..plans.shared import columns_but, discard, map_arrow, settle
 from ..plans.sizing import broadcast_if_small
 
-#: Ends of lines and of sentences, with the blanks after them; wide full stops need none.
-_ENDS = re.compile(r"\n|[.!?…][\"'”’»)\]]*[ \t]+|[。！？][”’」』）]*[ \t]*")
+#: Ends of lines and of sentences, with the blanks after them; wide full stops need none. Told by the first character, so that all others are passed over fast.
+_ENDS = re.compile(r"[\n.!?…。！？](?:(?<=\n)|(?<=[.!?…])[\"'”’»)\]]*[ \t]+|(?<=[。！？])[”’」』）]*[ \t]*)")
 _WIDE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"  # scripts without blanks between words
 _WIDES, _TOKEN = re.compile(f"[{_WIDE}]"), re.compile(rf"[{_WIDE}]|[^\s{_WIDE}]+")
 
@@ -63,57 +63,69 @@ class Chunker:
     single_words: int = 40
     least_passage: int = 8
 
-    def lines(self, text: str) -> Iterator[tuple[int, int, int, bool, bool]]:
+    def lines(self, text: str) -> list[tuple[int, int, int, bool, bool]]:
         """(start, end, words, opens, closes) of each piece; they cover the text.
 
         opens, closes: it starts or ends a line of at least ``paragraph_words`` words.
         """
-        held, total, at, most, size = [], 0, 0, self.long_words, len(text)
+        found, held, total, at, most, size, long = [], [], 0, 0, self.long_words, len(text), self.paragraph_words
         plain = text.isascii() or not _WIDES.search(text)
         stops = [m.end() for m in _ENDS.finditer(text)]
         if not stops or stops[-1] < size:
             stops.append(size)
         for stop in stops:
             if stop > at:
-                n = len(text[at:stop].split()) if plain else words_in(text[at:stop])
+                said = text[at:stop]
+                n = len(said.split()) if plain else words_in(said)
                 if n > most:
                     held += self._parts(text, at, stop, plain)
                 else:
                     held.append((at, stop, n))
                 total, at = total + n, stop
             if held and (stop == size or text[stop - 1] == "\n"):
-                if total >= self.paragraph_words:
+                if total >= long:
                     last = len(held) - 1
-                    for k, x in enumerate(held):
-                        yield *x, k == 0, k == last
+                    found += [(*x, k == 0, k == last) for k, x in enumerate(held)]
                 else:
-                    for x in held:
-                        yield *x, False, False
+                    found += [(*x, False, False) for x in held]
                 held, total = [], 0
+        return found
 
     def _parts(self, text: str, start: int, stop: int, plain: bool) -> list[tuple[int, int, int]]:
         words = text[start:stop].split() if plain else _TOKEN.findall(text, start, stop)
-        fewest, most, spread = self.least_words * (1 if plain else 2), self.long_words, self.spread
-        cuts, since, last, ends, known = [], 0, 0, False, _CRC
-        for k, w in enumerate(words):
-            if k - since >= most or (ends and k - since >= fewest):
+        fewest, most, spread, size = max(self.least_words * (1 if plain else 2), 1), self.long_words, self.spread, len(words)
+        known = [0, *map(_CRC.get, words)]  # before each word the hash of the one before it
+        if None in known:
+            for k, w in enumerate(words, 1):
+                if known[k] is None:
+                    known[k] = _crc(w)
+        hashes = np.array(known, np.int64)
+        ends = (np.flatnonzero(((hashes[1:] ^ hashes[:-1] * 5) >> 7) % spread == 0) + 1).tolist()
+        cuts, since = [], 0
+        for k in [*ends, size]:
+            while k - since >= most:
+                since += most
+                cuts.append(since)
+            if k - since >= fewest:
                 cuts.append(k)
                 since = k
-            now = known.get(w)
-            if now is None:
-                now = _crc(w)
-            ends = ((now ^ last * 5) >> 7) % spread == 0
-            last = now
-        if cuts and len(words) - cuts[-1] < fewest:  # too few for a piece of their own
+        while cuts and cuts[-1] >= size:
+            cuts.pop()
+        if cuts and size - cuts[-1] < fewest:  # too few for a piece of their own
             cuts.pop()
-        found, at, place, k = [], start, start, 0
+        found, at, k = [], start, 0
+        place = text.find(words[0], start)
+        even = plain and text.startswith(" ".join(words), place)  # one blank between any two words
         for cut in cuts:
-            for w in words[k:cut]:
-                place = text.find(w, place) + len(w)
-            here = text.find(words[cut], place)
-            found.append((at, here, cut - k if plain else words_in(text[at:here])))
-            at, k = here, cut
-        return [*found, (at, stop, len(words) - k if plain else words_in(text[at:stop]))]
+            if even:
+                place += len(" ".join(words[k:cut])) + 1
+            else:
+                for w in words[k:cut]:
+                    place = text.find(w, place) + len(w)
+                place = text.find(words[cut], place)
+            found.append((at, place, cut - k if plain else words_in(text[at:place])))
+            at, k = place, cut
+        return [*found, (at, stop, size - k if plain else words_in(text[at:stop]))]
 
     def chunks(self, text: str) -> list[tuple[int, int, int, int]]:
         """(start, end, lines, words) of each chunk; a piece of ``least_words`` words counts as two lines."""
@@ -165,27 +177,33 @@ def content(text: str) -> str:
     return text if "\n" not in text else "\n".join(x for x in map(str.strip, text.split("\n")) if x)
 
 
+#: Texts whose chunks are held at a time.
+_TEXTS = 256
+
+
 def _chunks(how: Chunker):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read, digest, least = struct.Struct("<qII").unpack, xxhash.xxh3_128_digest, how.least_words
-        for b in batches:
-            which, starts, ends, h, before, after = ([] for _ in range(6))
-            for k, t in enumerate(b.column("text")):
+        digest, least = xxhash.xxh3_128_digest, how.least_words
+        for b in (whole.slice(k, _TEXTS) for whole in batches for k in range(0, whole.num_rows, _TEXTS)):
+            counts, rows, digests = [], [], []
+            for t in b.column("text"):
                 text = t.as_py()
                 own = how.chunks(text) if text else []
-                hashes = [read(digest(content(text[start:end]).encode("utf-8", "surrogatepass"))) for start, end, _, _ in own]
-                near = [0, *(x[1] >> 1 | 1 for x in hashes), 0]
-                for j, (start, end, lines, words) in enumerate(own):
-                    if lines >= 2 and words >= least:
-                        which.append(k)
-                        starts.append(start)
-                        ends.append(end)
-                        h.append(hashes[j][0])
-                        before.append(near[j])
-                        after.append(near[j + 2])
-            places = pa.array(which, pa.int32())
-            columns = (pa.array(x, t) for x, t in ((starts, pa.int32()), (ends, pa.int32()), (h, pa.int64()), (before, pa.int32()), (after, pa.int32())))
-            yield pa.RecordBatch.from_arrays([b.column("id").take(places), b.column("mark").take(places), *columns], ["id", "mark", "start", "end", "h", "before", "after"])
+                counts.append(len(own))
+                rows += own
+                digests += [digest(content(text[x[0] : x[1]]).encode("utf-8", "surrogatepass")) for x in own]
+            places = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+            start, end, lines, words = np.array(rows, np.int32).reshape(-1, 4).T
+            hashes = np.frombuffer(b"".join(digests), np.dtype([("h", "<i8"), ("near", "<u4"), ("rest", "<u4")]))
+            near = (hashes["near"] >> 1 | 1).astype(np.int32)
+            # What stands beside a chunk in its own text; 0 at the text's ends.
+            same = places[1:] == places[:-1]
+            before, after = np.zeros_like(near), np.zeros_like(near)
+            before[1:], after[:-1] = np.where(same, near[:-1], 0), np.where(same, near[1:], 0)
+            listed = (lines >= 2) & (words >= least)
+            which = pa.array(places[listed])
+            columns = (pa.array(np.ascontiguousarray(x[listed])) for x in (start, end, hashes["h"], before, after))
+            yield pa.RecordBatch.from_arrays([b.column("id").take(which), b.column("mark").take(which), *columns], ["id", "mark", "start", "end", "h", "before", "after"])
 
     return run
 
