@@ -48,3 +48,9 @@ def test_named_single_values(spark):
     own = candidates.members(spark, SF)
     one = survivorship.scalars(own.drop("headline", "location"), ["years"]).select("candidate_id", "n", "years")
     assert sorted(one.collect()) == sorted(survivorship.scalars(own).select("candidate_id", "n", "years").collect())
+
+
+def test_entries_are_worked_out_once_and_kinds_kept_apart(spark):
+    """No filter works the entries out for their number alone, and no list of all kinds is searched for each column."""
+    said = survivorship.fuse(candidates.members(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    assert "size(concat(" not in said and "filter(all" not in said and "array_sort(" not in said.replace("sort_array(", "")
