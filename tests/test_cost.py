@@ -54,3 +54,9 @@ def test_entries_are_worked_out_once_and_kinds_kept_apart(spark):
     """No filter works the entries out for their number alone, and no list of all kinds is searched for each column."""
     said = survivorship.fuse(candidates.members(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
     assert "size(concat(" not in said and "filter(all" not in said and "array_sort(" not in said.replace("sort_array(", "")
+
+
+def test_contacts_are_worked_out_once(spark):
+    """Every branch of an identity reads what is written of them, none the customer table."""
+    for df in (candidates.contacts(spark, SF), candidates.components(spark, SF), queries.incremental_merge(spark, SF)):
+        assert df.inputFiles() and not any("customer" in f for f in df.inputFiles())
