@@ -6,6 +6,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -68,27 +69,24 @@ class Chunker:
 
         opens, closes: it starts or ends a line of at least ``paragraph_words`` words.
         """
-        found, held, total, at, most, size, long = [], [], 0, 0, self.long_words, len(text), self.paragraph_words
+        found, first, total, at, most, size, long = [], 0, 0, 0, self.long_words, len(text), self.paragraph_words
         plain = text.isascii() or not _WIDES.search(text)
         stops = [m.end() for m in _ENDS.finditer(text)]
         if not stops or stops[-1] < size:
             stops.append(size)
         for stop in stops:
             if stop > at:
-                said = text[at:stop]
-                n = len(said.split()) if plain else words_in(said)
+                n = len(text[at:stop].split()) if plain else words_in(text[at:stop])
                 if n > most:
-                    held += self._parts(text, at, stop, plain)
+                    found += [(*x, False, False) for x in self._parts(text, at, stop, plain)]
                 else:
-                    held.append((at, stop, n))
+                    found.append((at, stop, n, False, False))
                 total, at = total + n, stop
-            if held and (stop == size or text[stop - 1] == "\n"):
+            if stop == size or text[stop - 1] == "\n":
                 if total >= long:
-                    last = len(held) - 1
-                    found += [(*x, k == 0, k == last) for k, x in enumerate(held)]
-                else:
-                    found += [(*x, False, False) for x in held]
-                held, total = [], 0
+                    found[first] = (*found[first][:3], True, False)
+                    found[-1] = (*found[-1][:4], True)
+                first, total = len(found), 0
         return found
 
     def _parts(self, text: str, start: int, stop: int, plain: bool) -> list[tuple[int, int, int]]:
@@ -186,14 +184,15 @@ def _chunks(how: Chunker):
         digest, least = xxhash.xxh3_128_digest, how.least_words
         for b in (whole.slice(k, _TEXTS) for whole in batches for k in range(0, whole.num_rows, _TEXTS)):
             counts, rows, digests = [], [], []
-            for t in b.column("text"):
-                text = t.as_py()
+            for text in b.column("text").to_pylist():
                 own = how.chunks(text) if text else []
                 counts.append(len(own))
                 rows += own
-                digests += [digest(content(text[x[0] : x[1]]).encode("utf-8", "surrogatepass")) for x in own]
+                for at, stop, _, _ in own:
+                    said = text[at:stop].strip()
+                    digests.append(digest(said if "\n" not in said else content(said)))
             places = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
-            start, end, lines, words = np.array(rows, np.int32).reshape(-1, 4).T
+            start, end, lines, words = np.fromiter(chain.from_iterable(rows), np.int32, 4 * len(rows)).reshape(-1, 4).T
             hashes = np.frombuffer(b"".join(digests), np.dtype([("h", "<i8"), ("near", "<u4"), ("rest", "<u4")]))
             near = (hashes["near"] >> 1 | 1).astype(np.int32)
             # What stands beside a chunk in its own text; 0 at the text's ends.
