@@ -174,6 +174,41 @@ def test_resume_times(spark, tmp_path):
     assert "content" not in plan.split("ReadSchema")[-1]
 
 
+ODD = {
+    "a b+%20.json": b'{"source_file": "a"}', "plain é.JSON": b"{}", "array.json": b' [{"source_file": "1"}, {"source_file": "2"}]', "none.json": b"[]",
+    "mixed.json": b'[1, {"source_file": "1"}]', "null in array.json": b'[null, {"source_file": "1"}]', "other type.json": b'{"source_file": "t", "lines": "x"}',
+    "other type in array.json": b'[{"source_file": "t", "lines": "x"}, {"source_file": "u"}]', "number.json": b"12", "null.json": b"null", "blank.json": b" \n", "empty.json": b"",
+    "two.json": b'{"source_file": "t"}{"source_file": "v"}', "bom.json": '{"source_file": "é"}'.encode("utf-8-sig"), "utf16.json": '{"source_file": "é"}'.encode("utf-16-le"),
+    "latin.json": '{"source_file": "é"}'.encode("latin-1"), "cut.json": b'{"source_file": "t"', "cut array.json": b'[{"source_file": "t"}', "line end.json": b'{"source_file": "a\nb"}',
+    "_hidden.json": b"{}", ".hidden.json": b"{}", "other.txt": b"{}",
+}
+
+
+def test_odd_documents_by_either_reader(spark, tmp_path, monkeypatch):
+    """What tasks read of a folder is what Spark's reader reads of it, and files have their own names."""
+    for name, body in ODD.items():
+        (tmp_path / name).write_bytes(body)
+    (tmp_path / "folder.json").mkdir()
+    found = []
+    for local in (tables.files.local_folder, lambda *_: None):
+        monkeypatch.setattr(tables.files, "local_folder", local)
+        rows, skipped = tables._documents(spark, str(tmp_path), tables.schema.RAW_RESUME)
+        found.append((sorted((r["file"], r["source_file"] or "") for r in rows.collect()), sorted(map(tuple, skipped.collect()))))
+    assert found[0] == found[1]
+    assert [f for f, _ in found[0][0]] == ["a b+%20.json", "array.json", "array.json", "bom.json", "plain é.JSON", "two.json", "utf16.json"]
+
+
+def test_files_are_not_listed_on_the_driver(spark, tmp_path):
+    """Spark's file source keeps each file's status on the driver, once for each reader."""
+    docs, files = tmp_path / "json", tmp_path / "pdf"
+    for folder in (docs, files):
+        folder.mkdir()
+        for k in range(5):
+            (folder / f"{k}.json").write_text(f'{{"source": "s{k}"}}')
+    for df in (tables.read_records(spark, str(docs)), tables.read_resumes(spark, str(docs), str(files)), tables.file_times(spark, str(files))):
+        assert df.inputFiles() == [] and df.count() == 5
+
+
 def test_run_on_any_file_system(spark, tmp_path, capsys):
     folder = tmp_path / "in"
     folder.mkdir()
