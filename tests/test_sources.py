@@ -219,3 +219,14 @@ def test_run_on_any_file_system(spark, tmp_path, capsys):
     assert "bad.csv: not UTF-8" in capsys.readouterr().err
     assert cli.main(["run", "--csvs", str(tmp_path / "absent"), "--out", str(tmp_path / "out2")]) == cli.FAILED
     assert capsys.readouterr().err
+
+
+@pytest.mark.parametrize("name", ["resume_scan"])
+def test_resumes_written_one_each_are_not_listed_on_the_driver(spark, name, monkeypatch):
+    """Spark's writer of one file each isn't used on a local file system, nor its list of files."""
+    from confluo.operators import sinks
+    from confluo.plans import queries
+
+    monkeypatch.setattr(sinks, "one_each", None)
+    df = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert not any("resumes-" in f or "originals-" in f for f in df.inputFiles()) and df.count() == 150
