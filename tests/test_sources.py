@@ -221,7 +221,7 @@ def test_run_on_any_file_system(spark, tmp_path, capsys):
     assert capsys.readouterr().err
 
 
-@pytest.mark.parametrize("name", ["resume_scan"])
+@pytest.mark.parametrize("name", ["resume_scan", "resume_times"])
 def test_resumes_written_one_each_are_not_listed_on_the_driver(spark, name, monkeypatch):
     """Spark's writer of one file each isn't used on a local file system, nor its list of files."""
     from confluo.operators import sinks
